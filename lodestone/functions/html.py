@@ -92,6 +92,11 @@ def running_sum(steps: Column) -> Column:
     )
 
 
+def table_step(piece: Column) -> Column:
+    """+1 where a table opens, -1 where one closes."""
+    return F.when(piece.rlike("(?i)^<table"), 1).when(piece.rlike("(?i)^</table"), -1).otherwise(0)
+
+
 def close_of(depth: Column, i: Column, size: Column) -> Column:
     """Where the bracket opened at ``i`` (from 1) closes; ``size + 1`` if it never does."""
     level = F.element_at(depth, i)

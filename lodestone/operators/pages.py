@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.text import trim_ws
+from ..functions.text import let, trim_ws
 from ..functions.urls import resolve_url, url_authority, url_scheme
 
 
@@ -20,8 +20,13 @@ def strip_pages(pages: DataFrame) -> DataFrame:
     return pages.withColumn("html", H.strip_boilerplate(F.col("html")))
 
 
+def cleaned(pages: DataFrame) -> DataFrame:
+    """Usable pages with their stripped markup in ``_clean``, worked out once for all extractors."""
+    return usable_pages(pages).withColumn("_clean", H.strip_boilerplate(F.col("html")))
+
+
 def with_blocks(pages: DataFrame, profile: str = "v2", sep: str = "") -> DataFrame:
-    """Add ``blocks array<struct<pos,tag,text>>``: wanted text blocks in document order.
+    """Add ``blocks array<struct<pos,tag,text>>`` to cleaned pages: wanted text blocks in document order.
 
     Headings and paragraphs end at the next block boundary. Lists end at their own close tag, found by nesting
     depth, so a list inside a list is emitted on its own as well and the outer one keeps all of its text.
@@ -29,11 +34,11 @@ def with_blocks(pages: DataFrame, profile: str = "v2", sep: str = "") -> DataFra
     wanted = H.BLOCK_TAGS[profile]
     flat = [t for t in wanted if t not in ("ul", "ol")]
     lists, ends = ["ul", "ol"], ["/ul", "/ol"]
-    pieces, tags, stops = F.col("_pieces"), F.col("_tags"), F.col("_stops")
+    pieces, tags = F.col("_pieces"), F.col("_tags")
     depth, at = F.col("_depth"), F.col("_lists")
     count = F.size(pieces)
 
-    def flat_block(i: Column) -> Column:
+    def flat_block(i: Column, stops: Column) -> Column:
         ahead = F.array_position(F.slice(stops, i + 1, count), True).cast("int")
         end = F.when(F.element_at(tags, i) == "p", i + 1).when(ahead > 0, i + ahead).otherwise(count + 1)
         return _block(i, F.slice(pieces, i, end - i))
@@ -54,21 +59,21 @@ def with_blocks(pages: DataFrame, profile: str = "v2", sep: str = "") -> DataFra
     list_openers = F.filter(
         F.sequence(F.lit(1), F.size(at)), lambda q: F.element_at(tags, F.element_at(at, q)).isin(lists)
     )
+    openers = H.indexes(tags, lambda t: t.isin(flat))
     blocks = F.concat(
-        F.transform(H.indexes(tags, lambda t: t.isin(flat)), flat_block),
+        let(H.heading_stops(tags), lambda stops: F.transform(openers, lambda i: flat_block(i, stops))),
         F.when(F.size(at) == 0, F.array()).otherwise(F.transform(list_openers, list_block)),
     )
     return (
-        pages.withColumn("_pieces", H.split_blocks(H.strip_boilerplate(F.col("html"))))
+        pages.withColumn("_pieces", H.split_blocks(F.col("_clean")))
         .withColumn("_tags", H.tag_names(F.col("_pieces")))
-        .withColumn("_stops", H.heading_stops(tags))
         .withColumn("_lists", H.indexes(tags, lambda t: t.isin(lists + ends)))
         .withColumn(
             "_depth",
             H.running_sum(F.transform(at, lambda i: F.when(F.element_at(tags, i).isin(lists), 1).otherwise(-1))),
         )
         .withColumn("blocks", F.array_sort(F.filter(blocks, lambda b: H.keep_block(b["text"], profile))))
-        .drop("_pieces", "_tags", "_stops", "_lists", "_depth")
+        .drop("_pieces", "_tags", "_lists", "_depth")
     )
 
 
@@ -76,7 +81,7 @@ def text_blocks(pages: DataFrame, profile: str = "v2", sep: str = "", keys: list
     """One row per text block: the key columns, ``ord`` from 1, ``tag`` and ``text``."""
     keys = keys or ["url"]
     return (
-        with_blocks(usable_pages(pages), profile, sep)
+        with_blocks(cleaned(pages), profile, sep)
         .select(*keys, F.posexplode("blocks").alias("_at", "_block"))
         .select(*keys, (F.col("_at") + 1).alias("ord"), F.col("_block.tag").alias("tag"), F.col("_block.text").alias("text"))
     )
@@ -92,14 +97,13 @@ def page_text(
     if not keep_empty:
         # An array of no or one row: a filter on the text would be pushed down and work it out twice.
         texts = F.when(F.size("blocks") > 0, texts)
-    rows = with_blocks(usable_pages(pages), profile, sep)
+    rows = with_blocks(cleaned(pages), profile, sep)
     rows = rows.select(*keys, F.explode(F.filter(F.array(texts), lambda t: t.isNotNull())).alias("content_blocks"))
     return rows.select(*keys, "content_blocks", trim_ws(F.array_join("content_blocks", "\n")).alias("text"))
 
 
-def html_tables(pages: DataFrame, profile: str = "v2", keys: list[str] | None = None) -> DataFrame:
-    """One row per table with cells, inner tables too: the keys, ``table_no`` from 1 and ``table_html``."""
-    keys = keys or ["url"]
+def with_tables(pages: DataFrame, profile: str = "v2") -> DataFrame:
+    """Add ``tables array<string>`` to cleaned pages: markup of every table with cells, inner tables too."""
     parts, depth = F.col("_parts"), F.col("_depth")
     count = F.size(parts)
 
@@ -108,34 +112,46 @@ def html_tables(pages: DataFrame, profile: str = "v2", keys: list[str] | None =
         return F.concat(F.array_join(F.slice(parts, i, end - i), ""), F.lit("</table>"))
 
     openers = H.indexes(parts, lambda s: s.rlike(r"(?i)^<table"))
-    tables = F.filter(F.transform(openers, outer_html), lambda t: t.rlike(H.TABLE_MARK[profile]))
-    step = F.transform(parts, lambda s: F.when(s.rlike("(?i)^<table"), 1).when(s.rlike("(?i)^</table"), -1).otherwise(0))
     return (
-        usable_pages(pages)
-        .withColumn("_parts", F.split(H.strip_boilerplate(F.col("html")), r"(?i)(?=</?table[\s/>])"))
-        .withColumn("_depth", H.running_sum(step))
-        .select(*keys, F.posexplode(tables).alias("_at", "table_html"))
-        .select(*keys, (F.col("_at") + 1).alias("table_no"), "table_html")
+        pages.withColumn("_parts", F.split("_clean", r"(?i)(?=</?table[\s/>])"))
+        .withColumn("_depth", H.running_sum(F.transform(parts, H.table_step)))
+        .withColumn("tables", F.filter(F.transform(openers, outer_html), lambda t: t.rlike(H.TABLE_MARK[profile])))
+        .drop("_parts", "_depth")
     )
 
 
-def page_images(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """One row per image: the keys, ``image_no`` from 1, absolute ``image_url`` and ``alt``."""
+def html_tables(pages: DataFrame, profile: str = "v2", keys: list[str] | None = None) -> DataFrame:
+    """One row per table: the keys, ``table_no`` from 1 and ``table_html``."""
     keys = keys or ["url"]
+    return (
+        with_tables(cleaned(pages), profile)
+        .select(*keys, F.posexplode("tables").alias("_at", "table_html"))
+        .select(*keys, (F.col("_at") + 1).alias("table_no"), "table_html")
+    )
+
+
+def with_images(pages: DataFrame) -> DataFrame:
+    """Add ``images array<struct<src,alt>>`` to cleaned pages: every image that is no vector or animation file."""
     found = F.transform(
-        H.start_tags(H.strip_boilerplate(F.col("html")), "img"),
+        H.start_tags(F.col("_clean"), "img"),
         lambda t: F.struct(
             H.tag_attr(t, "src").alias("src"), F.coalesce(H.tag_attr(t, "alt"), F.lit("")).alias("alt")
         ),
     )
     wanted = F.filter(found, lambda i: (i["src"] != "") & ~F.lower(i["src"]).rlike(r"\.(svg|gif)$"))
+    return pages.withColumn("images", wanted)
+
+
+def page_images(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row per image: the keys, ``image_no`` from 1, absolute ``image_url`` and ``alt``."""
+    keys = keys or ["url"]
     return (
-        usable_pages(pages)
-        .select(*{*keys, "url"}, F.posexplode(wanted).alias("_at", "_img"))
+        with_images(cleaned(pages))
+        .select(*keys, F.col("url").alias("_base"), F.posexplode("images").alias("_at", "_img"))
         .select(
             *keys,
             (F.col("_at") + 1).alias("image_no"),
-            resolve_url(F.col("url"), F.col("_img.src")).alias("image_url"),
+            resolve_url(F.col("_base"), F.col("_img.src")).alias("image_url"),
             F.col("_img.alt").alias("alt"),
         )
     )
