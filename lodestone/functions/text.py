@@ -28,6 +28,15 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def unfold(arr: Column) -> Column:
+    """The array itself, fit for ``explode``.
+
+    Exploding a bare column makes Catalyst push ``size(column) > 0`` below the projections that made the column and
+    so work it out twice. It does not do that to an expression.
+    """
+    return F.transform(arr, lambda x: x)
+
+
 def is_blank(text: Column) -> Column:
     return text.isNull() | (trim_ws(text) == "")
 

@@ -28,7 +28,7 @@ def bucket_counts(buckets: Column, dim: int) -> Column:
 
     Every bucket and one more are added once and the array sorted; the gaps between first places are the counts.
     """
-    ordered = F.array_sort(F.concat(buckets, F.sequence(F.lit(0), F.lit(dim))))
+    ordered = F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(dim))))
     edges = F.sequence(F.lit(0), F.lit(dim))
     first = let(ordered, lambda o: F.transform(edges, lambda b: F.array_position(o, b)))
     return let(first, lambda f: F.zip_with(F.slice(f, 1, dim), F.slice(f, 2, dim), lambda lo, hi: hi - lo - 1))

@@ -4,13 +4,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from ..functions.text import cut, non_empty, trim_ws
-from ..schema import ELEMENT
+from ..functions.text import cut, let, non_empty, trim_ws
 from ..functions.urls import resolve_url
+from ..schema import ELEMENT
+from ..sources.images import attach_images
 from .ingest import embedding_of, hash_id
-from .pages import cleaned, with_blocks, with_images, with_tables
-from .tables import cell_questions, parse_tables, with_sentences
+from .pages import cleaned, page_images, with_blocks, with_images, with_tables
+from .tables import parse_tables, questions_of, sentences_of
 
 TYPE = "CompositeElement"
 
@@ -59,53 +61,100 @@ def image_label(label: Column, alt: Column, image_base64: Column) -> Column:
     return F.coalesce(F.when(image_base64.isNotNull(), non_empty(label)), non_empty(alt))
 
 
-def make_element(source_url: Column, filetype: str, ordinal: Column, text: Column, **fields: Column) -> list[Column]:
-    """Select list of one element kind with every field of the schema."""
-    identity = element_id(source_url, F.lit(filetype), ordinal, text)
-    given = {"filename": identity, "source_url": source_url, "filetype": F.lit(filetype), **fields}
-    meta = [
-        given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT["metadata"].dataType.fields
-    ]
-    top = {"type": F.lit(TYPE), "element_id": identity, "text": text, "metadata": F.struct(*meta)}
-    return [top.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT.fields]
+_ITEM = (
+    "array<struct<kind:string,no:int,text:string,content_blocks:array<string>,table_html:string,src:string,alt:string>>"
+)
+
+
+def make_element(source_url: Column, filetype: str, ordinal: Column, text: Column, **fields: Column) -> Column:
+    """One element as a struct with every field of the schema."""
+
+    def build(identity: Column) -> Column:
+        given = {"filename": identity, "source_url": source_url, "filetype": F.lit(filetype), **fields}
+        meta = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT["metadata"].dataType]
+        top = {"type": F.lit(TYPE), "element_id": identity, "text": text, "metadata": F.struct(*meta)}
+        return F.struct(*[top.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT])
+
+    return let(element_id(source_url, F.lit(filetype), ordinal, text), build)
+
+
+def _no_elements() -> Column:
+    return F.array().cast(ArrayType(ELEMENT))
+
+
+def text_element_of(url: Column, text: Column, blocks: Column) -> Column:
+    return make_element(url, "text/html", F.lit(1), text, content_blocks=blocks)
+
+
+def table_element_list(url: Column, no: Column, html: Column, rows: Column, keep_empty: bool) -> Column:
+    """The element of a parsed table, if it has rows and, unless ``keep_empty``, a row sentence."""
+
+    def build(sentences: Column) -> Column:
+        element = make_element(
+            url,
+            "table/html",
+            no,
+            F.array_join(sentences, "\n"),
+            table_html=html,
+            table_json=rows,
+            table_sentences=sentences,
+        )
+        wanted = (F.size(rows) > 0) if keep_empty else (F.size(sentences) > 0)
+        return F.when(wanted, F.array(element)).otherwise(_no_elements())
+
+    return let(sentences_of(rows), build)
+
+
+def question_element_list(url: Column, no: Column, html: Column, rows: Column) -> Column:
+    """The elements of all cell questions of a parsed table."""
+
+    def build(q: Column) -> Column:
+        ordinal = F.concat_ws(".", no, q["row_no"], q["col_no"])
+        return make_element(url, "table_row_query", ordinal, q["question"], table_html=html, row_data=q["row_data"])
+
+    return F.transform(questions_of(rows), build)
 
 
 def text_elements(texts: DataFrame) -> DataFrame:
     """From ``(url, text, content_blocks)``."""
-    blocks = {"content_blocks": F.col("content_blocks")} if "content_blocks" in texts.columns else {}
-    return texts.select(*make_element(F.col("url"), "text/html", F.lit(1), F.col("text"), **blocks))
+    return texts.select(F.inline(F.array(text_element_of(F.col("url"), F.col("text"), F.col("content_blocks")))))
 
 
 def table_elements(tables: DataFrame, keep_empty: bool = False) -> DataFrame:
     """From parsed tables ``(url, table_no, table_html, table_rows)``: their row sentences, one per line."""
-    rows = with_sentences(tables).where(F.size("table_rows") > 0)
-    if not keep_empty:
-        rows = rows.where(F.size("table_sentences") > 0)
-    return rows.select(
-        *make_element(
-            F.col("url"),
-            "table/html",
-            F.col("table_no"),
-            F.array_join("table_sentences", "\n"),
-            table_html=F.col("table_html"),
-            table_json=F.col("table_rows"),
-            table_sentences=F.col("table_sentences"),
-        )
-    )
+    cols = [F.col(c) for c in ("url", "table_no", "table_html", "table_rows")]
+    return tables.select(F.inline(table_element_list(*cols, keep_empty)))
 
 
 def question_elements(tables: DataFrame) -> DataFrame:
     """From parsed tables: one element per cell question."""
-    ordinal = F.concat_ws(".", "table_no", "row_no", "col_no")
-    return cell_questions(tables).select(
-        *make_element(
-            F.col("url"),
-            "table_row_query",
-            ordinal,
-            F.col("question"),
-            table_html=F.col("table_html"),
-            row_data=F.col("row_data"),
-        )
+    cols = [F.col(c) for c in ("url", "table_no", "table_html", "table_rows")]
+    return tables.select(F.inline(question_element_list(*cols)))
+
+
+def image_element_of(
+    url: Column,
+    no: Column,
+    image_url: Column,
+    alt: Column,
+    label: Column | None = None,
+    image_base64: Column | None = None,
+    mime_type: Column | None = None,
+    text_is_label: bool = True,
+) -> Column:
+    missing = F.lit(None).cast("string")
+    payload = missing if image_base64 is None else image_base64
+    name = image_label(missing if label is None else label, alt, payload)
+    return make_element(
+        url,
+        "image",
+        no,
+        name if text_is_label else F.lit(""),
+        filename=name,
+        image_base64=F.when(payload.isNotNull(), F.array(payload)),
+        image_mime_type=missing if mime_type is None else mime_type,
+        orig_img=F.struct(image_url.alias("url"), alt.alias("alt")),
+        label=name,
     )
 
 
@@ -114,78 +163,68 @@ def image_elements(images: DataFrame, labels: DataFrame | None = None, text_is_l
     rows = images.where(F.coalesce(F.col("image_url"), F.lit("")) != "")
     if labels is not None:
         rows = rows.join(labels.select("image_url", "label"), "image_url", "left")
-    for name in ("label", "image_base64", "image_mime_type"):
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(None).cast("string"))
-    payload = F.col("image_base64")
-    rows = rows.withColumn("label", image_label(F.col("label"), F.col("alt"), payload))
-    return rows.select(
-        *make_element(
-            F.col("url"),
-            "image",
-            F.col("image_no"),
-            F.col("label") if text_is_label else F.lit(""),
-            filename=F.col("label"),
-            image_base64=F.when(payload.isNotNull(), F.array(payload)),
-            image_mime_type=F.col("image_mime_type"),
-            orig_img=F.struct(F.col("image_url").alias("url"), F.col("alt")),
-            label=F.col("label"),
-        )
-    )
+    optional = [F.col(c) if c in rows.columns else None for c in ("label", "image_base64", "image_mime_type")]
+    cols = [F.col(c) for c in ("url", "image_no", "image_url", "alt")]
+    return rows.select(F.inline(F.array(image_element_of(*cols, *optional, text_is_label=text_is_label))))
 
 
-def page_items(pages: DataFrame, profile: str = "v2") -> DataFrame:
-    """All three extracts of each page in one scan: one row per page text, table or image.
+def page_items(pages: DataFrame, profile: str = "v2", with_pictures: bool = True) -> DataFrame:
+    """The extracts of each page in one scan: one row per page text, table or image, told apart by ``kind``.
 
-    ``kind`` tells which; the columns of the other kinds are null.
+    Columns of the other kinds are null. The profile ``v1`` gives page texts only.
     """
-    spec = (
-        "array<struct<kind:string,no:int,text:string,content_blocks:array<string>,table_html:string,src:string,alt:string>>"
-    )
     null = F.lit(None)
     blocks = F.transform("blocks", lambda b: b["text"])
     text = trim_ws(F.array_join(blocks, "\n"))
-    page = F.array(F.struct(F.lit("text"), F.lit(1), text, blocks, null, null, null)).cast(spec)
+    parts = [F.array(F.struct(F.lit("text"), F.lit(1), text, blocks, null, null, null)).cast(_ITEM)]
+    rows = with_blocks(cleaned(pages), profile)
     if profile == "v2":
-        page = F.when(F.size("blocks") > 0, page).otherwise(F.array().cast(spec))
-    tables = F.transform(
-        "tables", lambda t, i: F.struct(F.lit("table"), i + 1, null, null, t, null, null)
-    ).cast(spec)
-    images = F.transform(
-        "images", lambda m, i: F.struct(F.lit("image"), i + 1, null, null, null, m["src"], m["alt"])
-    ).cast(spec)
-    rows = with_images(with_tables(with_blocks(cleaned(pages), profile), profile))
-    parts = [page] if profile == "v1" else [page, tables, images]
+        parts = [F.when(F.size("blocks") > 0, parts[0]).otherwise(F.array().cast(_ITEM))]
+        rows = with_tables(rows)
+        tables = F.transform("tables", lambda t, i: F.struct(F.lit("table"), i + 1, null, null, t, null, null))
+        parts.append(tables.cast(_ITEM))
+    if profile == "v2" and with_pictures:
+        rows = with_images(rows)
+        images = F.transform(
+            "images", lambda m, i: F.struct(F.lit("image"), i + 1, null, null, null, m["src"], m["alt"])
+        )
+        parts.append(images.cast(_ITEM))
     return rows.select("url", F.inline(F.concat(*parts)))
 
 
-def _tables_of(items: DataFrame, profile: str) -> DataFrame:
-    tables = items.where(F.col("kind") == "table").select("url", F.col("no").alias("table_no"), "table_html")
-    return parse_tables(tables, profile)
-
-
-def images_of(items: DataFrame) -> DataFrame:
-    image_url = resolve_url(F.col("url"), F.col("src"))
-    images = items.where(F.col("kind") == "image")
-    return images.select("url", F.col("no").alias("image_no"), image_url.alias("image_url"), "alt")
-
-
 def build_elements(
-    items: DataFrame,
+    pages: DataFrame,
+    files: DataFrame | None = None,
     labels: DataFrame | None = None,
-    images: DataFrame | None = None,
     profile: str = "v2",
 ) -> DataFrame:
-    """Elements of all kinds out of ``page_items``. The profile ``v1`` gives page texts only.
+    """Elements of all kinds of landed pages, in no promised order.
 
-    ``images`` may be ``images_of(items)`` with payloads attached. No order is promised.
+    Pages are scanned once and nothing shuffles. Only if ``files(url, content)`` or ``labels(image_url, label)`` are
+    to be joined do the images come from a scan of their own.
     """
-    texts = text_elements(items.where(F.col("kind") == "text"))
+    joined = profile == "v2" and (files is not None or labels is not None)
+    items = page_items(pages, profile, with_pictures=not joined)
+    url, no, kind = F.col("url"), F.col("no"), F.col("kind")
+    text = F.array(text_element_of(url, F.col("text"), F.col("content_blocks")))
     if profile == "v1":
-        return texts
-    tables = _tables_of(items, profile)
-    shown = image_elements(images_of(items) if images is None else images, labels)
-    return texts.unionByName(table_elements(tables)).unionByName(question_elements(tables)).unionByName(shown)
+        return items.select(F.inline(text))
+    rows = parse_tables(items, profile)
+    table = [url, no, F.col("table_html"), F.col("table_rows")]
+    image_url = resolve_url(url, F.col("src"))
+    elements = rows.select(
+        F.inline(
+            F.when(kind == "text", text)
+            .when(kind == "table", F.concat(table_element_list(*table, False), question_element_list(*table)))
+            .otherwise(F.array(let(image_url, lambda u: image_element_of(url, no, u, F.col("alt")))))
+        )
+    )
+    if not joined:
+        return elements
+    images = page_images(pages)
+    if files is not None:
+        images = attach_images(images, files)
+    return elements.unionByName(image_elements(images, labels))
 
 
 def embed_elements(elements: DataFrame, dim: int, fn: Callable[[list], list] | None = None) -> DataFrame:

@@ -5,10 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import first_non_empty, is_blank, non_empty, words
+from ..functions.text import first_non_empty, is_blank, let, non_empty, words
 from ..functions.vectors import has_non_zero, hashed_embedding
 from ..schema import INDEX
 from .model import map_model
+from .ranking import where_once
 
 # The cut before a model is called, and the chunk sizes in words.
 MODEL_MAX_CHARS = 8000
@@ -56,15 +57,15 @@ def chunk_words(
     if step <= 0:
         raise ValueError("overlap must be smaller than size")
     items, sep = (words(F.col(text_col)), " ") if unit == "word" else (F.split(text_col, ""), "")
-    more = F.greatest(F.ceil((F.size("_items") - size) / step).cast("int"), F.lit(0))
-    starts = F.when(F.size("_items") > 0, F.sequence(F.lit(0), more))
     kept = [c for c in df.columns if c != text_col]
-    chunk = F.array_join(F.slice("_items", F.col("chunk_no") * step + 1, size), sep)
-    return (
-        df.select(*kept, items.alias("_items"))
-        .select(*kept, "_items", F.explode(starts).alias("chunk_no"))
-        .select(*kept, "chunk_no", chunk.alias("chunk"))
-    )
+
+    def chunks(w: Column) -> Column:
+        last = F.greatest(F.ceil((F.size(w) - size) / step).cast("int"), F.lit(0))
+        cut_at = lambda i: F.array_join(F.slice(w, i * step + 1, size), sep)
+        return F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), last), cut_at))
+
+    # Only finished chunks leave the row: a row per chunk with all words in it would grow with the square of the text.
+    return df.select(*kept, F.posexplode(let(items, chunks)).alias("chunk_no", "chunk"))
 
 
 def embedding_of(
@@ -158,7 +159,7 @@ def ingest(
 
 
 def index_rows(ingested: DataFrame) -> DataFrame:
-    return ingested.where(F.col("reason").isNull()).select(*INDEX.fieldNames())
+    return where_once(ingested, F.col("reason").isNull()).select(*INDEX.fieldNames())
 
 
 def ingest_report(ingested: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.text import let, trim_ws
+from ..functions.text import let, trim_ws, unfold
 from ..functions.urls import resolve_url, url_authority, url_scheme
 
 
@@ -82,7 +82,7 @@ def text_blocks(pages: DataFrame, profile: str = "v2", sep: str = "", keys: list
     keys = keys or ["url"]
     return (
         with_blocks(cleaned(pages), profile, sep)
-        .select(*keys, F.posexplode("blocks").alias("_at", "_block"))
+        .select(*keys, F.posexplode(unfold(F.col("blocks"))).alias("_at", "_block"))
         .select(*keys, (F.col("_at") + 1).alias("ord"), F.col("_block.tag").alias("tag"), F.col("_block.text").alias("text"))
     )
 
@@ -125,7 +125,7 @@ def html_tables(pages: DataFrame, profile: str = "v2", keys: list[str] | None =
     keys = keys or ["url"]
     return (
         with_tables(cleaned(pages), profile)
-        .select(*keys, F.posexplode("tables").alias("_at", "table_html"))
+        .select(*keys, F.posexplode(unfold(F.col("tables"))).alias("_at", "table_html"))
         .select(*keys, (F.col("_at") + 1).alias("table_no"), "table_html")
     )
 
@@ -147,7 +147,7 @@ def page_images(pages: DataFrame, keys: list[str] | None = None) -> DataFrame:
     keys = keys or ["url"]
     return (
         with_images(cleaned(pages))
-        .select(*keys, F.col("url").alias("_base"), F.posexplode("images").alias("_at", "_img"))
+        .select(*keys, F.col("url").alias("_base"), F.posexplode(unfold(F.col("images"))).alias("_at", "_img"))
         .select(
             *keys,
             (F.col("_at") + 1).alias("image_no"),

@@ -1,4 +1,4 @@
-"""First n rows per key, safe for hot keys."""
+"""First n rows per key, safe for hot keys, and a filter on costly columns."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,3 +16,13 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank_col:
         df = rows.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= n).drop("_salt", "_rn")
     ranked = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(rank_col) <= n)
+
+
+def where_once(df: DataFrame, condition: Column) -> DataFrame:
+    """``where`` for conditions on costly columns.
+
+    Catalyst pushes a filter below the projection that makes its columns, which makes them twice. A generator of one
+    or no row is not pushed.
+    """
+    pass_on = F.explode(F.when(condition, F.array(F.lit(True))))
+    return df.select("*", pass_on.alias("_kept")).drop("_kept")

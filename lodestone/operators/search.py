@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +38,12 @@ def nearest_first() -> list[Column]:
 def knn_search(index: DataFrame, query: list[float], k: int = 5) -> DataFrame:
     """The ``k`` rows of the index nearest to one vector: all index columns, ``distance`` and ``rank``."""
     vector = F.lit([float(x) for x in query]).cast("array<double>")
+    fits = F.size("embedding") == len(query)
     near = (
-        index.where(F.size("embedding") == len(query))
-        .withColumn("distance", squared_l2(F.col("embedding"), vector))
-        .orderBy(*nearest_first())
+        index.withColumn("distance", F.when(fits, squared_l2(F.col("embedding"), vector)))
+        .orderBy(F.round("distance", _DIGITS).asc_nulls_last(), "node_id")
         .limit(k)
+        .where(F.col("distance").isNotNull())
     )
     # At most k rows are left, so one group is all there is to rank.
     return top_n(near.withColumn("_all", F.lit(0)), ["_all"], nearest_first(), k).drop("_all")
@@ -97,21 +99,31 @@ class _Best:
         return {"query_id": self.query_ids[self.q], "node_id": self.ids, "distance": self.dist}
 
 
-def _matrix(column, dim: int) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+def _arrow_side(ids, vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of the rows whose vector has the right length.
+
+    Checked here and not by a filter, which would be pushed down and have fresh vectors made twice.
+    """
+    fits = pc.equal(pc.fill_null(pc.list_value_length(vectors), 0), dim)
+    ids, vectors = ids.filter(fits), vectors.filter(fits)
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    return np.array(ids.to_pylist(), object), flat.astype(np.float64).reshape(-1, dim)
 
 
-def _usable(df: DataFrame, id_col: str, dim: int) -> DataFrame:
-    return df.where(F.size("embedding") == dim).select(id_col, "embedding")
+def _pandas_side(ids: pd.Series, vectors: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    fits = vectors.map(lambda v: v is not None and len(v) == dim).astype(bool)
+    kept = vectors[fits]
+    matrix = np.stack(kept).astype(np.float64) if len(kept) else np.empty((0, dim))
+    return ids[fits].to_numpy(object), matrix
 
 
 def _by_broadcast(index: DataFrame, queries: DataFrame, dim: int, k: int, schema: str) -> DataFrame:
     """Queries of a checked size go to every task; the index does not move."""
     table = queries.toArrow()
     shipped = index.sparkSession.sparkContext.broadcast(
-        (np.array(table.column("query_id").to_pylist(), object), _matrix(table.column("embedding"), dim))
+        _arrow_side(table.column("query_id"), table.column("embedding"), dim)
     )
     query_type = table.schema.field("query_id").type
 
@@ -119,8 +131,7 @@ def _by_broadcast(index: DataFrame, queries: DataFrame, dim: int, k: int, schema
         best, id_type = _Best(*shipped.value, k), None
         for batch in batches:
             id_type = batch.schema.field("node_id").type
-            ids = np.array(batch.column("node_id").to_pylist(), object)
-            best.add(ids, _matrix(batch.column("embedding"), dim))
+            best.add(*_arrow_side(batch.column("node_id"), batch.column("embedding"), dim))
         if id_type is None:
             return
         rows = best.rows()
@@ -141,17 +152,17 @@ def _by_blocks(index: DataFrame, queries: DataFrame, dim: int, k: int, schema: s
     in ``cells[1]``; a row is sent once to every block of the other side.
     """
     q_blocks, i_blocks = cells
+    cell = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))).withColumn("ib", every(i_blocks))
-    right = index.withColumn("ib", F.pmod(F.xxhash64("node_id"), F.lit(i_blocks)).cast("int")).withColumn(
-        "qb", every(q_blocks).cast("bigint")
-    )
+    left = queries.withColumn("qb", cell("query_id", q_blocks)).withColumn("ib", every(i_blocks))
+    right = index.select(F.col("node_id").alias("item"), F.col("embedding").alias("vector"))
+    right = right.withColumn("ib", cell("item", i_blocks)).withColumn("qb", every(q_blocks))
 
     def pair_best(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
         if q.empty or i.empty:
             return pd.DataFrame({"query_id": [], "node_id": [], "distance": []}).astype(object)
-        best = _Best(q["query_id"].to_numpy(object), np.stack(q["embedding"]).astype(np.float64), k)
-        best.add(i["node_id"].to_numpy(object), np.stack(i["embedding"]).astype(np.float64))
+        best = _Best(*_pandas_side(q["query_id"], q["embedding"], dim), k)
+        best.add(*_pandas_side(i["item"], i["vector"], dim))
         return pd.DataFrame(best.rows())
 
     return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(pair_best, schema)
@@ -167,7 +178,7 @@ def knn_join(index: DataFrame, queries: DataFrame, k: int = 5, query_bytes: int
     dim = size["dim"] or 1
     types = dict(index.dtypes) | {"query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, node_id {types['node_id']}, distance double"
-    index, queries = _usable(index, "node_id", dim), _usable(queries, "query_id", dim)
+    index, queries = index.select("node_id", "embedding"), queries.select("query_id", "embedding")
     total = size["n"] * (dim * 8 + 64)
     if total <= query_bytes:
         best = _by_broadcast(index, queries, dim, k, schema)

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.text import first_non_empty, let, non_empty
-from ..schema import KV
+from ..schema import GRID, KV
 
 _CELL = "struct<th:boolean,text:string,colspan:int,rowspan:int>"
-_SPOT = "array<array<struct<text:string,first:boolean>>>"
 _WIDEST = 1000  # the HTML standard's limit for colspan
 
 # The question text, and the columns that may name the thing a row is about.
@@ -20,7 +19,7 @@ QUESTION = "型號為{key}的{column}是什麼？答案：{value}"
 KEY_COLUMNS = ["型號", "Model"]
 
 
-@F.pandas_udf(_SPOT)
+@F.pandas_udf(GRID)
 def place_cells(tables: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Grid of a table with cells that span rows: every covered spot repeats the text of its cell.
 
@@ -128,7 +127,7 @@ def parse_tables(tables: DataFrame, profile: str = "v2") -> DataFrame:
     return (
         tables.withColumn("_cells", F.filter(F.transform(rows, row_cells), lambda r: F.size(r) > 0))
         .withColumn("_placed", place_cells(F.when(spans_rows, F.to_json(cells))))
-        .withColumn("_grid", F.coalesce("_placed", spread.cast(_SPOT)))
+        .withColumn("_grid", F.coalesce("_placed", spread.cast(GRID)))
         .withColumn("_heads", F.slice(grid, 1, head_count))
         .withColumn("table_rows", table_rows.cast(f"array<{KV}>"))
         .drop("_cells", "_placed", "_grid", "_heads")
@@ -175,11 +174,13 @@ def row_sentence(row: Column) -> Column:
     return F.array_join(F.transform(filled, lambda x: F.concat(x["k"], F.lit(": "), x["v"])), ", ")
 
 
+def sentences_of(rows: Column) -> Column:
+    """Sentences of all rows that have a value."""
+    return F.filter(F.transform(rows, row_sentence), lambda s: s != "")
+
+
 def with_sentences(tables: DataFrame) -> DataFrame:
-    """Add ``table_sentences``, one per row that has a value."""
-    return tables.withColumn(
-        "table_sentences", F.filter(F.transform("table_rows", row_sentence), lambda s: s != "")
-    )
+    return tables.withColumn("table_sentences", sentences_of(F.col("table_rows")))
 
 
 def header_of(rows: Column) -> Column:
@@ -208,25 +209,33 @@ def question_text(key: Column, column: Column, value: Column, template: str = QU
     return F.concat(out, key, F.lit(before), column, F.lit(middle), value, F.lit(tail))
 
 
+def questions_of(rows: Column, template: str = QUESTION, key_columns: list[str] | None = None) -> Column:
+    """All cell questions of a table: ``array<struct<row_no,col_no,row_data,k,v,question>>``, numbered from 1."""
+
+    def of_row(row: Column, r: Column, header: Column) -> Column:
+        key = row_key(row, header, key_columns)
+        numbered = F.transform(row, lambda x, c: F.struct((c + 1).alias("no"), x["k"].alias("k"), x["v"].alias("v")))
+        wanted = F.filter(numbered, lambda x: (x["v"] != "") & ~F.array_contains(header, x["v"]))
+
+        def question(x: Column, known: Column) -> Column:
+            return F.struct(
+                (r + 1).alias("row_no"),
+                x["no"].alias("col_no"),
+                row.alias("row_data"),
+                x["k"].alias("k"),
+                x["v"].alias("v"),
+                question_text(known, x["k"], x["v"], template).alias("question"),
+            )
+
+        return let(key, lambda known: F.transform(wanted, lambda x: question(x, known)))
+
+    return F.flatten(let(header_of(rows), lambda h: F.transform(rows, lambda row, r: of_row(row, r, h))))
+
+
 def cell_questions(tables: DataFrame, template: str = QUESTION, key_columns: list[str] | None = None) -> DataFrame:
     """One row per cell that has a value and does not merely repeat a column name.
 
-    Keeps the input columns and adds ``row_no``, ``col_no`` (from 1), ``row_data``, ``k``, ``v`` and ``question``.
+    Keeps the input columns and adds ``row_no``, ``col_no``, ``row_data``, ``k``, ``v`` and ``question``.
     """
     kept = [c for c in tables.columns if c != "table_rows"]
-    return (
-        tables.withColumn("_header", header_of(F.col("table_rows")))
-        .select(*kept, "_header", F.posexplode("table_rows").alias("_row", "row_data"))
-        .withColumn("_key", row_key(F.col("row_data"), F.col("_header"), key_columns))
-        .select("*", F.posexplode("row_data").alias("_col", "_cell"))
-        .where((F.col("_cell.v") != "") & ~F.array_contains("_header", F.col("_cell.v")))
-        .select(
-            *kept,
-            (F.col("_row") + 1).alias("row_no"),
-            (F.col("_col") + 1).alias("col_no"),
-            "row_data",
-            F.col("_cell.k").alias("k"),
-            F.col("_cell.v").alias("v"),
-            question_text(F.col("_key"), F.col("_cell.k"), F.col("_cell.v"), template).alias("question"),
-        )
-    )
+    return tables.select(*kept, F.inline(questions_of(F.col("table_rows"), template, key_columns)))

@@ -6,12 +6,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.elements import build_elements, embed_elements, images_of, page_items
+from ..operators.elements import build_elements, embed_elements
 from ..operators.ingest import embed_text, index_rows, ingest
 from ..operators.prompts import build_context, build_prompts, format_sources
 from ..operators.search import clamp_k, knn_join, search_status, with_payload
 from ..functions.vectors import has_non_zero
-from ..sources.io import attach_images
 
 Model = Callable[[list], list] | None
 
@@ -25,9 +24,7 @@ def pages_to_elements(
     labels: DataFrame | None = None,
 ) -> DataFrame:
     """Elements of landed pages, with vectors. ``files(url, content)`` and ``labels(image_url, label)`` are optional."""
-    items = page_items(pages, profile)
-    images = attach_images(images_of(items), files) if files is not None else None
-    return embed_elements(build_elements(items, labels, images, profile), dim, fn)
+    return embed_elements(build_elements(pages, files, labels, profile), dim, fn)
 
 
 def elements_to_index(elements: DataFrame, dim: int, fn: Model = None) -> DataFrame:

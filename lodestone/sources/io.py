@@ -1,9 +1,9 @@
-"""Files in and out: pages, elements, images, and the vector index as Parquet."""
+"""Files in and out: pages, elements, and the vector index as Parquet."""
 
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,19 +11,6 @@ from ..operators.ingest import image_list
 from ..operators.tables import recover_json_rows
 from ..schema import ELEMENT, ELEMENT_RAW, INDEX
 
-# Media types by file ending.
-MIME_TYPES = {
-    "png": "image/png",
-    "jpg": "image/jpeg",
-    "jpeg": "image/jpeg",
-    "webp": "image/webp",
-    "bmp": "image/bmp",
-    "tif": "image/tiff",
-    "tiff": "image/tiff",
-    "ico": "image/x-icon",
-    "avif": "image/avif",
-}
-
 PAGE = "url string, html string"
 
 
@@ -66,36 +53,6 @@ def write_elements(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     by_type.write.mode(mode).partitionBy("filetype").format("json" if fmt == "jsonl" else fmt).save(path)
 
 
-def mime_type(url: Column) -> Column:
-    """Media type by the ending of the path, null if unknown."""
-    ending = F.lower(F.regexp_extract(url, r"\.([A-Za-z0-9]+)(?:[?#].*)?$", 1))
-    known = F.create_map(*[F.lit(x) for pair in MIME_TYPES.items() for x in pair])
-    return F.try_element_at(known, ending)
-
-
-def base64_text(content: Column) -> Column:
-    """Base64 on one line, whatever the session says about line breaks."""
-    return F.translate(F.base64(content), "\r\n", "")
-
-
-def read_image_files(spark: SparkSession, path: str) -> DataFrame:
-    """Landed image files as ``(url, content)``, their path as url."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), "content")
-
-
-def attach_images(images: DataFrame, files: DataFrame) -> DataFrame:
-    """Add ``image_base64`` and ``image_mime_type`` from ``files(url, content)``; null where the file is missing.
-
-    Bytes are encoded before the join, once per file. A picture that half the web shows makes a hot key on the left
-    side of an outer join, which AQE splits.
-    """
-    payload = files.select(F.col("url").alias("image_url"), base64_text(F.col("content")).alias("image_base64"))
-    found = F.col("image_base64").isNotNull()
-    return images.join(payload, "image_url", "left").withColumn(
-        "image_mime_type", F.when(found, mime_type(F.col("image_url")))
-    )
-
-
 def save_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
     index.select(*[F.col(f.name).cast(f.dataType) for f in INDEX.fields]).write.mode(mode).parquet(path)
 
