@@ -22,13 +22,14 @@ def _drop_dots(path: Column) -> Column:
     start = F.array().cast("array<string>")
 
     def step(acc: Column, seg: Column) -> Column:
-        up = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))
+        up = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
         return F.when(seg == "..", up).when(seg == ".", acc).otherwise(F.concat(acc, F.array(seg)))
 
     def resolve(p: Column) -> Column:
         kept = F.array_join(F.aggregate(F.split(p, "/"), start, step), "/")
-        folder = F.concat(F.regexp_replace(kept, "/$", ""), F.lit("/"))
-        return F.when(~p.rlike(r"(^|/)\.\.?(/|$)"), p).when(p.rlike(r"/\.\.?$"), folder).otherwise(kept)
+        kept = F.when(p.rlike(r"/\.\.?$"), F.concat(kept, F.lit("/"))).otherwise(kept)
+        rooted = let(kept, lambda k: F.when(k.startswith("/"), k).otherwise(F.concat(F.lit("/"), k)))
+        return F.when(p.rlike(r"(^|/)\.\.?(/|$)"), rooted).otherwise(p)
 
     return let(path, resolve)
 

@@ -26,12 +26,13 @@ def token_buckets(text: Column, dim: int) -> Column:
 def bucket_counts(buckets: Column, dim: int) -> Column:
     """How often each of ``0 .. dim-1`` occurs, without a group-by.
 
-    Every bucket and one more are added once and the array sorted; the gaps between first places are the counts.
+    Words get odd numbers and an even marker is put before each bucket and at the end. Sorted, the distance between
+    two markers is the count of one bucket.
     """
-    ordered = F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(dim))))
-    edges = F.sequence(F.lit(0), F.lit(dim))
-    first = let(ordered, lambda o: F.transform(edges, lambda b: F.array_position(o, b)))
-    return let(first, lambda f: F.zip_with(F.slice(f, 1, dim), F.slice(f, 2, dim), lambda lo, hi: hi - lo - 1))
+    marked = F.concat(F.transform(buckets, lambda b: b * 2 + 1), F.sequence(F.lit(0), F.lit(2 * dim), F.lit(2)))
+    places = F.transform(F.sort_array(marked), lambda x, i: F.when(x % 2 == 0, i))
+    markers = F.filter(places, lambda i: i.isNotNull())
+    return let(markers, lambda m: F.zip_with(F.slice(m, 1, dim), F.slice(m, 2, dim), lambda lo, hi: hi - lo - 1))
 
 
 def unit_norm(values: Column) -> Column:

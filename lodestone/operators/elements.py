@@ -237,19 +237,16 @@ def embed_elements(elements: DataFrame, dim: int, fn: Callable[[list], list] | N
     return elements.withColumn("metadata", meta.withField("embedding", stored))
 
 
-def check_built(elements: DataFrame) -> None:
-    """Raise if there are elements and none has a vector."""
-    row = build_counts(elements).first()
-    if row["elements"] > 0 and row["embedded"] == 0:
-        raise RuntimeError(f"none of {row['elements']} elements has an embedding")
-
-
 def _has_vector() -> Column:
     return F.coalesce(F.size("metadata.embedding") > 0, F.lit(False))
 
 
-def build_counts(elements: DataFrame) -> DataFrame:
-    return elements.agg(F.count("*").alias("elements"), F.count_if(_has_vector()).alias("embedded"))
+def build_guard(elements: DataFrame) -> DataFrame:
+    """One row: elements, and how many have a vector. Running it fails if there are elements and none has one."""
+    counts = elements.agg(F.count("*").alias("elements"), F.count_if(_has_vector()).alias("embedded"))
+    bad = (F.col("elements") > 0) & (F.col("embedded") == 0)
+    failed = F.raise_error(F.concat(F.lit("no element has an embedding, of "), F.col("elements").cast("string")))
+    return counts.select("elements", F.when(bad, failed.cast("bigint")).otherwise(F.col("embedded")).alias("embedded"))
 
 
 def profile_elements(elements: DataFrame) -> DataFrame:

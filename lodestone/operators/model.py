@@ -32,11 +32,15 @@ def map_model(fn: Callable[[list], list], value: Column, returns: str, batch: in
         return out if len(out) == len(values) else one_by_one(values)
 
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            given = series[series.notna()]
-            results = []
+        for wrapped in batches:
+            # Each value comes in a list of its own, so that a null does not turn whole numbers into floats.
+            given = [i for i, v in enumerate(wrapped) if v is not None and len(v)]
+            out = [None] * len(wrapped)
             for start in range(0, len(given), batch):
-                results += run(given.iloc[start : start + batch].tolist())
-            yield pd.Series(results, index=given.index, dtype=object).reindex(series.index)
+                places = given[start : start + batch]
+                values = [v.tolist()[0] if hasattr(v, "tolist") else v[0] for v in (wrapped.iloc[i] for i in places)]
+                for i, result in zip(places, run(values), strict=True):
+                    out[i] = result
+            yield pd.Series(out, index=wrapped.index, dtype=object)
 
-    return F.pandas_udf(call, returns)(value)
+    return F.pandas_udf(call, returns)(F.when(value.isNotNull(), F.array(value)))

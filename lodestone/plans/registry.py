@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.text import unfold
 from ..functions.urls import resolve_url, url_authority, url_scheme
 from ..functions.vectors import has_non_zero
 from ..operators import crawl as C
@@ -297,7 +298,7 @@ def landed_links(spark, sf):
 
 def _pairs(df: DataFrame, *keys: str) -> DataFrame:
     return (
-        df.select(*keys, F.posexplode("table_rows").alias("row_no", "row"))
+        df.select(*keys, F.posexplode(unfold(F.col("table_rows"))).alias("row_no", "row"))
         .select(*keys, "row_no", F.posexplode("row").alias("col_no", "cell"))
         .select(*keys, "row_no", "col_no", F.col("cell.k").alias("k"), F.col("cell.v").alias("v"))
     )
@@ -405,9 +406,7 @@ def element_ids(spark, sf):
 
 
 def build_guard(spark, sf):
-    elements = E.embed_elements(E.build_elements(_all_pages(spark, sf)), DIM)
-    E.check_built(elements)
-    return E.build_counts(elements)
+    return E.build_guard(E.embed_elements(E.build_elements(_all_pages(spark, sf)), DIM))
 
 
 def profile_elements(spark, sf):
@@ -445,7 +444,7 @@ def resolve_vectors(spark, sf):
 
 def embed_text(spark, sf):
     rows = N.embed_text(table(spark, sf, "documents").select("doc_id", "text"), "text", DIM)
-    values = rows.select("doc_id", F.posexplode("embedding").alias("bucket", "value"))
+    values = rows.select("doc_id", F.posexplode(unfold(F.col("embedding"))).alias("bucket", "value"))
     return values.where(F.col("value") != 0).select("doc_id", "bucket", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
@@ -458,7 +457,7 @@ def node_ids(spark, sf):
 
 
 def ingest_report(spark, sf):
-    return N.ingest_report(ingested_docs(spark, sf))
+    return N.ingest_guard(N.ingest_report(ingested_docs(spark, sf)))
 
 
 def chunk_words(spark, sf):

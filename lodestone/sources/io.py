@@ -17,7 +17,7 @@ PAGE = "url string, html string"
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Landed pages. ``fmt="files"`` takes a folder of HTML files, one page each, its path as url."""
     if fmt == "files":
-        whole = spark.read.option("wholetext", True).text(path)
+        whole = spark.read.text(path, wholetext=True)
         return whole.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
     if fmt == "json":
         return spark.read.schema(PAGE).json(path)
