@@ -6,10 +6,10 @@ Nothing here explodes or shuffles: a page is one row before and one array afterw
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, decode_entities, trim_ws
+from .text import WS, decode_entities, let, trim_ws
 
 TAG = r"<(?:[/!?]|(?=[A-Za-z]))(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)"
-_ATTR = r"(?s)([^\s\"'<>/=]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)"
+_ATTR = r"(?s)(?<=[\s\"'/])([^\s\"'<>/=]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++)"
 
 # Stands where markup was cut out, so that the texts on both sides stay two texts.
 GAP = "<!---->"
@@ -22,11 +22,10 @@ _BREAKS = (
     "h[1-6]|p|ul|ol|li|dl|dt|dd|div|table|caption|thead|tbody|tfoot|tr|td|th|blockquote|pre|form"
     "|fieldset|address|center|hr|article|section|main|header|body|html"
 )
-_OPEN_ONLY_CLOSED = "article|section|main|header|body|html"
 _BOUNDARY = rf"(?i)(?=</?(?:{_BREAKS})[\s/>])"
 
 # A heading may hold a div; it ends at these.
-_HEADING_STOP = r"^(/?h[1-6]|p|ul|ol|li|table|/(li|ul|ol|td|th|tr|table|body|html|article|section|main))$"
+HEADING_STOP = r"^(/?h[1-6]|p|ul|ol|li|table|/(li|ul|ol|td|th|tr|table|body|html|article|section|main))$"
 
 BLOCK_TAGS = {
     "v2": ["h1", "h2", "h3", "h4", "h5", "p", "ul", "ol"],
@@ -84,26 +83,72 @@ def keep_block(text: Column, profile: str = "v2") -> Column:
     return (F.length(text) > 2) & ~text.rlike(r"(?i)^(?:\s*Copyright|©|\d{4} All Rights)")
 
 
-def running_sum(steps: Column) -> Column:
-    """Running sum of an array of small ints (short arrays only: it copies as it grows)."""
+def _sum(steps: Column) -> Column:
+    return F.aggregate(steps, F.lit(0), lambda acc, s: acc + s)
+
+
+def _grow(steps: Column) -> Column:
+    """Running sum that copies its result at every step: for short arrays."""
     start = F.array().cast("array<int>")
     return F.aggregate(
         steps, start, lambda acc, s: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + s))
     )
 
 
+def running_sum(steps: Column) -> Column:
+    """Running sum of an array of ints, in stretches of its square root, so that long arrays stay affordable."""
+
+    def whole(all_steps: Column) -> Column:
+        length = F.greatest(F.ceil(F.sqrt(F.size(all_steps))).cast("int"), F.lit(1))
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_steps), F.lit(1)), length)
+        return let(F.transform(starts, lambda i: F.slice(all_steps, i, length)), joined)
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, _sum)
+        before = F.zip_with(_grow(totals), totals, lambda upto, own: upto - own)
+        return F.flatten(F.zip_with(parts, before, lambda p, o: F.transform(_grow(p), lambda x: x + o)))
+
+    return let(steps, whole)
+
+
+def bracket_pairs(steps: Column) -> Column:
+    """Pairs ``struct<i,close>`` of every opening (+1) with its closing (-1) place, counted from 1, in order.
+
+    ``close`` is one past the end where nothing closes. Sorted by level, an opening place is followed by its closing
+    one, so no place is searched for.
+    """
+
+    def by_level(depth: Column, all_steps: Column) -> Column:
+        places = F.zip_with(all_steps, depth, lambda s, d: F.struct(s.alias("s"), d.alias("d")))
+        marked = F.transform(
+            places,
+            lambda p, i: F.when(
+                p["s"] != 0,
+                F.struct((p["d"] + F.when(p["s"] < 0, 1).otherwise(0)).alias("level"), (i + 1).alias("i"), p["s"].alias("s")),
+            ),
+        )
+        return F.sort_array(F.filter(marked, lambda m: m.isNotNull()))
+
+    def pairs(places: Column, end: Column) -> Column:
+        def pair(m: Column, j: Column) -> Column:
+            after = F.get(places, j + 1)
+            closed = (after["level"] == m["level"]) & (after["s"] < 0)
+            return F.when(m["s"] > 0, F.struct(m["i"].alias("i"), F.when(closed, after["i"]).otherwise(end).alias("close")))
+
+        return F.sort_array(F.filter(F.transform(places, pair), lambda p: p.isNotNull()))
+
+    def whole(all_steps: Column) -> Column:
+        places = by_level(running_sum(all_steps), all_steps)
+        return let(places, lambda p: pairs(p, F.size(all_steps) + 1))
+
+    return let(steps, whole)
+
+
 def table_step(piece: Column) -> Column:
     """+1 where a table opens, -1 where one closes."""
     return F.when(piece.rlike("(?i)^<table"), 1).when(piece.rlike("(?i)^</table"), -1).otherwise(0)
 
 
-def close_of(depth: Column, i: Column, size: Column) -> Column:
-    """Where the bracket opened at ``i`` (from 1) closes; ``size + 1`` if it never does."""
-    level = F.element_at(depth, i)
-    offset = F.array_position(F.slice(depth, i + 1, size), level - 1)
-    return F.when(offset > 0, i + offset.cast("int")).otherwise(size + 1)
-
-
 def split_blocks(html: Column) -> Column:
     return F.split(html, _BOUNDARY)
 
@@ -117,7 +162,3 @@ def indexes(arr: Column, keep) -> Column:
     """Positions (from 1) of the items that ``keep`` accepts."""
     at = F.transform(arr, lambda t, i: F.when(keep(t), i + 1))
     return F.filter(at, lambda i: i.isNotNull())
-
-
-def heading_stops(tags: Column) -> Column:
-    return F.transform(tags, lambda t: t.rlike(_HEADING_STOP))

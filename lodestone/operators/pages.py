@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.text import let, trim_ws, unfold
+from ..functions.text import trim_ws, unfold
 from ..functions.urls import resolve_url, url_authority, url_scheme
 
 
@@ -33,47 +33,36 @@ def with_blocks(pages: DataFrame, profile: str = "v2", sep: str = "") -> DataFra
     """
     wanted = H.BLOCK_TAGS[profile]
     flat = [t for t in wanted if t not in ("ul", "ol")]
-    lists, ends = ["ul", "ol"], ["/ul", "/ol"]
-    pieces, tags = F.col("_pieces"), F.col("_tags")
-    depth, at = F.col("_depth"), F.col("_lists")
-    count = F.size(pieces)
-
-    def flat_block(i: Column, stops: Column) -> Column:
-        ahead = F.array_position(F.slice(stops, i + 1, count), True).cast("int")
-        end = F.when(F.element_at(tags, i) == "p", i + 1).when(ahead > 0, i + ahead).otherwise(count + 1)
-        return _block(i, F.slice(pieces, i, end - i))
-
-    def list_block(q: Column) -> Column:
-        close = H.close_of(depth, q, F.size(at))
-        start = F.element_at(at, q)
-        end = F.when(close > F.size(at), count + 1).otherwise(F.get(at, close - 1))
-        return _block(start, F.slice(pieces, start, end - start))
-
-    def _block(i: Column, parts: Column) -> Column:
-        return F.struct(
-            i.alias("pos"),
-            F.element_at(tags, i).alias("tag"),
-            H.element_text(F.array_join(parts, ""), sep).alias("text"),
-        )
-
-    list_openers = F.filter(
-        F.sequence(F.lit(1), F.size(at)), lambda q: F.element_at(tags, F.element_at(at, q)).isin(lists)
-    )
-    openers = H.indexes(tags, lambda t: t.isin(flat))
-    blocks = F.concat(
-        let(H.heading_stops(tags), lambda stops: F.transform(openers, lambda i: flat_block(i, stops))),
-        F.when(F.size(at) == 0, F.array()).otherwise(F.transform(list_openers, list_block)),
+    pieces, tags, stops, lists = F.col("_pieces"), F.col("_tags"), F.col("_stops"), F.col("_lists")
+    past_end = F.size(pieces) + 1
+
+    def block(start: Column, end: Column) -> Column:
+        markup = F.array_join(F.slice(pieces, start, end - start), "")
+        tag = F.element_at(tags, start)
+        return F.struct(start.alias("pos"), tag.alias("tag"), H.element_text(markup, sep).alias("text"))
+
+    def flat_block(q: Column) -> Column:
+        start = F.element_at(stops, q)
+        end = F.when(F.element_at(tags, start) == "p", start + 1).otherwise(F.coalesce(F.get(stops, q), past_end))
+        return block(start, end)
+
+    def list_block(pair: Column) -> Column:
+        end = F.coalesce(F.get(lists, pair["close"] - 1), past_end)
+        return block(F.element_at(lists, pair["i"]), end)
+
+    flat_at = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size(stops), F.lit(1))),
+        lambda q: F.coalesce(F.element_at(tags, F.get(stops, q - 1)).isin(flat), F.lit(False)),
     )
+    steps = F.transform(lists, lambda i: F.when(F.element_at(tags, i).startswith("/"), -1).otherwise(1))
+    blocks = F.concat(F.transform(flat_at, flat_block), F.transform(H.bracket_pairs(steps), list_block))
     return (
         pages.withColumn("_pieces", H.split_blocks(F.col("_clean")))
-        .withColumn("_tags", H.tag_names(F.col("_pieces")))
-        .withColumn("_lists", H.indexes(tags, lambda t: t.isin(lists + ends)))
-        .withColumn(
-            "_depth",
-            H.running_sum(F.transform(at, lambda i: F.when(F.element_at(tags, i).isin(lists), 1).otherwise(-1))),
-        )
+        .withColumn("_tags", H.tag_names(pieces))
+        .withColumn("_stops", H.indexes(tags, lambda t: t.rlike(H.HEADING_STOP)))
+        .withColumn("_lists", H.indexes(tags, lambda t: t.isin("ul", "ol", "/ul", "/ol")))
         .withColumn("blocks", F.array_sort(F.filter(blocks, lambda b: H.keep_block(b["text"], profile))))
-        .drop("_pieces", "_tags", "_lists", "_depth")
+        .drop("_pieces", "_tags", "_stops", "_lists")
     )
 
 
@@ -104,19 +93,17 @@ def page_text(
 
 def with_tables(pages: DataFrame, profile: str = "v2") -> DataFrame:
     """Add ``tables array<string>`` to cleaned pages: markup of every table with cells, inner tables too."""
-    parts, depth = F.col("_parts"), F.col("_depth")
-    count = F.size(parts)
+    parts = F.col("_parts")
 
-    def outer_html(i: Column) -> Column:
-        end = H.close_of(depth, i, count)
-        return F.concat(F.array_join(F.slice(parts, i, end - i), ""), F.lit("</table>"))
+    def outer_html(pair: Column) -> Column:
+        inside = F.slice(parts, pair["i"], pair["close"] - pair["i"])
+        return F.concat(F.array_join(inside, ""), F.lit("</table>"))
 
-    openers = H.indexes(parts, lambda s: s.rlike(r"(?i)^<table"))
+    found = F.transform(H.bracket_pairs(F.transform(parts, H.table_step)), outer_html)
     return (
         pages.withColumn("_parts", F.split("_clean", r"(?i)(?=</?table[\s/>])"))
-        .withColumn("_depth", H.running_sum(F.transform(parts, H.table_step)))
-        .withColumn("tables", F.filter(F.transform(openers, outer_html), lambda t: t.rlike(H.TABLE_MARK[profile])))
-        .drop("_parts", "_depth")
+        .withColumn("tables", F.filter(found, lambda t: t.rlike(H.TABLE_MARK[profile])))
+        .drop("_parts")
     )
 
 

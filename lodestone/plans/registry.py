@@ -61,7 +61,9 @@ def _td(value: Column, extra: str = "") -> Column:
 
 
 def _block_html(spark: SparkSession, sf: str, row: Column, head: str, foot: str) -> DataFrame:
-    rows = part_cells(spark, sf).select("block", "key", row.alias("row"))
+    # Parsing comes after this shuffle and costs more than its bytes suggest, so the partition count is fixed.
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    rows = part_cells(spark, sf).select("block", "key", row.alias("row")).repartition(partitions, "block")
     ordered = F.array_sort(F.collect_list(F.struct("key", "row")))
     body = F.array_join(F.transform(ordered, lambda r: r["row"]), "")
     return rows.groupBy("block").agg(F.concat(F.lit(head), body, F.lit(foot)).alias("table_html"))

@@ -68,8 +68,11 @@ def load_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_rows(index: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows whose ``node_id`` the index does not have yet, each once. Only the ids of the index are read."""
-    return rows.join(index.select("node_id"), "node_id", "left_anti").dropDuplicates(["node_id"])
+    """Rows whose ``node_id`` the index does not have yet, each once. Only the ids of the index are read.
+
+    Copies go first: they collapse before the shuffle, and the join that follows uses the same partitioning.
+    """
+    return rows.dropDuplicates(["node_id"]).join(index.select("node_id"), "node_id", "left_anti")
 
 
 def append_index(rows: DataFrame, path: str) -> None:
