@@ -27,11 +27,10 @@ _BOUNDARY = rf"(?i)(?=</?(?:{_BREAKS})[\s/>])"
 # A heading may hold a div; it ends at these.
 HEADING_STOP = r"^(/?h[1-6]|p|ul|ol|li|table|/(li|ul|ol|td|th|tr|table|body|html|article|section|main))$"
 
-BLOCK_TAGS = {
-    "v2": ["h1", "h2", "h3", "h4", "h5", "p", "ul", "ol"],
-    "v1": ["h1", "h2", "p", "ul", "ol"],
-}
-TABLE_MARK = {"v2": r"(?i)<t[dh]", "v1": r"(?i)<td"}
+# The three page profiles. "script" finds what v2 finds, but keeps pages and tables without text.
+_ALL_TAGS = ["h1", "h2", "h3", "h4", "h5", "p", "ul", "ol"]
+BLOCK_TAGS = {"v2": _ALL_TAGS, "v1": ["h1", "h2", "p", "ul", "ol"], "script": _ALL_TAGS}
+TABLE_MARK = {"v2": r"(?i)<t[dh]", "v1": r"(?i)<td", "script": r"(?i)<t[dh]"}
 
 
 def strip_comments(html: Column) -> Column:

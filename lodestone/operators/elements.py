@@ -71,9 +71,10 @@ def make_element(source_url: Column, filetype: str, ordinal: Column, text: Colum
 
     def build(identity: Column) -> Column:
         given = {"filename": identity, "source_url": source_url, "filetype": F.lit(filetype), **fields}
-        meta = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT["metadata"].dataType]
-        top = {"type": F.lit(TYPE), "element_id": identity, "text": text, "metadata": F.struct(*meta)}
-        return F.struct(*[top.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ELEMENT])
+        none = F.lit(None)
+        meta = F.struct(*[given.get(n, none).alias(n) for n in ELEMENT["metadata"].dataType.fieldNames()])
+        top = {"type": F.lit(TYPE), "element_id": identity, "text": text, "metadata": meta}
+        return F.struct(*[top.get(n, none).alias(n) for n in ELEMENT.fieldNames()]).cast(ELEMENT)
 
     return let(element_id(source_url, F.lit(filetype), ordinal, text), build)
 
@@ -180,10 +181,11 @@ def page_items(pages: DataFrame, profile: str = "v2", with_pictures: bool = True
     rows = with_blocks(cleaned(pages), profile)
     if profile == "v2":
         parts = [F.when(F.size("blocks") > 0, parts[0]).otherwise(F.array().cast(_ITEM))]
-        rows = with_tables(rows)
+    if profile != "v1":
+        rows = with_tables(rows, profile)
         tables = F.transform("tables", lambda t, i: F.struct(F.lit("table"), i + 1, null, null, t, null, null))
         parts.append(tables.cast(_ITEM))
-    if profile == "v2" and with_pictures:
+    if profile != "v1" and with_pictures:
         rows = with_images(rows)
         images = F.transform(
             "images", lambda m, i: F.struct(F.lit("image"), i + 1, null, null, null, m["src"], m["alt"])
@@ -203,7 +205,8 @@ def build_elements(
     Pages are scanned once and nothing shuffles. Only if ``files(url, content)`` or ``labels(image_url, label)`` are
     to be joined do the images come from a scan of their own.
     """
-    joined = profile == "v2" and (files is not None or labels is not None)
+    script = profile == "script"
+    joined = profile != "v1" and (files is not None or labels is not None)
     items = page_items(pages, profile, with_pictures=not joined)
     url, no, kind = F.col("url"), F.col("no"), F.col("kind")
     text = F.array(text_element_of(url, F.col("text"), F.col("content_blocks")))
@@ -215,8 +218,8 @@ def build_elements(
     elements = rows.select(
         F.inline(
             F.when(kind == "text", text)
-            .when(kind == "table", F.concat(table_element_list(*table, False), question_element_list(*table)))
-            .otherwise(F.array(let(image_url, lambda u: image_element_of(url, no, u, F.col("alt")))))
+            .when(kind == "table", F.concat(table_element_list(*table, script), question_element_list(*table)))
+            .otherwise(F.array(let(image_url, lambda u: image_element_of(url, no, u, F.col("alt"), text_is_label=not script))))
         )
     )
     if not joined:
@@ -224,7 +227,7 @@ def build_elements(
     images = page_images(pages)
     if files is not None:
         images = attach_images(images, files)
-    return elements.unionByName(image_elements(images, labels))
+    return elements.unionByName(image_elements(images, labels, text_is_label=not script))
 
 
 def embed_elements(elements: DataFrame, dim: int, fn: Callable[[list], list] | None = None) -> DataFrame:
@@ -271,6 +274,11 @@ def count_by_type(elements: DataFrame) -> DataFrame:
     return elements.groupBy(F.coalesce("metadata.filetype", F.lit("")).alias("filetype")).agg(F.count("*").alias("n"))
 
 
+def embedding_sizes(elements: DataFrame) -> DataFrame:
+    """How many elements have a vector of which length; null where there is none."""
+    return elements.groupBy(F.size("metadata.embedding").alias("dim")).agg(F.count("*").alias("n"))
+
+
 def describe_elements(elements: DataFrame) -> DataFrame:
     """One row per field: how many elements fill it, and the shortest and longest value of list fields."""
     meta_fields = ELEMENT["metadata"].dataType.fields

@@ -7,13 +7,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.text import trim_ws, unfold
+from ..functions.text import is_blank, trim_ws, unfold
 from ..functions.urls import resolve_url, url_authority, url_scheme
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
     """Pages that hold any markup; a failed fetch lands as null or blank."""
-    return pages.where(F.col("html").isNotNull() & (trim_ws(F.col("html")) != ""))
+    return pages.where(~is_blank(F.col("html")))
+
+
+def page_report(pages: DataFrame) -> DataFrame:
+    """One row: pages, and how many of them hold nothing and are skipped."""
+    blank = F.count_if(is_blank(F.col("html")))
+    return pages.agg(F.count("*").alias("pages"), blank.alias("blank"))
 
 
 def strip_pages(pages: DataFrame) -> DataFrame:
@@ -79,9 +85,9 @@ def text_blocks(pages: DataFrame, profile: str = "v2", sep: str = "", keys: list
 def page_text(
     pages: DataFrame, profile: str = "v2", keep_empty: bool | None = None, sep: str = "", keys: list[str] | None = None
 ) -> DataFrame:
-    """One row per page: its blocks, and their texts one per line. Pages without text go, but for v1."""
+    """One row per page: its blocks, and their texts one per line. Pages without text go in v2 only."""
     keys = keys or ["url"]
-    keep_empty = profile == "v1" if keep_empty is None else keep_empty
+    keep_empty = profile != "v2" if keep_empty is None else keep_empty
     texts = F.transform("blocks", lambda b: b["text"])
     if not keep_empty:
         # An array of no or one row: a filter on the text would be pushed down and work it out twice.
@@ -156,7 +162,7 @@ def page_links(pages: DataFrame, profile: str = "v2") -> DataFrame:
 
     def same_host(target: Column) -> Column:
         same = url_authority(target) == F.col("_host")
-        return same & url_scheme(target).isin("http", "https") if profile == "v2" else same
+        return same & url_scheme(target).isin("http", "https") if profile != "v1" else same
 
     return (
         usable_pages(pages)

@@ -6,6 +6,8 @@ shuffled is ``k`` rows per query and task, whatever the index holds.
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -15,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import has_non_zero, squared_l2
+from ..sources.scratch import cut_lineage
 from .ranking import top_n
 
 MAX_K = 20
+FEW_IDS = 100  # ids that are worth a filter of their own
 QUERY_BYTES = 32 << 20  # largest query matrix that is shipped to every task
 CELL_BYTES = 64 << 20  # size of one side of a block pair beyond that
 _TILE = 4 << 20  # distances worked out at a time
@@ -198,6 +202,19 @@ def with_payload(hits: DataFrame, index: DataFrame) -> DataFrame:
     return hits.join(index.select("node_id", *payload), "node_id")
 
 
+def lookup_payload(hits: DataFrame, index: DataFrame, few: int = FEW_IDS) -> DataFrame:
+    """``with_payload`` for a saved index. The hits are settled first, so the search runs once.
+
+    If they name only a few rows, these ids go into the scan as a filter, and a sorted index is read in those places
+    only. More hits than that are joined.
+    """
+    hits = cut_lineage(hits)
+    ids = [row["node_id"] for row in hits.select("node_id").distinct().limit(few + 1).collect()]
+    if 0 < len(ids) <= few:
+        index = index.where(reduce(or_, [F.col("node_id") == i for i in ids]))
+    return with_payload(hits, index)
+
+
 def project_hits(hits: DataFrame) -> DataFrame:
     """Hits as they are handed out: with the number of images in place of the images."""
     kept = [c for c in hits.columns if c not in ("images", "embedding")]

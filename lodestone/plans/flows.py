@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.elements import build_elements, embed_elements
 from ..operators.ingest import embed_text, index_rows, ingest
 from ..operators.prompts import build_context, build_prompts, format_sources
-from ..operators.search import clamp_k, knn_join, search_status, with_payload
+from ..operators.search import clamp_k, knn_join, lookup_payload, search_status
 from ..functions.vectors import has_non_zero
 
 Model = Callable[[list], list] | None
@@ -41,9 +41,12 @@ class Retrieval:
 
 
 def retrieve(index: DataFrame, queries: DataFrame, dim: int, k: int = 5, fn: Model = None) -> Retrieval:
-    """Answer ``queries(query_id, query)`` from the index: ranked hits, a status each, prompts and source lists."""
+    """Answer ``queries(query_id, query)`` from the index: ranked hits, a status each, prompts and source lists.
+
+    The index is best a saved one: it is scanned for its vectors, then read for the payload of the hits.
+    """
     embedded = embed_text(queries, "query", dim, fn)
     usable = embedded.where(has_non_zero(F.col("embedding")))
-    hits = with_payload(knn_join(index, usable.select("query_id", "embedding"), clamp_k(k)), index)
+    hits = lookup_payload(knn_join(index, usable.select("query_id", "embedding"), clamp_k(k)), index)
     contexts = build_context(hits).join(queries, "query_id")
     return Retrieval(embedded, hits, search_status(embedded, hits), build_prompts(contexts), format_sources(hits))

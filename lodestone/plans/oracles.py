@@ -363,6 +363,11 @@ SELECT {_id("url", "'image'", "image_no", "coalesce(label, '')")} AS element_id,
 SELECT doc_id, {_lit(_B)} || CASE WHEN length(text) > 500 THEN left(text, 500) || '...' ELSE text END || {_lit(_M)}
   || left(base64(encode(text)), 200) || '...' || {_lit(_A)} AS prompt FROM documents""",
         "build_elements": f"{_ALL_ELEMENTS} SELECT {_id('source_url', 'filetype', 'ordinal', 'text')} AS element_id, source_url, filetype, text FROM elements",
+        "build_elements_script": f"""{_ALL_ELEMENTS},
+scripted AS (
+  SELECT source_url, filetype, ordinal, CASE WHEN filetype = 'image' THEN '' ELSE text END AS text FROM elements
+  UNION ALL SELECT url, 'text/html', '1', '' FROM pages WHERE page_id NOT IN (SELECT page_id FROM blocks))
+SELECT {_id('source_url', 'filetype', 'ordinal', 'text')} AS element_id, source_url, filetype, text FROM scripted""",
         "element_ids": f"""SELECT doc_id, {_id("source", "'text/html'", "doc_id", "text")} AS element_id FROM documents""",
         "build_guard": f"{_ALL_ELEMENTS} SELECT count(*) AS elements, CAST(count_if(filetype <> 'image') AS BIGINT) AS embedded FROM elements",
         "profile_elements": f"""{_ALL_ELEMENTS}
@@ -370,6 +375,10 @@ SELECT count(*) AS elements, CAST(count_if(filetype LIKE 'table%') AS BIGINT) AS
   CAST(count_if(filetype <> 'image') AS BIGINT) AS with_embedding, round(CAST(count_if(filetype <> 'image') AS BIGINT) * 100.0 / count(*), 2) AS embedding_pct FROM elements""",
         "count_by_type": f"{_ALL_ELEMENTS} SELECT filetype, count(*) AS n FROM elements GROUP BY filetype",
         "describe_elements": _described(),
+        "embedding_sizes": f"WITH {_ENTRIES} SELECT CAST(coalesce(stored, 0) AS INTEGER) AS dim, count(*) AS n FROM entries GROUP BY stored",
+        "page_report": """
+WITH p AS (SELECT regexp_extract(html, '(?s)<p>[^<]{400,}</p>') AS html FROM pages)
+SELECT count(*) AS pages, CAST(count_if(html = '') AS BIGINT) AS blank FROM p""",
         "pick_text_and_source": f"WITH {_ENTRIES} SELECT source_url, text, source, n_images FROM entries",
         "image_lists": """
 SELECT doc_id, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 ELSE 0 END AS n,
@@ -388,6 +397,7 @@ SELECT CAST(count_if(reason IS NULL) AS BIGINT) AS processed, CAST(count_if(reas
         "knn_join": _KNN_LABELS,
         "knn_join_blocks": _KNN_LABELS,
         "hit_lookup": f"WITH {_hits()} SELECT query_id, rank, source, text, round(distance, 6) AS distance FROM hits",
+        "lookup_payload": f"WITH {_hits()} SELECT query_id, rank, source, text, round(distance, 6) AS distance FROM hits",
         "clamp_k": "SELECT doc_id, greatest(1, least(n_chars % 40 - 5, 20)) AS k FROM documents",
         "search_status": f"""WITH {_hits(3)},
 n AS (SELECT query_id, count(*) AS n FROM hits WHERE round(distance, 6) < 0.5 GROUP BY query_id)
@@ -406,6 +416,8 @@ SELECT item_id AS query_id, CASE WHEN sources IS NULL THEN text ELSE 'Answer:' |
 FROM benchmark LEFT JOIN s ON query_id = item_id""",
         "index_status": f"""WITH {_CHUNKS}
 SELECT count(*) AS vectors, count(*) AS texts, {DIM} AS dimension, true AS consistent, count(*) > 0 AS ready FROM chunks""",
+        "saved_index_status": f"""WITH {_CHUNKS}
+SELECT count(*) AS vectors, count(*) AS texts, {DIM} AS dimension, true AS consistent, count(*) > 0 AS ready, true AS "exists" FROM chunks""",
         "history_prompts": f"""
 WITH h AS (SELECT *, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), '') AS history FROM conversations)
 SELECT conv_id, turn, history, {_lit(R.HISTORY_HEAD)} || history || {_lit(R.HISTORY_TAIL)} || text AS prompt FROM h""",

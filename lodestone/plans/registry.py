@@ -396,9 +396,13 @@ def _all_pages(spark, sf) -> DataFrame:
     return table(spark, sf, "pages").select("url", "html").unionByName(part_pages(spark, sf))
 
 
-def build_elements(spark, sf):
-    rows = E.build_elements(_all_pages(spark, sf))
-    return rows.select("element_id", F.col("metadata.source_url").alias("source_url"), F.col("metadata.filetype").alias("filetype"), "text")
+def build_elements(profile):
+    def run(spark, sf):
+        rows = E.build_elements(_all_pages(spark, sf), profile=profile)
+        meta = F.col("metadata")
+        return rows.select("element_id", meta["source_url"].alias("source_url"), meta["filetype"].alias("filetype"), "text")
+
+    return run
 
 
 def element_ids(spark, sf):
@@ -423,6 +427,31 @@ def describe_elements(spark, sf):
     return E.describe_elements(doc_elements(spark, sf)).fillna(0)
 
 
+def embedding_sizes(spark, sf):
+    return E.embedding_sizes(doc_elements(spark, sf)).fillna(0)
+
+
+def page_report(spark, sf):
+    """Pages reduced to a long paragraph of theirs; those without one are blank."""
+    rows = table(spark, sf, "pages").select(F.regexp_extract("html", "(?s)<p>[^<]{400,}</p>", 0).alias("html"))
+    return P.page_report(rows)
+
+
+def lookup_payload(spark, sf):
+    """Search over a saved index, and its rows read by id."""
+    path = scratch_path(spark, "index")
+    io.save_index(chunk_index(spark, sf), path)
+    index = io.load_index(spark, path)
+    found = S.lookup_payload(S.knn_join(index, benchmark_queries(spark, sf), K), index)
+    return found.select("query_id", "rank", "source", "text", F.round("distance", 6).alias("distance"))
+
+
+def saved_index_status(spark, sf):
+    path = scratch_path(spark, "index")
+    io.save_index(chunk_index(spark, sf), path)
+    return io.saved_index_status(spark, path)
+
+
 def pick_text_and_source(spark, sf):
     entries = N.to_entries(doc_elements(spark, sf))
     return entries.select("source_url", "text", "source", F.size("images").alias("n_images"))
@@ -623,12 +652,15 @@ def registry() -> dict[str, Query]:
         "attach_images": attach_images,
         "image_elements": image_elements,
         "label_prompts": label_prompts,
-        "build_elements": build_elements,
+        "build_elements": build_elements("v2"),
+        "build_elements_script": build_elements("script"),
         "element_ids": element_ids,
         "build_guard": build_guard,
         "profile_elements": profile_elements,
         "count_by_type": count_by_type,
         "describe_elements": describe_elements,
+        "embedding_sizes": embedding_sizes,
+        "page_report": page_report,
         "pick_text_and_source": pick_text_and_source,
         "image_lists": image_lists,
         "resolve_vectors": resolve_vectors,
@@ -641,6 +673,7 @@ def registry() -> dict[str, Query]:
         "knn_join": knn_join,
         "knn_join_blocks": knn_join_blocks,
         "hit_lookup": hit_lookup,
+        "lookup_payload": lookup_payload,
         "clamp_k": clamp_k,
         "search_status": search_status,
         "project_hits": project_hits,
@@ -650,6 +683,7 @@ def registry() -> dict[str, Query]:
         "format_references": format_references,
         "answer_text": answer_text,
         "index_status": index_status,
+        "saved_index_status": saved_index_status,
         "history_prompts": history_prompts,
         "map_model": map_model_lengths,
         "save_load_index": save_load_index,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.ingest import image_list
+from ..operators.search import index_status
 from ..operators.tables import recover_json_rows
 from ..schema import ELEMENT, ELEMENT_RAW, INDEX
 
@@ -53,18 +54,37 @@ def write_elements(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     by_type.write.mode(mode).partitionBy("filetype").format("json" if fmt == "jsonl" else fmt).save(path)
 
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Path and size of the files at a path; their content is not read."""
+    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
+
+
 def save_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    index.select(*[F.col(f.name).cast(f.dataType) for f in INDEX.fields]).write.mode(mode).parquet(path)
+    """Write the index. Files are sorted by id where they are, without a shuffle, so that looking up a few ids later
+    skips all but a few pages of each file."""
+    rows = index.select(*[F.col(f.name).cast(f.dataType) for f in INDEX.fields])
+    rows.sortWithinPartitions("node_id").write.mode(mode).parquet(path)
 
 
-def load_index(spark: SparkSession, path: str) -> DataFrame:
-    """A saved index; an empty one if there is none."""
+def _saved_index(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.schema(INDEX).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], INDEX)
+        return None
+
+
+def load_index(spark: SparkSession, path: str) -> DataFrame:
+    """A saved index; an empty one if there is none."""
+    saved = _saved_index(spark, path)
+    return spark.createDataFrame([], INDEX) if saved is None else saved
+
+
+def saved_index_status(spark: SparkSession, path: str) -> DataFrame:
+    """Status of the index at a path, and whether there is one at all."""
+    exists = _saved_index(spark, path) is not None
+    return index_status(load_index(spark, path)).withColumn("exists", F.lit(exists))
 
 
 def new_rows(index: DataFrame, rows: DataFrame) -> DataFrame:

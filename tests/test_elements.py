@@ -121,3 +121,21 @@ def test_read_pages_from_files(spark, tmp_path):
     (tmp_path / "one.html").write_text("<p>line one\nline two</p>", encoding="utf8")
     df = io.read_pages(spark, str(tmp_path), "files")
     assert [r.text for r in P.text_blocks(df).collect()] == ["line one\nline two"]
+
+
+def test_script_profile_keeps_what_is_empty(pages):
+    table = "<table><tr><th>A</th></tr><tr><td></td></tr></table>"
+    df = E.build_elements(pages(f"<div>{table}<img src=a.png alt=Pic></div>"), profile="script")
+    rows = {r.metadata.filetype: r for r in df.collect()}
+    assert {k: r.text for k, r in rows.items()} == {"text/html": "", "table/html": "", "image": ""}
+    assert rows["image"].metadata.label == "Pic"
+    v2 = E.build_elements(pages(f"<div>{table}<img src=a.png alt=Pic></div>"))
+    assert {r.metadata.filetype: r.text for r in v2.collect()} == {"image": "Pic"}
+
+
+def test_reports(spark, pages, tmp_path):
+    assert P.page_report(pages("x", " ", None)).first().asDict() == {"pages": 3, "blank": 2}
+    done = E.embed_elements(E.build_elements(pages(GEAR)), 8)
+    assert {r.dim: r.n for r in E.embedding_sizes(done).collect()} == {8: 4, None: 1}
+    (tmp_path / "a.json").write_text("[]")
+    assert [r.bytes for r in io.file_sizes(spark, str(tmp_path)).collect()] == [2]

@@ -101,3 +101,26 @@ def test_index_life(spark, tmp_path):
     changed = good.withColumn("text", F.lit("other"))
     merged = io.merge_indexes(good.where("node_id = 'a'"), changed, good)
     assert {r.node_id: r.text for r in merged.collect()} == {"a": "text a", "b": "other", "c": "other", "d": "other"}
+
+
+def test_lookup_reads_few_ids_by_filter(spark, tmp_path):
+    path = str(tmp_path / "index")
+    good = index_of(spark, {k: v for k, v in SMALL.items() if v and len(v) == 2})
+    io.save_index(good, path)
+    index = io.load_index(spark, path)
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<float>")
+    hits = S.knn_join(index, queries, 2)
+    few = S.lookup_payload(hits, index)
+    plan = few._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(EqualTo(node_id" in plan or "PushedFilters: [In(node_id" in plan
+    many = S.lookup_payload(hits, index, few=1)
+    assert sorted(few.collect()) == sorted(many.collect()) == sorted(S.with_payload(hits, index).collect())
+    assert S.lookup_payload(hits.limit(0), index).count() == 0
+
+
+def test_saved_status(spark, tmp_path):
+    path = str(tmp_path / "index")
+    assert io.saved_index_status(spark, path).first().exists is False
+    io.save_index(index_of(spark, {"a": [1.0]}), path)
+    row = io.saved_index_status(spark, path).first()
+    assert row.exists and row.ready and row.vectors == 1
