@@ -6,7 +6,7 @@ Nothing here explodes or shuffles: a page is one row before and one array afterw
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, decode_entities, let, trim_ws
+from .text import decode_entities, let, trim_ws
 
 TAG = r"<(?:[/!?]|(?=[A-Za-z]))(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)"
 _ATTR = r"(?s)(?<=[\s\"'/])([^\s\"'<>/=]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++)"
@@ -14,7 +14,7 @@ _ATTR = r"(?s)(?<=[\s\"'/])([^\s\"'<>/=]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]
 # Stands where markup was cut out, so that the texts on both sides stay two texts.
 GAP = "<!---->"
 
-_COMMENTS = r"(?is)<!--.*?-->|<(script|style|template)(?=[\s/>]).*?</\1\s*>"
+_COMMENTS = r"(?is)<(?:!--.*?--|(script|style|template)(?=[\s/>]).*?</\1\s*)>"
 _FURNITURE = r"(?is)<(nav|footer|aside)(?=[\s/>]).*?</\1\s*>"
 
 # A block ends at its own close tag or where one of these starts or ends.
@@ -44,16 +44,9 @@ def strip_boilerplate(html: Column) -> Column:
 
 
 def element_text(html: Column, sep: str = "") -> Column:
-    """Text of a piece of markup: each text node trimmed, joined with ``sep``.
-
-    With the default ``sep`` a tag vanishes together with the white space around it.
-    """
-    html = F.regexp_replace(html, r"&nbsp;|&#160;|&#[xX][aA]0;", chr(0xA0))
-    run = rf"(?:(?<!{WS}){WS}++)?+(?:{TAG}{WS}*+)++"
-    text = F.regexp_replace(html, run, sep)
-    if sep:
-        text = F.regexp_replace(text, rf"^(?:\Q{sep}\E)|(?:\Q{sep}\E)$", "")
-    return trim_ws(decode_entities(text))
+    """Text of a piece of markup: each text node trimmed, joined with ``sep``."""
+    nodes = F.transform(F.split(html, TAG), lambda node: trim_ws(decode_entities(node)))
+    return F.array_join(F.filter(nodes, lambda node: node != ""), sep)
 
 
 def cell_text(html: Column) -> Column:

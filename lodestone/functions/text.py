@@ -56,8 +56,10 @@ def cut(text: Column, size: int, tail: str = "...") -> Column:
 
 
 def words(text: Column) -> Column:
-    """White-space separated words."""
-    return F.filter(F.split(text, WS + "+"), lambda w: w != "")
+    """White-space separated words. Every kind of white space becomes a blank first: splitting at one character needs
+    no regular expression."""
+    blanks = F.translate(text, WS_CHARS, " " * len(WS_CHARS))
+    return F.filter(F.split(blanks, " "), lambda w: w != "")
 
 
 def _code_point(ref: Column) -> Column:

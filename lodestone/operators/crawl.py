@@ -13,9 +13,14 @@ def unvisited(found: DataFrame, visited: DataFrame) -> DataFrame:
     return found.dropDuplicates(["start_url", "url"]).join(visited, ["start_url", "url"], "left_anti")
 
 
+def landed_urls(pages: DataFrame) -> DataFrame:
+    """Urls of pages that were fetched. Markup, if there is any, must not be blank."""
+    return (usable_pages(pages) if "html" in pages.columns else pages).select("url")
+
+
 def landed(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """Candidates whose page was fetched; one that failed is skipped and takes no place under the cap."""
-    return candidates.join(usable_pages(pages).select("url"), "url", "left_semi")
+    return candidates.join(landed_urls(pages), "url", "left_semi")
 
 
 def crawl_frontier(
@@ -27,6 +32,8 @@ def crawl_frontier(
     in order of depth and url. ``starts(start_url)`` may hold any number of crawls; all advance together, one join
     per step. Hot pages in ``links`` are split by AQE, hot crawls are cut by rank before their rows are shuffled.
     """
+    if "html" in pages.columns:
+        pages = cut_lineage(landed_urls(pages))  # the markup is read once, not once per step
     first = starts.select("start_url", F.col("start_url").alias("url")).distinct()
     visited = landed(first, pages).withColumn("depth", F.lit(0))
     for depth in range(1, max_depth + 1):

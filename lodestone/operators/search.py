@@ -53,6 +53,12 @@ def knn_search(index: DataFrame, query: list[float], k: int = 5) -> DataFrame:
     return top_n(near.withColumn("_all", F.lit(0)), ["_all"], nearest_first(), k).drop("_all")
 
 
+def _objects(values: pa.Array) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values.to_pylist()
+    return out
+
+
 class _Best:
     """Running best ``k`` per query over the batches a task sees."""
 
@@ -64,7 +70,7 @@ class _Best:
         self.dist = np.empty(0)
         self.ids = np.empty(0, object)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: pa.Array, vectors: np.ndarray) -> None:
         norms = np.einsum("ij,ij->i", vectors, vectors)
         rows = max(1, _TILE // max(1, len(vectors)))
         for lo in range(0, len(self.matrix), rows):
@@ -85,7 +91,7 @@ class _Best:
             exact += (vectors[rows, d] - block[qs, d]) ** 2
         self.q = np.concatenate([self.q, qs + (part.start or 0)])
         self.dist = np.concatenate([self.dist, exact])
-        self.ids = np.concatenate([self.ids, ids[rows]])
+        self.ids = np.concatenate([self.ids, _objects(ids.take(pa.array(rows)))])
         self._trim()
 
     def _trim(self) -> None:
@@ -103,7 +109,7 @@ class _Best:
         return {"query_id": self.query_ids[self.q], "node_id": self.ids, "distance": self.dist}
 
 
-def _arrow_side(ids, vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def _arrow_side(ids, vectors, dim: int) -> tuple[pa.Array, np.ndarray]:
     """Ids and vectors of the rows whose vector has the right length.
 
     Checked here and not by a filter, which would be pushed down and have fresh vectors made twice.
@@ -113,22 +119,21 @@ def _arrow_side(ids, vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    return np.array(ids.to_pylist(), object), flat.astype(np.float64).reshape(-1, dim)
+    return ids, flat.astype(np.float64).reshape(-1, dim)
 
 
-def _pandas_side(ids: pd.Series, vectors: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def _pandas_side(ids: pd.Series, vectors: pd.Series, dim: int) -> tuple[pa.Array, np.ndarray]:
     fits = vectors.map(lambda v: v is not None and len(v) == dim).astype(bool)
     kept = vectors[fits]
     matrix = np.stack(kept).astype(np.float64) if len(kept) else np.empty((0, dim))
-    return ids[fits].to_numpy(object), matrix
+    return pa.array(ids[fits]), matrix
 
 
 def _by_broadcast(index: DataFrame, queries: DataFrame, dim: int, k: int, schema: str) -> DataFrame:
     """Queries of a checked size go to every task; the index does not move."""
     table = queries.toArrow()
-    shipped = index.sparkSession.sparkContext.broadcast(
-        _arrow_side(table.column("query_id"), table.column("embedding"), dim)
-    )
+    ids, matrix = _arrow_side(table.column("query_id"), table.column("embedding"), dim)
+    shipped = index.sparkSession.sparkContext.broadcast((_objects(ids), matrix))
     query_type = table.schema.field("query_id").type
 
     def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +170,8 @@ def _by_blocks(index: DataFrame, queries: DataFrame, dim: int, k: int, schema: s
     def pair_best(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
         if q.empty or i.empty:
             return pd.DataFrame({"query_id": [], "node_id": [], "distance": []}).astype(object)
-        best = _Best(*_pandas_side(q["query_id"], q["embedding"], dim), k)
+        ids, matrix = _pandas_side(q["query_id"], q["embedding"], dim)
+        best = _Best(_objects(ids), matrix, k)
         best.add(*_pandas_side(i["item"], i["vector"], dim))
         return pd.DataFrame(best.rows())
 
@@ -178,12 +184,15 @@ def knn_join(index: DataFrame, queries: DataFrame, k: int = 5, query_bytes: int
     The queries are measured first. Up to ``query_bytes`` they are shipped to the tasks, above that both sides are
     joined block by block; the results are the same.
     """
-    size = queries.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    id_bytes = F.sum(F.octet_length(F.col("query_id").cast("string")))
+    size = queries.agg(
+        F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim"), F.coalesce(id_bytes, F.lit(0)).alias("ids")
+    ).first()
     dim = size["dim"] or 1
     types = dict(index.dtypes) | {"query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, node_id {types['node_id']}, distance double"
     index, queries = index.select("node_id", "embedding"), queries.select("query_id", "embedding")
-    total = size["n"] * (dim * 8 + 64)
+    total = size["n"] * (dim * 8 + 64) + size["ids"]
     if total <= query_bytes:
         best = _by_broadcast(index, queries, dim, k, schema)
     else:
