@@ -5,11 +5,10 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Unicode counts as white space, as a set and as a regex class.
+# The characters Unicode counts as white space.
 WS_CHARS = "".join(
     map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)])
 ) + "".join(map(chr, [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 # Looked up from the front, so the everyday names come first.
 _COMMON = ["amp", "nbsp", "copy", "middot", "quot", "lt", "gt", "hellip", "mdash", "ndash"]

@@ -1,10 +1,13 @@
 """The registered queries in SQL, for a second engine to run on the same tables."""
 
-from ..functions.text import WS, WS_CHARS
+from ..functions.text import WS_CHARS
 from ..operators import prompts as R
 from ..operators.elements import LABEL_PROMPT
 from ..operators.tables import QUESTION
 
+# The same characters as ``WS_CHARS``, as a regex class.
+WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 DIM = 64
 SITE = "http://parts.example.com"
 
