@@ -14,9 +14,8 @@ from .ingest import embedding_of, hash_id
 from .pages import cleaned, page_images, with_blocks, with_images, with_tables
 from .tables import parse_tables, questions_of, sentences_of
 
+# The type of every element, and the instruction given with an image.
 TYPE = "CompositeElement"
-
-# The instruction given with an image.
 LABEL_PROMPT = """
 You are a highly knowledgeable image classification assistant specializing in industrial mechanical components.
 Your job is to analyze a single image (provided as a Base64‐encoded string) in the context of its web page,
@@ -49,11 +48,20 @@ def element_id(source_url: Column, filetype: Column, ordinal: Column, text: Colu
 
 
 def label_prompt(context: Column, image_base64: Column, template: str = LABEL_PROMPT) -> Column:
-    """What to ask about an image: page context cut to 500 characters, the start of its data always marked as cut."""
+    """What to ask about an image: page context cut to 500 characters, the start of its data always marked as cut.
+
+    Null if there are no bytes: there is nothing to ask then.
+    """
     before, rest = template.split("{page_context}")
     middle, after = rest.split("{image_b64_truncated}")
     data = F.concat(F.left(image_base64, F.lit(IMAGE_CHARS)), F.lit("..."))
-    return F.concat(F.lit(before), cut(context, CONTEXT_CHARS), F.lit(middle), data, F.lit(after))
+    prompt = F.concat(F.lit(before), cut(context, CONTEXT_CHARS), F.lit(middle), data, F.lit(after))
+    return F.when(image_base64 != "", prompt)
+
+
+def asked_label(answer: Column, image_base64: Column) -> Column:
+    """Label a model gave, trimmed; without bytes it was not asked and the image is unknown."""
+    return F.when(F.coalesce(image_base64, F.lit("")) == "", NO_IMAGE_LABEL).otherwise(trim_ws(answer))
 
 
 def image_label(label: Column, alt: Column, image_base64: Column) -> Column:

@@ -16,6 +16,12 @@ PROMPT_QUESTION = "\n\n問題: "
 PROMPT_TAIL = "\n\n回答:"
 HISTORY_HEAD = "歷史對話："
 HISTORY_TAIL = "以上回歷史路。 本次對話："
+STATUS_ANSWERS = {
+    "no_embedding": "無法為查詢生成 embedding，請確認 embedding service / model 可用。",
+    "no_hits": "索引中沒有可用的檢索結果。",
+}
+NO_MODEL_ANSWER = "未配置 LLM 模型，僅提供檢索結果。"
+FAILED_ANSWER = "無法連線到 LLM 服務，但已成功檢索相關內容。請查看檢索結果或稍後再試。"
 SOURCE_CHARS = 700
 REFERENCE_CHARS = 500
 
@@ -86,6 +92,35 @@ def answer_text(answer: Column, sources: Column) -> Column:
     )
 
 
+def status_answer(status: Column, answer: Column | None = None, asked: bool = True) -> Column:
+    """What is said to a query: the answer of a model if there is one, else why there is none."""
+    given = F.lit(None).cast("string") if answer is None else answer
+    said = F.coalesce(given, F.lit(FAILED_ANSWER if asked else NO_MODEL_ANSWER))
+    for name, text in STATUS_ANSWERS.items():
+        said = F.when(status == name, text).otherwise(said)
+    return said
+
+
+def answer_records(status: DataFrame, hits: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """One row per query: ``query_id``, ``status``, ``answer`` and its hits in rank order as ``retrieved``.
+
+    ``answers(query_id, answer)`` is what a model made of the prompts. Queries without hits have an empty list.
+    """
+    fields = [F.col(c) for c in ("rank", "text", "source", "distance", "images") if c in hits.columns]
+    found = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("retrieved"))
+    rows = status.join(found, "query_id", "left")
+    if answers is not None:
+        rows = rows.join(answers.select("query_id", "answer"), "query_id", "left")
+    answer = F.col("answer") if answers is not None else None
+    kind = found.schema["retrieved"].dataType
+    return rows.select(
+        "query_id",
+        "status",
+        status_answer(F.col("status"), answer, answers is not None).alias("answer"),
+        F.coalesce("retrieved", F.array().cast(kind)).alias("retrieved"),
+    )
+
+
 def turn_positions(conversations: DataFrame) -> DataFrame:
     """Add ``pos``, the place of each turn in its conversation from 0, without gathering any conversation.
 

@@ -406,6 +406,13 @@ SELECT CAST(count_if(reason IS NULL) AS BIGINT) AS processed, CAST(count_if(reas
 n AS (SELECT query_id, count(*) AS n FROM hits WHERE round(distance, 6) < 0.5 GROUP BY query_id)
 SELECT item_id AS query_id, CASE WHEN contains(text, chr(10)) THEN 'no_embedding' WHEN n IS NULL THEN 'no_hits' ELSE 'ok' END AS status,
   CASE WHEN contains(text, chr(10)) THEN 0 ELSE coalesce(n, 0) END AS n_hits
+FROM benchmark LEFT JOIN n ON n.query_id = item_id""",
+        "answer_records": f"""WITH {_hits(3)},
+n AS (SELECT query_id, string_agg(source, '|' ORDER BY rank) AS sources FROM hits WHERE round(distance, 6) < 0.5 GROUP BY query_id)
+SELECT item_id AS query_id, CASE WHEN contains(text, chr(10)) THEN 'no_embedding' WHEN sources IS NULL THEN 'no_hits' ELSE 'ok' END AS status,
+  CASE WHEN contains(text, chr(10)) THEN {_lit(R.STATUS_ANSWERS["no_embedding"])}
+    WHEN sources IS NULL THEN {_lit(R.STATUS_ANSWERS["no_hits"])} ELSE 'A: ' || text END AS answer,
+  CASE WHEN contains(text, chr(10)) THEN '' ELSE coalesce(sources, '') END AS sources
 FROM benchmark LEFT JOIN n ON n.query_id = item_id""",
         "project_hits": f"WITH {_hits()} SELECT query_id, rank, source, image_count FROM hits",
         "build_context": f"WITH {_hits()} {_CONTEXT}",

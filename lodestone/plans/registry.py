@@ -519,14 +519,27 @@ def clamp_k(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.clamp_k(F.col("n_chars") % 40 - 5).alias("k"))
 
 
-def search_status(spark, sf):
+def _some_hits(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Queries of several lines are taken as blank, and far hits as none."""
     queries = table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), F.when(F.col("text").contains("\n"), " ").otherwise(F.col("text")).alias("query")
     )
     queries = N.embed_text(queries, "query", DIM)
-    found = S.knn_join(chunk_index(spark, sf), queries.where(has_non_zero(F.col("embedding"))), 3)
-    return S.search_status(queries, found.where(F.round("distance", 6) < 0.5))
+    index = chunk_index(spark, sf)
+    found = S.knn_join(index, queries.where(has_non_zero(F.col("embedding"))), 3)
+    return queries, S.with_payload(found.where(F.round("distance", 6) < 0.5), index)
+
+
+def search_status(spark, sf):
+    return S.search_status(*_some_hits(spark, sf))
+
+
+def answer_records(spark, sf):
+    queries, found = _some_hits(spark, sf)
+    status = S.search_status(queries, found)
+    answers = queries.where(F.col("query") != " ").select("query_id", F.concat(F.lit("A: "), F.col("query")).alias("answer"))
+    sources = F.array_join(F.transform("retrieved", lambda r: r["source"]), "|")
+    return R.answer_records(status, found, answers).select("query_id", "status", "answer", sources.alias("sources"))
 
 
 def project_hits(spark, sf):
@@ -676,6 +689,7 @@ def registry() -> dict[str, Query]:
         "lookup_payload": lookup_payload,
         "clamp_k": clamp_k,
         "search_status": search_status,
+        "answer_records": answer_records,
         "project_hits": project_hits,
         "build_context": build_context,
         "build_prompts": build_prompts,

@@ -139,3 +139,10 @@ def test_reports(spark, pages, tmp_path):
     assert {r.dim: r.n for r in E.embedding_sizes(done).collect()} == {8: 4, None: 1}
     (tmp_path / "a.json").write_text("[]")
     assert [r.bytes for r in io.file_sizes(spark, str(tmp_path)).collect()] == [2]
+
+
+def test_no_bytes_no_question(spark):
+    df = spark.createDataFrame([("c", None, "x"), ("c", "", "x"), ("c", "b", " Gear \n")], "c string, b string, a string")
+    rows = df.select(E.label_prompt(F.col("c"), F.col("b")).alias("p"), E.asked_label(F.col("a"), F.col("b")).alias("l")).collect()
+    assert [r.p is None for r in rows] == [True, True, False]
+    assert [r.l for r in rows] == ["Unknown Image", "Unknown Image", "Gear"]

@@ -80,3 +80,16 @@ def test_flow_end_to_end(spark, pages):
     assert len(hits) == 3 and hits[0].text == "gear reducers and motors" and hits[0].distance == pytest.approx(0, abs=1e-9)
     assert hits[0].source_url == "http://t.example/1"
     assert found.prompts.first().prompt.count("來源: ") == 3 and found.sources.first().sources.startswith("1. source=")
+
+
+def test_answer_records(spark, hits):
+    status = spark.createDataFrame([(1, "ok"), (2, "no_hits"), (3, "no_embedding")], "query_id int, status string")
+    rows = {r.query_id: r for r in R.answer_records(status, hits).collect()}
+    assert [h.source for h in rows[1].retrieved] == ["s1", "s2"] and rows[1].answer == R.NO_MODEL_ANSWER
+    assert rows[2].retrieved == [] and rows[2].answer == "索引中沒有可用的檢索結果。"
+    assert rows[3].answer.startswith("無法為查詢生成 embedding")
+    answers = spark.createDataFrame([(1, "yes"), (2, "unheard")], "query_id int, answer string")
+    rows = {r.query_id: r.answer for r in R.answer_records(status, hits, answers).collect()}
+    assert rows[1] == "yes" and rows[2] == "索引中沒有可用的檢索結果。"
+    failed = R.answer_records(status, hits, answers.where("query_id = 2")).where("query_id = 1").first()
+    assert failed.answer == R.FAILED_ANSWER
