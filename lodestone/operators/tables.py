@@ -54,8 +54,9 @@ def place_cells(tables: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def _span(cell: Column, name: str) -> Column:
-    number = F.regexp_extract(cell, rf"(?is)^<[^>]*\s{name}\s*=\s*[\"']?\s*(\d{{1,5}})", 1).try_cast("int")
-    return F.greatest(F.coalesce(number, F.lit(1)), F.lit(1))
+    digits = F.regexp_extract(cell, rf"(?is)^<[^>]*\s{name}\s*=\s*[\"']?\s*(\d{{1,5}})", 1)
+    # The zero in front makes a number of a missing value too; a failing cast per cell would be slow.
+    return F.greatest(F.concat(F.lit("0"), digits).cast("int"), F.lit(1))
 
 
 def _own_markup(table_html: Column) -> Column:
