@@ -1,21 +1,15 @@
 """Shared scratch space: where lineage is cut and intermediate tables go."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without: it gets a temporary folder. A cluster needs one that all nodes see.
-    """
+    """The folder the session names in ``spark.checkpoint.dir``; where that is unset, one beside the warehouse's tables."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every node can reach")
-        named = tempfile.mkdtemp(prefix="lodestone-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
