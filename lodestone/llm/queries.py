@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secret_scan, sharding
+from . import near_dup, secret_scan, sharding
 from .base import read
 
 SHARDS = 24
@@ -20,6 +20,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read(spark, sf_dir), width=4)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secrets(read(spark, sf_dir).select("doc_id", "text")))
 
@@ -27,6 +31,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": op2_sharding,
+        "op6_near_dup": op6_near_dup,
         "op10_secret_scan": op10_secret_scan,
     }
 
