@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,3 +23,23 @@ def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFram
 def text_of(name: str = "text") -> Column:
     """A text column; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))
+
+
+BITS = 24  # of a map: 2 MB, however many numbers it stands for
+
+
+def bit_map(numbers: DataFrame, bits: int = BITS) -> np.ndarray:
+    """Which of ``2 ** bits`` places the 64-bit numbers of a one-column table fall on, by their leading bits.
+
+    A filter of fixed size: numbers that are in the table always pass it. At most ``2 ** (bits - 6)`` rows reach the driver.
+    """
+    place = F.shiftrightunsigned(F.col(numbers.columns[0]), 64 - bits)
+    marks = numbers.select(F.shiftright(place, 6).alias("at"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    rows = marks.groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("word")).toPandas()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[rows["at"].to_numpy(dtype=np.int64)] = rows["word"].to_numpy(dtype=np.int64)
+    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+
+
+def on_map(table: np.ndarray, numbers: np.ndarray, bits: int = BITS) -> np.ndarray:
+    return table[(numbers.astype(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)]

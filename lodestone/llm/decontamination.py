@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import settle
+from .base import bit_map, on_map, settle
 
 GRAM = 3
-BITS = 24  # of the map: 2 MB, however many items there are
 COMMON = 4  # an n-gram found in more than this many times the passages of the item's median one is no seed
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5  # of what the whole item would score
@@ -45,17 +44,7 @@ def items_of(bench: DataFrame, n: int = GRAM) -> DataFrame:
     return bench.select("item_id", "text").mapInArrow(work, f"item_id {kind}, words array<bigint>, grams array<bigint>")
 
 
-def bit_map(items: DataFrame, bits: int = BITS) -> np.ndarray:
-    """Which of ``2 ** bits`` places an n-gram of the items falls on. At most ``2 ** (bits - 6)`` rows reach the driver."""
-    place = F.shiftrightunsigned(F.col("g"), 64 - bits)
-    marks = items.select(F.explode("grams").alias("g")).select(F.shiftright(place, 6).alias("at"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
-    rows = marks.groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("word")).toPandas()
-    out = np.zeros(1 << (bits - 6), dtype=np.int64)
-    out[rows["at"].to_numpy(dtype=np.int64)] = rows["word"].to_numpy(dtype=np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
-
-
-def passages_of(docs: DataFrame, marks: DataFrame, sizes: list[int], longest: int, bits: int = BITS) -> DataFrame:
+def passages_of(docs: DataFrame, marks: DataFrame, sizes: list[int], longest: int) -> DataFrame:
     """``doc_id, key, passage, at, words, hits``: stretches of ``docs`` (``doc_id, key, text``) around n-grams on the map.
 
     ``sizes``: the n-gram lengths in use. ``at`` is the number of the first word, ``hits`` the hashes of the n-grams.
@@ -73,7 +62,7 @@ def passages_of(docs: DataFrame, marks: DataFrame, sizes: list[int], longest: in
                 place, gram = [], []
                 for n in sizes:
                     g = W.grams(h, n)
-                    at = np.flatnonzero(table[(g >> np.uint64(64 - bits)).astype(np.int64)])
+                    at = np.flatnonzero(on_map(table, g))
                     at = at[w.text[at] == w.text[at + n - 1]]
                     place.append(at)
                     gram.append(g[at])
@@ -145,7 +134,7 @@ def _contaminated(docs: DataFrame, bench: DataFrame, score: float, n: int) -> Da
     items = settle(items_of(bench, n).where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
     shape = items.agg(F.max(F.size("words")), F.collect_set(F.least(F.size("words"), F.lit(n)))).first()
     longest, sizes = shape[0] or 1, sorted(shape[1])  # at most n lengths
-    marks = spark.sparkContext.broadcast(bit_map(items))
+    marks = spark.sparkContext.broadcast(bit_map(items.select(F.explode("grams"))))
     passages = settle(passages_of(docs, marks, sizes or [n], longest), "passages")
     hits = passages.select("passage", F.explode("hits").alias("gram")).distinct()
     grams = items.select("item", F.explode("grams").alias("gram"))

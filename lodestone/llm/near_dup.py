@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .base import settle
+from .base import bit_map, on_map, settle
 from .components import components
 
 COORDINATES, ROWS = 512, 8
@@ -119,23 +119,20 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, n_shingles bigint, name bigint, bands array<bigint>")
 
 
-def _sets_of(rows: DataFrame, width: int) -> DataFrame:
-    """Rows with ``text`` and ``name``: the text gives way to its ``items``; texts that do not bear the name are dropped."""
-    kept = [c for c in rows.columns if c != "text"]
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``key, name, items`` (the whole set) of the documents whose ``key`` is on the map of the wanted ones, and maybe of others."""
+    marks = docs.sparkSession.sparkContext.broadcast(bit_map(wanted.select("key")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
+            some = batch.filter(pa.array(on_map(marks.value, batch.column("key").to_numpy())))
+            texts = some.column("text")
             for a, b in W.chunks(texts):
                 sets = list(shingle_sets(texts.slice(a, b - a), width))
-                part = batch.slice(a, b - a)
-                right = pa.array(set_names(sets).view(np.int64) == part.column("name").to_numpy())
                 items = pa.array([s.tobytes() for s in sets], pa.binary())
-                out = pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [items], [*kept, "items"])
-                yield out.filter(right)
+                yield pa.RecordBatch.from_arrays([some.column("key").slice(a, b - a), _signed(set_names(sets)), items], ["key", "name", "items"])
 
-    fields = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
-    return rows.mapInArrow(work, f"{fields}, items binary")
+    return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(work, "key bigint, name bigint, items binary")
 
 
 def common(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -248,8 +245,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     wanted = members.join(blocks, "cluster").select(
         F.xxhash64("rep").alias("key"), "name", "cluster", "blocks", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int").alias("block")
     )
-    texts = docs.select(F.xxhash64("doc_id").alias("key"), "text").join(wanted, "key").drop("key")
-    links = _verified(_sets_of(texts, width), percent)
+    links = _verified(_sets_of(docs, wanted, width).join(wanted, ["key", "name"]), percent)
     groups = components(links).select(F.col("node").alias("name"), F.col("component").alias("group"))
     named = classes.select("name", "rep").join(groups, "name", "left").withColumn("group", F.coalesce("group", "name"))
     best = named.groupBy("group").agg(F.min("rep").alias("component_id"))
