@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import words as W
 
 SPACE = "▁"
-BATCH = 4 << 20  # bytes of text indexed at a time
+BATCH = 2 << 20  # bytes of text indexed at a time
 LONG = 64  # characters; a longer chunk is relaxed by itself, since the others wait for no one
 _NONE, _START = -3, -1
 

@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, near_dup, secret_scan, sharding, topk
+from ..sources.scratch import scratch_path
+from . import decontamination, near_dup, pieces, secret_scan, sharding, token_counts, topk
 from .base import read
 
 SHARDS = 24
+TOKENIZER = "piece_bpe_32k.model"
+
+
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(TOKENIZER)
+    both = pieces.decoded(pieces.encoded(read(spark, sf_dir), model), model)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +30,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir), TOKENIZER, scratch_path(spark, "token-cache"))
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, sf_dir), width=4)
 
@@ -38,7 +52,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pieces": op1_pieces,
         "op2_sharding": op2_sharding,
+        "op3_token_counts": op3_token_counts,
         "op6_near_dup": op6_near_dup,
         "op7_topk": op7_topk,
         "op9_decontamination": op9_decontamination,
