@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from . import decontamination, near_dup, pieces, secret_scan, sharding, token_counts, topk
+from . import decontamination, license_scan, near_dup, pieces, quality, secret_scan, sharding, token_counts, topk
 from .base import read
 
 SHARDS = 24
@@ -34,6 +34,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir), TOKENIZER, scratch_path(spark, "token-cache"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir)
+    return quality.scored(docs, quality.train(docs)).select("doc_id", "weak_label", "score", "good")
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, sf_dir), width=4)
 
@@ -42,6 +47,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(read(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(read(spark, sf_dir), read(spark, sf_dir, "benchmark"))
 
@@ -55,8 +64,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pieces": op1_pieces,
         "op2_sharding": op2_sharding,
         "op3_token_counts": op3_token_counts,
+        "op4_quality": op4_quality,
         "op6_near_dup": op6_near_dup,
         "op7_topk": op7_topk,
+        "op8_license_scan": op8_license_scan,
         "op9_decontamination": op9_decontamination,
         "op10_secret_scan": op10_secret_scan,
     }

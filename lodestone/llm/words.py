@@ -88,14 +88,15 @@ class Words:
         return mix(np.add.reduceat(body, begin) + size.astype(np.uint64))
 
 
-def split(texts: pa.Array) -> Words:
+def split(texts: pa.Array, space: np.ndarray = _SPACE) -> Words:
+    """``space``: which of the 256 bytes part words."""
     data, offsets = flat(texts)
     n = len(offsets) - 1
     if not len(data):
         none = np.zeros(0, dtype=np.int64)
         return Words(data, offsets, none, none, none, np.zeros(n + 1, dtype=np.int64))
     gap = np.ones(len(data) + 2, dtype=bool)
-    gap[1:-1] = _SPACE[data]
+    gap[1:-1] = space[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     inner = ~gap[1:-1]
