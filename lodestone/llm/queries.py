@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
-from . import decontamination, license_scan, near_dup, pieces, quality, secret_scan, sharding, token_counts, topk
+from . import decontamination, license_scan, lm, near_dup, pieces, quality, secret_scan, sharding, token_counts, topk
 from .base import read
 
 SHARDS = 24
@@ -39,6 +39,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs)).select("doc_id", "weak_label", "score", "good")
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read(spark, sf_dir))
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read(spark, sf_dir), width=4)
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sharding": op2_sharding,
         "op3_token_counts": op3_token_counts,
         "op4_quality": op4_quality,
+        "op5_lm_scores": op5_lm_scores,
         "op6_near_dup": op6_near_dup,
         "op7_topk": op7_topk,
         "op8_license_scan": op8_license_scan,
