@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 from . import words as W
 
 SPACE = "▁"
-BATCH = 2 << 20  # bytes of text indexed at a time
+BATCH = 3 << 20  # bytes of text indexed at a time
+IDS = 1 << 19  # ids turned to text at a time
 LONG = 64  # characters; a longer chunk is relaxed by itself, since the others wait for no one
 _NONE, _START = -3, -1
+_SLOTS = 21
 
 
 class Model:
@@ -75,7 +77,7 @@ class Model:
         order = np.argsort(keys)
         self.pair_key, self.pair_token = keys[order], np.array(list(self.pair.values()), dtype=np.int64)[order]
         self.lefts, self.rights = np.array(self.left, dtype=np.int64), np.array(self.right, dtype=np.int64)
-        self.known, self.fits = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+        self.known, self.fits = np.full(1 << _SLOTS, -1, dtype=np.int64), np.zeros(1 << _SLOTS, dtype=bool)
         code = {c: i + 1 for i, c in enumerate(chars)}
         self.codes = np.zeros(0x110000, dtype=np.uint16)
         self.codes[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
@@ -139,21 +141,17 @@ class Model:
         return out
 
     def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """``follow`` with a memory that is dropped when it has grown large."""
+        """``follow`` with a memory of fixed size: a pair has one slot there, and the last pair worked out keeps it."""
         key = a * self.n + b
-        place = np.searchsorted(self.known, key)
-        seen = self.known[np.minimum(place, max(len(self.known) - 1, 0))] == key if len(self.known) else np.zeros(len(key), dtype=bool)
-        if not seen.all():
-            new = np.unique(key[~seen])
-            fits = self.follow(new // self.n, new % self.n)
-            if len(self.known) > 4_000_000:
-                self.known, self.fits = self.known[:0], self.fits[:0]
-                return self.fit(a, b)
-            keys = np.concatenate([self.known, new])
-            order = np.argsort(keys)
-            self.known, self.fits = keys[order], np.concatenate([self.fits, fits])[order]
-            place = np.searchsorted(self.known, key)
-        return self.fits[place]
+        slot = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        out = self.fits[slot]
+        new = np.flatnonzero(self.known[slot] != key)
+        if len(new):
+            pairs, where = np.unique(key[new], return_inverse=True)
+            fits = self.follow(pairs // self.n, pairs % self.n)
+            out[new] = fits[where]
+            self.known[slot[new]], self.fits[slot[new]] = key[new], out[new]
+        return out
 
     @lru_cache(maxsize=1024)  # noqa: B019  a model lives as long as its worker
     def run(self, n: int) -> list[int]:
@@ -229,8 +227,9 @@ def occurrences(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lo, hi = bound(False), bound(True)
     count = hi - lo
     begin = np.cumsum(count) - count
-    inside = np.arange(int(count.sum())) - np.repeat(begin, count)
-    start = order[np.repeat(lo, count) + inside].astype(np.int32)
+    place = np.repeat((lo - begin).astype(np.int32), count)
+    place += np.arange(len(place), dtype=np.int32)
+    start = order.astype(np.int32)[place]
     return start, np.repeat(model.size, count).astype(np.int32), np.repeat(model.tokens, count).astype(np.int32)
 
 
@@ -239,7 +238,9 @@ def relax(model: Model, codes: np.ndarray, first: np.ndarray, end: np.ndarray) -
     n = len(codes)
     start, size, token = occurrences(model, codes)
     bare = np.flatnonzero(codes == 0)
-    bare = bare[np.isin(bare, end, invert=True)]  # separators stand at the ends
+    ends = np.zeros(n, dtype=bool)
+    ends[end] = True
+    bare = bare[~ends[bare]]  # separators stand at the ends
     start = np.concatenate([start, bare.astype(np.int32)])
     size = np.concatenate([size, np.ones(len(bare), dtype=np.int32)])
     token = np.concatenate([token, np.full(len(bare), -2, dtype=np.int32)])
@@ -251,7 +252,7 @@ def relax(model: Model, codes: np.ndarray, first: np.ndarray, end: np.ndarray) -
     wave = inside[start] + size
     for group, stretch in ((np.flatnonzero(~long), None), (np.flatnonzero(long), owner)):
         if stretch is None:
-            group = group[np.argsort(wave[group], kind="stable")]
+            group = group[np.argsort(wave[group].astype(np.uint8), kind="stable")]  # a radix sort
             cuts = np.flatnonzero(np.diff(wave[group])) + 1
             for a, b in zip([0, *cuts], [*cuts, len(group)], strict=True):
                 e = group[a:b]
@@ -321,51 +322,52 @@ def encode_chunks(model: Model, chunks: pa.Array) -> tuple[np.ndarray, np.ndarra
     codes[end] = 0
     place, token = relax(model, codes, first, end)
     owner = np.searchsorted(first, place, side="right") - 1
-    ids = [model.flat_ids[np.repeat(model.first_id[np.maximum(token, 0)], 1)]]
-    simple = (token >= 0) & (model.n_ids[np.maximum(token, 0)] == 1)
-    rows = np.flatnonzero(~simple)
+    # Each token's ids: the vocabulary's, then those of the characters here that no piece has.
+    bare_at = np.flatnonzero(token == -2)
+    odd, which = np.unique(points[place[bare_at]], return_inverse=True)
+    parts = [model.single(chr(x)) for x in odd.tolist()]
+    token = token.astype(np.int64)
+    token[bare_at] = model.n + which
+    sizes = np.concatenate([model.n_ids, np.array([len(x) for x in parts], dtype=np.int64)])
+    flat = np.concatenate([model.flat_ids, np.array([i for x in parts for i in x], dtype=np.int32)])
+    firsts = np.cumsum(sizes) - sizes
+    n = sizes[token]
+    ids = flat[np.arange(int(n.sum())) + np.repeat(firsts[token] - (np.cumsum(n) - n), n)]
+    count = np.bincount(owner, weights=n, minlength=len(one)).astype(np.int64)
     runs = np.flatnonzero(lead > 1)
-    if not len(rows) and not len(runs):
-        return ids[0], np.bincount(owner, minlength=len(one))
-    # Characters without a piece and runs of spaces: put the parts of these chunks together one by one.
-    per = np.bincount(owner, minlength=len(one))
-    begin = np.cumsum(per) - per
-    count, parts, at = per.copy(), [], 0
-    space = model.id.get(SPACE)
-    for c in np.unique(np.concatenate([owner[rows], runs])).tolist():
-        lo, hi = int(begin[c]), int(begin[c] + per[c])
-        found: list[int] = []
-        for k in range(lo, hi):
-            t = int(token[k])
-            found += model.single(chr(points[place[k]])) if t == -2 else model.ids[t]
-        if lead[c] > 1:
-            alone = bool(found) and found[0] == space and (hi - lo == 1 and length[c] == 1 or int(token[lo]) == model.token.get(SPACE, -9))
-            found = model.run(int(lead[c]) - (not alone)) + found[int(alone) :]
-        parts += [ids[0][at:lo], np.array(found, dtype=np.int32)]
-        at, count[c] = hi, len(found)
-    return np.concatenate([*parts, ids[0][at:]]).astype(np.int32), count
+    if not len(runs):
+        return ids, count
+    # Runs of spaces: the last space of a run belongs to the word after it, if they merge; the others are a run.
+    begin = np.cumsum(count) - count
+    alone = (length[runs] > 0) & (token[np.searchsorted(place, first[runs])] == model.token.get(SPACE, -9))
+    out, at = [], 0
+    for c, single in zip(runs.tolist(), alone.tolist()):
+        run = model.run(int(lead[c]) - (not single))
+        out += [ids[at : begin[c]], np.array(run, dtype=np.int32)]
+        at = int(begin[c]) + int(single)
+        count[c] += len(run) - int(single)
+    return np.concatenate([*out, ids[at:]]).astype(np.int32), count
 
 
 def decode(model: Model, ids: pa.Array) -> pa.Array:
     """Texts of lists of ids; bytes that are no UTF-8 become U+FFFD."""
     ids = ids.cast(pa.list_(pa.int32()))
-    null = ids.is_null()
-    offsets = ids.offsets.to_numpy()
-    flat = ids.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-    offsets = (offsets - offsets[0]).astype(np.int64)
-    size = model.out_size[flat]
-    begin = np.append(np.cumsum(size) - size, size.sum())
-    data = model.out_bytes[np.arange(int(size.sum())) - np.repeat(begin[:-1], size) + np.repeat(model.out_first[flat], size)]
-    bounds = begin[offsets]
-    raw = data.tobytes()
-    if model.prefix:  # the space put before each text
-        led = np.zeros(len(bounds) - 1, dtype=bool)
-        some = np.diff(bounds) > 0
-        led[some] = data[bounds[:-1][some]] == 32
-    else:
-        led = np.zeros(len(bounds) - 1, dtype=bool)
-    texts = [raw[a + skip : b].decode("utf-8", "replace") for a, b, skip in zip(bounds[:-1], bounds[1:], led.tolist(), strict=True)]
-    return pa.array(texts, pa.string(), mask=null.to_numpy(zero_copy_only=False))
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    bounds = ids.offsets.to_numpy()
+    flat = ids.values.to_numpy(zero_copy_only=False)
+    texts, at = [], 0
+    while at < len(ids):
+        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + IDS, side="right")) - 1)
+        some = flat[bounds[at] : bounds[end]]
+        size = model.out_size[some]
+        begin = np.append(np.cumsum(size) - size, size.sum())
+        data = model.out_bytes[np.arange(begin[-1]) + np.repeat(model.out_first[some] - begin[:-1], size)]
+        raw, edge = data.tobytes(), begin[bounds[at : end + 1] - bounds[at]].tolist()
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            led = model.prefix and a < b and raw[a] == 32  # the space put before each text
+            texts.append(raw[a + led : b].decode("utf-8", "replace"))
+        at = end
+    return pa.array(texts, pa.string(), mask=null)
 
 
 @lru_cache(maxsize=2)
