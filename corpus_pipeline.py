@@ -1,18 +1,55 @@
-"""The corpus pipeline: each stage takes what its predecessor kept, written as Parquet and read again."""
+"""The corpus pipeline: each stage takes what its predecessor kept, written as Parquet and read again.
+
+Rejected by the quality scorer: dropped. Of near-duplicates the row of the smallest ``doc_id`` stays. Documents with a
+copy of a test item: dropped. Secrets: replaced by a mask, and ``n_chars``, where there is one, counts what is left. The last stage adds the
+SentencePiece ids of each text. All stages keep extra columns, and take null texts, repeated rows and empty tables.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestone.llm import secret_scan
+from lodestone.llm import decontamination, near_dup, pieces, quality, secret_scan
 from lodestone.llm.base import read, settle
 
+TOKENIZER = "piece_bpe_32k.model"
+SHINGLE = 5
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    slim = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("text"))
+    return quality.scored(slim, quality.train(docs)).where("good").select("_row.*")
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.deduplicated(docs, width=SHINGLE)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.redacted(docs)
+    masked = secret_scan.redacted(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = pieces.encoded(docs, public_tokenizers.path(TOKENIZER))
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES = [("secret scans", secret_stage)]
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("MinHash near-dedup", near_dup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("secret scans", secret_stage),
+    ("SentencePiece encoding and decoding", piece_stage),
+]
 
 ORACLE_SQL = None  # tokenizers, trained models and tests of randomness have no SQL form
 

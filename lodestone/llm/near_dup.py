@@ -255,3 +255,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     return out.unionByName(
         slim.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     )
+
+
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest ``doc_id``. All columns stay.
+
+    Rows that agree in ``doc_id`` and text are one; texts without words are kept. Columns whose names clash do not matter.
+    """
+    found = settle(near_duplicates(docs, width, percent), "near-duplicates")
+    kept = found.where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    joined = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text")).join(
+        kept, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi"
+    )
+    return joined.dropDuplicates(["_doc", "_text"]).select("_row.*")

@@ -216,7 +216,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", share: float = FALSE_DISCOVERIES) -> DataFrame:
     """``docs`` with every span found by ``secrets`` replaced by ``mask``; overlapping spans give one mask. Null texts stay null."""
-    found = secrets(docs, text, share, keep_text=True)
+    others = [c for c in docs.columns if c != text]
+    found = secrets(docs.select(text, F.struct(*others).alias("_others")), text, share, keep_text=True)
     body = F.col(text)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -229,4 +230,4 @@ def redacted(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", share:
 
     state = F.aggregate("found", start, step)
     whole = F.concat(state["out"], F.substring(body, state["at"] + 1, F.length(body)))
-    return found.withColumn(text, F.when(F.size("found") > 0, whole).otherwise(body)).drop("found").select(*docs.columns)
+    return found.withColumn(text, F.when(F.size("found") > 0, whole).otherwise(body)).select(text, "_others.*").select(*docs.columns)
