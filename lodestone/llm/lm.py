@@ -70,15 +70,17 @@ def counted(train: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Words known to every task, sorted by hash, with counts and network ids; where a bucket's or the end's id is.
+    """Words known to every task, sorted by hash: ``net`` with their network ids, and all others that are local, with counts.
 
-    Ids run class by class: class ``k`` has the ids from ``edges[k]`` to ``edges[k + 1]``. ``share[b]`` is the base-10
-    logarithm of what the shares of the words of bucket ``b`` are divided by.
+    ``bucket_ids`` and ``end`` are network ids too. Ids run class by class: class ``k`` has the ids from ``edges[k]`` to
+    ``edges[k + 1]``. ``share[b]`` is the base-10 logarithm of what the shares of the words of bucket ``b`` are divided by.
     """
 
+    net: np.ndarray
+    net_counts: np.ndarray
+    net_ids: np.ndarray
     words: np.ndarray
     counts: np.ndarray
-    ids: np.ndarray
     bucket_ids: np.ndarray
     end: int
     edges: np.ndarray
@@ -87,17 +89,27 @@ class Vocabulary:
     total: int
     distinct: int
 
-    def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each token among ``words`` (-1: not there), and its network id (-1: by bucket)."""
-        if not len(self.words):
-            return np.full(len(h), -1), np.where(h == END, self.end, -1)
-        place = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        place = np.where(self.words[place] == h, place, -1)
-        return place, np.where(h == END, self.end, np.where(place >= 0, self.ids[place], -1))
+    def ids(self, h: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Network id of each token, and its place among ``net`` (-1: it goes by its bucket)."""
+        place = _find(self.net, h)
+        return np.where(place >= 0, self.net_ids[place], self.bucket_ids[lead]), place
 
-    def network_ids(self, h: np.ndarray, lead: np.ndarray) -> np.ndarray:
-        ids = self.look(h)[1]
-        return np.where(ids >= 0, ids, self.bucket_ids[lead])
+    def look(self, h: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Count of each token, and whether it is known here. ``place`` as ``ids`` gives it."""
+        c, known = self.net_counts[place], place >= 0
+        other = np.flatnonzero(~known)
+        at = _find(self.words, h[other])
+        c[other] = np.where(at >= 0, self.counts[at] if len(self.counts) else 0, 0)
+        known[other] = at >= 0
+        return c, known
+
+
+def _find(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Place of each token in sorted ``words``, -1 if it is not there."""
+    if not len(words):
+        return np.full(len(h), -1)
+    place = np.minimum(np.searchsorted(words, h), len(words) - 1)
+    return np.where(words[place] == h, place, -1)
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY, classes: int = CLASSES, local: int = LOCAL) -> Vocabulary:
@@ -119,7 +131,8 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY, classes: int = CLASSES
     for r in whole:
         n_b[r["bucket"]], v_b[r["bucket"]] = r["c"], r["v"]
     total, distinct = int(n_b.sum()), int(v_b.sum())
-    ends = int(c[words == end].sum())  # 0 only without training documents, unless ends are too rare to be local
+    ended = counts.where(F.col("word") == int(end)).select("c").first()
+    ends = ended["c"] if ended else 0
     n_b[0], v_b[0] = n_b[0] - ends, v_b[0] - (ends > 0)
     np.subtract.at(n_b, bucket[best], c[best])
     np.subtract.at(v_b, bucket[best], 1)
@@ -131,17 +144,20 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY, classes: int = CLASSES
     edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(order)]])
     number = np.empty(len(order), dtype=np.int64)
     number[order] = np.arange(len(order))
-    by_hash = np.argsort(words.view(np.uint64))
-    ids = np.full(len(words), -1, dtype=np.int64)
-    ids[best] = number[: len(best)]
+    # The end is a word of the network like the others.
+    net = np.append(words[best], end).view(np.uint64)
+    by_hash = np.argsort(net)
+    rest = np.setdiff1d(np.flatnonzero(words != end), best)
+    rest = rest[np.argsort(words[rest].view(np.uint64))]
     return Vocabulary(
-        words.view(np.uint64)[by_hash], c[by_hash], ids[by_hash], number[len(best) : len(best) + BUCKETS], int(number[-1]), edges,
+        net[by_hash], np.append(c[best], ends)[by_hash], np.append(number[: len(best)], number[-1])[by_hash],
+        words[rest].view(np.uint64), c[rest], number[len(best) : len(best) + BUCKETS], int(number[-1]), edges,
         mass[order], np.log10(np.maximum(n_b, 0) + np.maximum(v_b, 0) + 1), total, distinct,
     )
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return np.tanh(x * 0.5) * 0.5 + 0.5
 
 
 class Gru:
@@ -318,7 +334,7 @@ def train(docs: DataFrame, vocab: Vocabulary, hidden: int = HIDDEN) -> Gru:
             texts = batch.column("text")
             for a, b in W.chunks(texts, BATCH):
                 h, lead, first = tokens(texts.slice(a, b - a))
-                ids = v.network_ids(h, lead)
+                ids, _ = v.ids(h, lead)
                 state = np.zeros((LANES, hidden), dtype=np.float32)
                 most = 0
                 for live, inputs, fresh, y, valid, _ in windows(ids, segments(first), v.end):
@@ -377,11 +393,10 @@ def scores(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
             texts = batch.column("text")
             for a, b in W.chunks(texts, BATCH):
                 h, lead, first = tokens(texts.slice(a, b - a))
-                place, ids = v.look(h)
-                c = np.where(place >= 0, v.counts[np.maximum(place, 0)], 0) if len(v.words) else np.zeros(len(h), dtype=np.int64)
+                ids, place = v.ids(h, lead)
+                c, known = v.look(h, place)
                 word = np.log10(c + 1.0)
-                inside = np.where(ids >= 0, 0.0, word - v.share[lead])
-                ids = np.where(ids >= 0, ids, v.bucket_ids[lead])
+                inside = np.where(place >= 0, 0.0, word - v.share[lead])
                 log = np.zeros(len(h))
                 state = np.zeros((LANES, hidden), dtype=np.float32)
                 for live, inputs, fresh, y, valid, at in windows(ids, first, v.end):
@@ -389,7 +404,7 @@ def scores(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
                     some = np.flatnonzero(valid.ravel())
                     log[at.ravel()[some]] = model.output(out.reshape(-1, hidden)[some], y.ravel()[some])
                     state[:live] = out[-1]
-                rare_at = np.flatnonzero((place < 0) & (h != END))
+                rare_at = np.flatnonzero(~known)
                 text = np.repeat(np.arange(b - a), np.diff(first))
                 edges = np.searchsorted(rare_at, first).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
