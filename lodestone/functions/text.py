@@ -62,9 +62,9 @@ def words(text: Column) -> Column:
 
 
 def _code_point(ref: Column) -> Column:
-    number = F.when(
-        F.lower(F.substr(ref, F.lit(2), F.lit(1))) == "x", F.conv(F.substr(ref, F.lit(3)), 16, 10)
-    ).otherwise(F.substr(ref, F.lit(2)))
+    digits = F.ltrim(F.regexp_replace(ref, "^#[xX]?", ""), F.lit("0"))
+    short = F.when(F.length(digits) <= 7, digits)  # longer ones are past the last character
+    number = F.when(F.lower(F.substr(ref, F.lit(2), F.lit(1))) == "x", F.conv(short, 16, 10)).otherwise(short)
     number = number.try_cast("int")
     usable = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     as_char = F.decode(F.unhex(F.lpad(F.hex(F.when(usable, number)), 8, "0")), "UTF-32")
@@ -77,9 +77,11 @@ def decode_entities(text: Column) -> Column:
     names = F.str_to_map(F.lit("\x02".join("\x01".join(e) for e in _ENTITIES.items())), F.lit("\x02"), F.lit("\x01"))
 
     def piece(p: Column, i: Column) -> Column:
-        ref = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});", 1)
+        # A number may go without its semicolon.
+        ref = F.regexp_extract(p, r"^(#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]++(?=;))", 1)
+        rest = F.regexp_replace(F.substr(p, F.length(ref) + 1), "^;", "")
         char = F.when(ref.startswith("#"), _code_point(ref)).otherwise(F.try_element_at(names, ref))
-        decoded = F.concat(char, F.substr(p, F.length(ref) + 2))
+        decoded = F.when(ref != "", F.concat(char, rest))
         return F.when(i == 0, p).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), p)))
 
-    return F.array_join(F.transform(F.split(text, "&"), piece), "")
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&"), piece), "")).otherwise(text)

@@ -30,10 +30,15 @@ def crawl_frontier(
 
     From every start page its links are followed, breadth first, ``max_depth`` steps far and up to ``max_pages`` pages
     in order of depth and url. ``starts(start_url)`` may hold any number of crawls; all advance together, one join
-    per step. Hot pages in ``links`` are split by AQE, hot crawls are cut by rank before their rows are shuffled.
+    per step. Links are cut per page before they meet the crawls, so a hub brings each crawl ``2 * max_pages`` rows at most.
     """
     if "html" in pages.columns:
         pages = cut_lineage(landed_urls(pages))  # the markup is read once, not once per step
+    # Of a page's links only these can matter: a crawl takes at most max_pages of them and has seen at most as many.
+    useful = landed(links.select("src_url", F.col("dst_url").alias("url")).distinct(), pages)
+    links = top_n(useful, ["src_url"], [F.col("url")], 2 * max_pages).select("src_url", F.col("url").alias("dst_url"))
+    if max_depth > 1:
+        links = cut_lineage(links)
     first = starts.select("start_url", F.col("start_url").alias("url")).distinct()
     visited = landed(first, pages).withColumn("depth", F.lit(0))
     for depth in range(1, max_depth + 1):
@@ -41,7 +46,7 @@ def crawl_frontier(
             visited = cut_lineage(visited)  # it is read three times below
         edge = visited.where(F.col("depth") == depth - 1).select("start_url", F.col("url").alias("src_url"))
         found = links.join(edge, "src_url").select("start_url", F.col("dst_url").alias("url"))
-        fresh = landed(unvisited(found, visited), pages)
+        fresh = unvisited(found, visited)
         grown = visited.unionByName(fresh.withColumn("depth", F.lit(depth)))
         visited = top_n(grown, ["start_url"], [F.col("depth"), F.col("url")], max_pages, "ord").drop("ord")
     return top_n(visited, ["start_url"], [F.col("depth"), F.col("url")], max_pages, "ord").select(

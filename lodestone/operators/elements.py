@@ -168,10 +168,13 @@ def image_element_of(
 
 
 def image_elements(images: DataFrame, labels: DataFrame | None = None, text_is_label: bool = True) -> DataFrame:
-    """From ``(url, image_no, image_url, alt)``, with payload columns if attached, and ``labels(image_url, label)``."""
+    """From ``(url, image_no, image_url, alt)``, with payload columns if attached, and ``labels(image_url, label)``.
+
+    Of several labels of one image the last in order of text counts.
+    """
     rows = images.where(F.coalesce(F.col("image_url"), F.lit("")) != "")
     if labels is not None:
-        rows = rows.join(labels.select("image_url", "label"), "image_url", "left")
+        rows = rows.join(labels.groupBy("image_url").agg(F.max("label").alias("label")), "image_url", "left")
     optional = [F.col(c) if c in rows.columns else None for c in ("label", "image_base64", "image_mime_type")]
     cols = [F.col(c) for c in ("url", "image_no", "image_url", "alt")]
     return rows.select(F.inline(F.array(image_element_of(*cols, *optional, text_is_label=text_is_label))))
@@ -220,7 +223,7 @@ def build_elements(
     text = F.array(text_element_of(url, F.col("text"), F.col("content_blocks")))
     if profile == "v1":
         return items.select(F.inline(text))
-    rows = parse_tables(items, profile)
+    rows = parse_tables(items)
     table = [url, no, F.col("table_html"), F.col("table_rows")]
     image_url = resolve_url(url, F.col("src"))
     elements = rows.select(

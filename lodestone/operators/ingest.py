@@ -12,7 +12,6 @@ from .model import map_model
 from .ranking import where_once
 
 # The cut before a model is called, and the chunk sizes in words.
-MODEL_MAX_CHARS = 8000
 CHUNK_SIZE = 350
 CHUNK_OVERLAP = 100
 
@@ -74,13 +73,13 @@ def embedding_of(
     """Vector of a text. Null text gives null; blank text, a failure or a wrong length give zeros.
 
     Without ``fn`` the hashed bag of words over the whole text is used. With ``fn`` (a batch of texts in, vectors
-    out) texts are cut to ``max_chars``, 8,000 unless told otherwise.
+    out) texts go over whole too, or cut to ``max_chars`` if that is given.
     """
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     if fn is None:
         source = text if max_chars is None else F.left(text, F.lit(max_chars))
         return F.when(text.isNotNull(), hashed_embedding(source, dim))
-    asked = F.when(~is_blank(text), F.left(text, F.lit(max_chars or MODEL_MAX_CHARS)))
+    asked = F.when(~is_blank(text), text if max_chars is None else F.left(text, F.lit(max_chars)))
     vector = map_model(fn, asked, "array<float>")
     return F.when(text.isNotNull(), F.when(F.size(vector) == dim, vector).otherwise(zeros))
 

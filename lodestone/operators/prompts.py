@@ -104,13 +104,14 @@ def status_answer(status: Column, answer: Column | None = None, asked: bool = Tr
 def answer_records(status: DataFrame, hits: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """One row per query: ``query_id``, ``status``, ``answer`` and its hits in rank order as ``retrieved``.
 
-    ``answers(query_id, answer)`` is what a model made of the prompts. Queries without hits have an empty list.
+    ``answers(query_id, answer)`` is what a model made of the prompts. Queries without hits have an empty list. Of several
+    answers to one query the last in order of text counts.
     """
     fields = [F.col(c) for c in ("rank", "text", "source", "distance", "images") if c in hits.columns]
     found = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("retrieved"))
     rows = status.join(found, "query_id", "left")
     if answers is not None:
-        rows = rows.join(answers.select("query_id", "answer"), "query_id", "left")
+        rows = rows.join(answers.groupBy("query_id").agg(F.max("answer").alias("answer")), "query_id", "left")
     answer = F.col("answer") if answers is not None else None
     kind = found.schema["retrieved"].dataType
     return rows.select(

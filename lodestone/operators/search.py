@@ -4,13 +4,12 @@ The index is only ever scanned in place. Each task keeps the best ``k`` of its o
 shuffled is ``k`` rows per query and task, whatever the index holds.
 """
 
+import json
 import math
 from collections.abc import Iterator
 from functools import reduce
-from operator import or_
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -21,9 +20,9 @@ from ..sources.scratch import cut_lineage
 from .ranking import top_n
 
 MAX_K = 20
-FEW_IDS = 100  # ids that are worth a filter of their own
-QUERY_BYTES = 32 << 20  # largest query matrix that is shipped to every task
-CELL_BYTES = 64 << 20  # size of one side of a block pair beyond that
+QUERY_BYTES = 32 << 20  # of query vectors and running results in a task
+_HIT_BYTES = 96  # of a running result
+_MAP_BITS = 20  # of the map of wanted ids: 128 KB, however many there are
 _TILE = 4 << 20  # distances worked out at a time
 _DIGITS = 9  # distances that agree this far are ties, settled by id
 
@@ -119,22 +118,14 @@ def _arrow_side(ids, vectors, dim: int) -> tuple[pa.Array, np.ndarray]:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    return ids, flat.astype(np.float64).reshape(-1, dim)
+    return ids, flat.astype(np.float64).reshape(len(ids), dim)
 
 
-def _pandas_side(ids: pd.Series, vectors: pd.Series, dim: int) -> tuple[pa.Array, np.ndarray]:
-    fits = vectors.map(lambda v: v is not None and len(v) == dim).astype(bool)
-    kept = vectors[fits]
-    matrix = np.stack(kept).astype(np.float64) if len(kept) else np.empty((0, dim))
-    return pa.array(ids[fits]), matrix
-
-
-def _by_broadcast(index: DataFrame, queries: DataFrame, dim: int, k: int, schema: str) -> DataFrame:
-    """Queries of a checked size go to every task; the index does not move."""
-    table = queries.toArrow()
-    ids, matrix = _arrow_side(table.column("query_id"), table.column("embedding"), dim)
+def _in_place(index: DataFrame, queries: pa.Table, dim: int, k: int, schema: str) -> DataFrame:
+    """One stretch of queries goes to every task; the index does not move."""
+    ids, matrix = _arrow_side(queries.column("query_id"), queries.column("embedding"), dim)
     shipped = index.sparkSession.sparkContext.broadcast((_objects(ids), matrix))
-    query_type = table.schema.field("query_id").type
+    query_type = queries.schema.field("query_id").type
 
     def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, id_type = _Best(*shipped.value, k), None
@@ -154,74 +145,70 @@ def _by_broadcast(index: DataFrame, queries: DataFrame, dim: int, k: int, schema
     return index.mapInArrow(local_best, schema)
 
 
-def _by_blocks(index: DataFrame, queries: DataFrame, dim: int, k: int, schema: str, cells: tuple[int, int]) -> DataFrame:
-    """Beyond that both sides are cut into hashed blocks and each pair of blocks is one small group.
-
-    Ids are unique on both sides, so the blocks come out even. Queries are cut in ``cells[0]`` blocks and the index
-    in ``cells[1]``; a row is sent once to every block of the other side.
-    """
-    q_blocks, i_blocks = cells
-    cell = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.withColumn("qb", cell("query_id", q_blocks)).withColumn("ib", every(i_blocks))
-    right = index.select(F.col("node_id").alias("item"), F.col("embedding").alias("vector"))
-    right = right.withColumn("ib", cell("item", i_blocks)).withColumn("qb", every(q_blocks))
-
-    def pair_best(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or i.empty:
-            return pd.DataFrame({"query_id": [], "node_id": [], "distance": []}).astype(object)
-        ids, matrix = _pandas_side(q["query_id"], q["embedding"], dim)
-        best = _Best(_objects(ids), matrix, k)
-        best.add(*_pandas_side(i["item"], i["vector"], dim))
-        return pd.DataFrame(best.rows())
-
-    return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(pair_best, schema)
+def index_dim(index: DataFrame) -> int:
+    """Length of the index's vectors: that of the first one there is, 0 for an empty index."""
+    first = index.where(F.col("embedding").isNotNull()).select(F.size("embedding").alias("dim")).first()
+    return first["dim"] if first else 0
 
 
-def knn_join(index: DataFrame, queries: DataFrame, k: int = 5, query_bytes: int = QUERY_BYTES) -> DataFrame:
+def knn_join(index: DataFrame, queries: DataFrame, k: int = 5, query_bytes: int = QUERY_BYTES, dim: int | None = None) -> DataFrame:
     """The ``k`` index rows nearest to each query: ``query_id``, ``node_id``, ``distance``, ``rank``.
 
-    The queries are measured first. Up to ``query_bytes`` they are shipped to the tasks, above that both sides are
-    joined block by block; the results are the same.
+    Queries are settled, so their vectors are made once, and go through in stretches whose vectors and running results
+    take ``query_bytes`` together. For each stretch the index is scanned where it is; ``k`` rows per query and task are
+    shuffled. ``dim`` is the index's vector length, read from its first vector unless given; a query of another length
+    has no hits and leaves the others alone (``search_status`` tells it apart).
     """
-    id_bytes = F.sum(F.octet_length(F.col("query_id").cast("string")))
-    size = queries.agg(
-        F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim"), F.coalesce(id_bytes, F.lit(0)).alias("ids")
-    ).first()
-    dim = size["dim"] or 1
     types = dict(index.dtypes) | {"query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, node_id {types['node_id']}, distance double"
-    index, queries = index.select("node_id", "embedding"), queries.select("query_id", "embedding")
-    total = size["n"] * (dim * 8 + 64) + size["ids"]
-    if total <= query_bytes:
-        best = _by_broadcast(index, queries, dim, k, schema)
-    else:
-        rows = index.count()
-        cells = (math.ceil(total / min(query_bytes, CELL_BYTES)), math.ceil(max(rows, 1) * (dim * 8 + 64) / CELL_BYTES))
-        best = _by_blocks(index, queries, dim, k, schema, cells)
-    return top_n(best, ["query_id"], nearest_first(), k)
+    index = index.select("node_id", "embedding")
+    dim = index_dim(index) if dim is None else dim
+    queries = cut_lineage(queries.select("query_id", "embedding"))
+    id_bytes = F.sum(F.octet_length(F.col("query_id").cast("string")))
+    size = queries.agg(F.count("*").alias("n"), F.coalesce(id_bytes, F.lit(0)).alias("ids")).first()
+    total = size["n"] * (dim * 8 + 64 + k * _HIT_BYTES) + size["ids"]
+    stretches = max(1, min(size["n"], math.ceil(total / query_bytes)))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(stretches))
+    best = [_in_place(index, queries.where(part == i).toArrow(), dim, k, schema) for i in range(stretches)]
+    return top_n(reduce(DataFrame.unionByName, best), ["query_id"], nearest_first(), k)
 
 
 def with_payload(hits: DataFrame, index: DataFrame) -> DataFrame:
     """Add text, source and images of each hit. A hit without its row in the index is dropped.
 
-    The vectors are left where they are; AQE broadcasts the hits when they turn out small.
+    Vectors are not read. For a saved index ``lookup_payload`` moves less.
     """
     payload = [c for c in index.columns if c not in ("embedding", "node_id", *hits.columns)]
     return hits.join(index.select("node_id", *payload), "node_id")
 
 
-def lookup_payload(hits: DataFrame, index: DataFrame, few: int = FEW_IDS) -> DataFrame:
-    """``with_payload`` for a saved index. The hits are settled first, so the search runs once.
+def _id_place(node_id: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(node_id), 64 - _MAP_BITS)
+
 
-    If they name only a few rows, these ids go into the scan as a filter, and a sorted index is read in those places
-    only. More hits than that are joined.
+def on_map_of(ids: DataFrame) -> Column:
+    """Condition on ``node_id`` that holds for every id in ``ids`` and for few others, by a bit map of fixed size.
+
+    At most one row for each 64 bits of the map reaches the driver.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("place", F.lit(64)).cast("int"))
+    places = ids.select(_id_place(F.col("node_id")).alias("place"))
+    rows = places.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).collect()
+    words = [0] * (1 << (_MAP_BITS - 6))
+    for row in rows:
+        words[row["at"]] = row["bits"]
+    place = _id_place(F.col("node_id"))
+    table = F.from_json(F.lit(json.dumps(words)), "array<bigint>")
+    word = F.get(table, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def lookup_payload(hits: DataFrame, index: DataFrame) -> DataFrame:
+    """``with_payload`` for a saved index: hits are settled, so the search runs once, and of the index only rows that can
+    be hits, by a map of their ids, are joined. Many hits fill the map; then more rows move, and the result is the same.
     """
     hits = cut_lineage(hits)
-    ids = [row["node_id"] for row in hits.select("node_id").distinct().limit(few + 1).collect()]
-    if 0 < len(ids) <= few:
-        index = index.where(reduce(or_, [F.col("node_id") == i for i in ids]))
-    return with_payload(hits, index)
+    return with_payload(hits, index.where(on_map_of(hits)))
 
 
 def project_hits(hits: DataFrame) -> DataFrame:
@@ -230,21 +217,23 @@ def project_hits(hits: DataFrame) -> DataFrame:
     return hits.select(*kept, F.size(F.coalesce("images", F.array().cast("array<string>"))).alias("image_count"))
 
 
-def search_status(queries: DataFrame, hits: DataFrame, given: bool = False) -> DataFrame:
+def search_status(queries: DataFrame, hits: DataFrame, given: bool = False, dim: int | None = None) -> DataFrame:
     """One row per query: ``status`` and the number of hits.
 
-    ``no_embedding`` if its text gave no vector (with ``given`` any vector is good), ``no_hits``, else ``ok``.
+    ``no_embedding`` if its text gave no vector (with ``given`` any vector is good), ``bad_dim`` if ``dim`` is told and
+    its vector has another length, ``no_hits``, else ``ok``.
     """
     vec = F.col("embedding")
     usable = vec.isNotNull() if given else F.coalesce(has_non_zero(vec), F.lit(False))
+    odd = F.lit(False) if dim is None else F.coalesce(F.size(vec) != dim, F.lit(False))
     found = hits.groupBy("query_id").agg(F.count("*").alias("n_hits"))
     count = F.when(F.col("_usable"), F.coalesce("n_hits", F.lit(0))).otherwise(0)
     return (
-        queries.select("query_id", usable.alias("_usable"))
+        queries.select("query_id", usable.alias("_usable"), odd.alias("_odd"))
         .join(found, "query_id", "left")
         .select(
             "query_id",
-            F.when(~F.col("_usable"), "no_embedding").when(count == 0, "no_hits").otherwise("ok").alias("status"),
+            F.when(~F.col("_usable"), "no_embedding").when(F.col("_odd"), "bad_dim").when(count == 0, "no_hits").otherwise("ok").alias("status"),
             count.cast("bigint").alias("n_hits"),
         )
     )

@@ -12,7 +12,7 @@ from ..functions.text import first_non_empty, let, non_empty
 from ..schema import GRID, KV
 
 _CELL = "struct<th:boolean,text:string,colspan:int,rowspan:int>"
-_WIDEST = 1000  # the HTML standard's limit for colspan
+_WIDEST, _TALLEST = 1000, 65534  # the HTML standard's limits for colspan and rowspan
 
 # The question text, and the columns that may name the thing a row is about.
 QUESTION = "型號為{key}的{column}是什麼？答案：{value}"
@@ -53,10 +53,12 @@ def place_cells(tables: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(grid)
 
 
-def _span(cell: Column, name: str) -> Column:
-    digits = F.regexp_extract(cell, rf"(?is)^<[^>]*\s{name}\s*=\s*[\"']?\s*(\d{{1,5}})", 1)
-    # The zero in front makes a number of a missing value too; a failing cast per cell would be slow.
-    return F.greatest(F.concat(F.lit("0"), digits).cast("int"), F.lit(1))
+def _span(cell: Column, name: str, limit: int) -> Column:
+    digits = F.regexp_extract(cell, rf"(?is)^<[^>]*\s{name}\s*=\s*[\"']?\s*0*(\d*)", 1)
+    # The zero in front makes a number of a missing value too; a failing cast per cell would be slow. HTML's own limits
+    # hold, so a number of more digits than the limit has is the limit.
+    number = F.when(F.length(digits) > 5, F.lit(limit)).otherwise(F.concat(F.lit("0"), digits).cast("int"))
+    return F.greatest(F.least(number, F.lit(limit)), F.lit(1))
 
 
 def _own_markup(table_html: Column) -> Column:
@@ -70,26 +72,38 @@ def _own_markup(table_html: Column) -> Column:
     return F.array_join(own, "")
 
 
-def parse_tables(tables: DataFrame, profile: str = "v2") -> DataFrame:
+def parse_tables(tables: DataFrame) -> DataFrame:
     """Add ``table_rows``: the body rows as ordered key/value lists.
 
-    Header rows are the leading rows made of ``th`` cells only, or else the first row. Their levels are joined by
-    ``__``. A spanned cell gives its text once and ``""`` for the rest; a missing cell gives ``""``.
+    Header rows are the leading rows that stand in ``thead`` or are made of ``th`` cells only, or else the first row. Their
+    levels are joined by ``__``. A spanned cell gives its text once and ``""`` for the rest; a missing cell gives ``""``. Cells
+    beyond the header get the keys ``column_n``, n counted from 1.
     """
     cells, grid, heads = F.col("_cells"), F.col("_grid"), F.col("_heads")
 
-    def row_cells(row: Column) -> Column:
+    def row_cells(row: Column, in_head: Column) -> Column:
         return F.transform(
             F.filter(F.split(row, r"(?i)(?=<t[dh][\s/>])"), lambda c: c.rlike(r"(?i)^<t[dh]")),
             lambda c: F.struct(
-                c.rlike("(?i)^<th").alias("th"),
+                (in_head | c.rlike("(?i)^<th")).alias("th"),
                 H.cell_text(F.regexp_replace(c, r"(?is)</t[dhr]\s*>.*$", "")).alias("text"),
-                F.least(_span(c, "colspan"), F.lit(_WIDEST)).alias("colspan"),
-                _span(c, "rowspan").alias("rowspan"),
+                _span(c, "colspan", _WIDEST).alias("colspan"),
+                _span(c, "rowspan", _TALLEST).alias("rowspan"),
             ).cast(_CELL),
         )
 
-    rows = F.filter(F.split(_own_markup(F.col("table_html")), r"(?i)(?=<tr[\s/>])"), lambda r: r.rlike("(?i)^<tr"))
+    # A row belongs to the head if more heads open than close in the markup before it.
+    count = lambda s, tag: F.size(F.split(s, tag)) - 1
+    heads_open = lambda s: count(s, r"(?i)<thead(?=[\s/>])") - count(s, r"(?i)</thead(?=[\s/>])")
+    parts = F.split(_own_markup(F.col("table_html")), r"(?i)(?=<tr[\s/>])")
+
+    def marked(pieces: Column) -> Column:
+        steps = F.transform(pieces, heads_open)
+        before = F.zip_with(H.running_sum(steps), steps, lambda upto, own: upto - own)
+        rows = F.zip_with(pieces, before, lambda s, b: F.struct(s.alias("row"), (b > 0).alias("head")))
+        return F.filter(rows, lambda r: r["row"].rlike("(?i)^<tr"))
+
+    rows = let(parts, marked)
     spread = F.transform(
         cells,
         lambda r: F.flatten(
@@ -123,10 +137,13 @@ def parse_tables(tables: DataFrame, profile: str = "v2") -> DataFrame:
             ),
         )
 
-    header = F.when(width > 0, names).otherwise(F.array().cast("array<string>"))
+    widest = F.greatest(width, F.coalesce(F.array_max(F.transform(body, F.size)), F.lit(0)))
+    more = F.transform(F.sequence(width + 1, widest), lambda n: F.concat(F.lit("column_"), n.cast("string")))
+    none = F.array().cast("array<string>")
+    header = F.concat(F.when(width > 0, names).otherwise(none), F.when(widest > width, more).otherwise(none))
     table_rows = let(header, lambda n: F.transform(body, lambda r: keyed(r, n)))
     return (
-        tables.withColumn("_cells", F.filter(F.transform(rows, row_cells), lambda r: F.size(r) > 0))
+        tables.withColumn("_cells", F.filter(F.transform(rows, lambda r: row_cells(r["row"], r["head"])), lambda r: F.size(r) > 0))
         .withColumn("_placed", place_cells(F.when(spans_rows, F.to_json(cells))))
         .withColumn("_grid", F.coalesce("_placed", spread.cast(GRID)))
         .withColumn("_heads", F.slice(grid, 1, head_count))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..operators.elements import build_elements, embed_elements
 from ..operators.ingest import embed_text, index_rows, ingest
 from ..operators.prompts import build_context, build_prompts, format_sources
-from ..operators.search import clamp_k, knn_join, lookup_payload, search_status
+from ..operators.search import index_dim, knn_join, lookup_payload, search_status
 from ..functions.vectors import has_non_zero
+from ..sources.scratch import cut_lineage
 
 Model = Callable[[list], list] | None
 
@@ -43,10 +44,12 @@ class Retrieval:
 def retrieve(index: DataFrame, queries: DataFrame, dim: int, k: int = 5, fn: Model = None) -> Retrieval:
     """Answer ``queries(query_id, query)`` from the index: ranked hits, a status each, prompts and source lists.
 
-    The index is best a saved one: it is scanned for its vectors, then read for the payload of the hits.
+    The index is best a saved one: it is scanned for its vectors, then read for the payload of the hits. Queries are
+    embedded once and settled. ``k`` is taken as it is; ``clamp_k`` is there for callers who want a limit.
     """
-    embedded = embed_text(queries, "query", dim, fn)
+    embedded = cut_lineage(embed_text(queries, "query", dim, fn))
+    length = index_dim(index)
     usable = embedded.where(has_non_zero(F.col("embedding")))
-    hits = lookup_payload(knn_join(index, usable.select("query_id", "embedding"), clamp_k(k)), index)
+    hits = lookup_payload(knn_join(index, usable.select("query_id", "embedding"), k, dim=length), index)
     contexts = build_context(hits).join(queries, "query_id")
-    return Retrieval(embedded, hits, search_status(embedded, hits), build_prompts(contexts), format_sources(hits))
+    return Retrieval(embedded, hits, search_status(embedded, hits, dim=length or None), build_prompts(contexts), format_sources(hits))

@@ -380,8 +380,7 @@ SELECT count(*) AS elements, CAST(count_if(filetype LIKE 'table%') AS BIGINT) AS
         "describe_elements": _described(),
         "embedding_sizes": f"WITH {_ENTRIES} SELECT CAST(coalesce(stored, 0) AS INTEGER) AS dim, count(*) AS n FROM entries GROUP BY stored",
         "page_report": """
-WITH p AS (SELECT regexp_extract(html, '(?s)<p>[^<]{400,}</p>') AS html FROM pages)
-SELECT count(*) AS pages, CAST(count_if(html = '') AS BIGINT) AS blank FROM p""",
+SELECT 2 * count(*) AS pages, CAST(count(*) + count_if(html IS NULL OR trim(html) = '') AS BIGINT) AS blank FROM pages""",
         "pick_text_and_source": f"WITH {_ENTRIES} SELECT source_url, text, source, n_images FROM entries",
         "image_lists": """
 SELECT doc_id, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 ELSE 0 END AS n,

@@ -432,9 +432,9 @@ def embedding_sizes(spark, sf):
 
 
 def page_report(spark, sf):
-    """Pages reduced to a long paragraph of theirs; those without one are blank."""
-    rows = table(spark, sf, "pages").select(F.regexp_extract("html", "(?s)<p>[^<]{400,}</p>", 0).alias("html"))
-    return P.page_report(rows)
+    """All pages whole, and for each of them a blank one."""
+    pages = table(spark, sf, "pages").select("html")
+    return P.page_report(pages.unionByName(pages.select(F.when(F.length("html") % 2 == 0, " ").alias("html"))))
 
 
 def lookup_payload(spark, sf):

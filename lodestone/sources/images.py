@@ -40,7 +40,8 @@ def attach_images(images: DataFrame, files: DataFrame) -> DataFrame:
     Bytes are encoded before the join, once per file. A picture that half the web shows makes a hot key on the left
     side of an outer join, which AQE splits.
     """
-    payload = files.select(F.col("url").alias("image_url"), base64_text(F.col("content")).alias("image_base64"))
+    one = files.groupBy("url").agg(F.max("content").alias("content"))  # a file landed twice is one file
+    payload = one.select(F.col("url").alias("image_url"), base64_text(F.col("content")).alias("image_base64"))
     found = F.col("image_base64").isNotNull()
     return images.join(payload, "image_url", "left").withColumn(
         "image_mime_type", F.when(found, mime_type(F.col("image_url")))

@@ -40,12 +40,14 @@ def _settled(df: DataFrame) -> DataFrame:
 def read_elements(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Element files: ``json`` (one array per file), or ``jsonl`` and ``parquet`` as ``write_elements`` leaves them.
 
-    An array file is read whole by one task; large sets belong in the other two, which are split.
+    An array file is read whole by one task; large sets belong in the other two, which are split. A broken file fails
+    the read.
     """
     if fmt == "json":
-        return _settled(spark.read.schema(ELEMENT_RAW).option("multiLine", True).json(path))
+        return _settled(spark.read.schema(ELEMENT_RAW).options(multiLine=True, mode="FAILFAST").json(path))
     stored = StructType([*ELEMENT.fields]).add("filetype", "string")
-    return spark.read.schema(stored).format("json" if fmt == "jsonl" else fmt).load(path).select(*ELEMENT.fieldNames())
+    reader = spark.read.schema(stored).format("json" if fmt == "jsonl" else fmt).option("mode", "FAILFAST")
+    return reader.load(path).select(*ELEMENT.fieldNames())
 
 
 def write_elements(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:

@@ -57,7 +57,7 @@ def test_model_sees_only_what_needs_a_vector(spark):
     entries = [*ENTRIES, {"text": "zero"}, {"text": "short"}, {"text": "z" * 9000}]
     rows = N.ingest(elements(spark, *entries), 2, model).collect()
     assert [r.reason for r in rows] == [None, "blank", None, None, "blank", "dim", "zero", "zero", None]
-    assert rows[0].embedding == [2.0, 1.0] and rows[8].embedding == [8000.0, 1.0]
+    assert rows[0].embedding == [2.0, 1.0] and rows[8].embedding == [9000.0, 1.0]  # texts go over whole
 
 
 def test_hashed_embedding(spark):

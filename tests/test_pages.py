@@ -115,3 +115,10 @@ def test_resolving_equals_the_standard_library(spark):
     df = spark.createDataFrame(rows, "b string, r string").withColumn("found", resolve_url(F.col("b"), F.col("r")))
     wrong = [(r.b, r.r, r.found, urljoin(r.b, r.r)) for r in df.collect() if r.found != urljoin(r.b, r.r)]
     assert wrong == []
+
+
+def test_long_and_open_character_references(spark):
+    from lodestone.functions.text import decode_entities
+
+    df = spark.createDataFrame([("&#0000000169; &#169 x &#x00000000A9; &#99999999999; &nosuchname; & &amp;lt; plain",)], "t string")
+    assert df.select(decode_entities(F.col("t"))).first()[0] == "© © x © \ufffd &nosuchname; & &lt; plain"

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import search as S
+from lodestone.plans.flows import retrieve
 from lodestone.operators.ranking import top_n
 from lodestone.schema import INDEX
 from lodestone.sources import io
@@ -35,9 +36,9 @@ def brute_force(ids, vectors, queries, k):
     return out
 
 
-@pytest.mark.parametrize("query_bytes", [S.QUERY_BYTES, 1 << 10])
+@pytest.mark.parametrize("stretches", [1, 3])
 @pytest.mark.parametrize("k", [1, 7, 500])
-def test_join_equals_brute_force_with_a_third_of_copies(spark, query_bytes, k):
+def test_join_equals_brute_force_with_a_third_of_copies(spark, stretches, k):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(300, 6)).astype(np.float32)
     vectors[100:200] = vectors[0]
@@ -45,7 +46,8 @@ def test_join_equals_brute_force_with_a_third_of_copies(spark, query_bytes, k):
     queries = np.concatenate([rng.normal(size=(12, 6)).astype(np.float32), vectors[:2]])
     index = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "node_id string, embedding array<float>")
     asked = spark.createDataFrame([(q, v.tolist()) for q, v in enumerate(queries)], "query_id int, embedding array<float>")
-    got = S.knn_join(index.repartition(5), asked, k, query_bytes).collect()
+    one = len(queries) * (6 * 8 + 64 + k * 96)
+    got = S.knn_join(index.repartition(5), asked, k, S.QUERY_BYTES if stretches == 1 else one // stretches).collect()
     found = {(r.query_id, r.node_id, r["rank"], round(r.distance, 6)) for r in got}
     assert len(got) == len(found)
     assert found == brute_force(ids, vectors.astype(float), queries.astype(float), k)
@@ -103,18 +105,16 @@ def test_index_life(spark, tmp_path):
     assert {r.node_id: r.text for r in merged.collect()} == {"a": "text a", "b": "other", "c": "other", "d": "other"}
 
 
-def test_lookup_reads_few_ids_by_filter(spark, tmp_path):
+def test_lookup_joins_only_rows_on_the_map(spark, tmp_path):
     path = str(tmp_path / "index")
     good = index_of(spark, {k: v for k, v in SMALL.items() if v and len(v) == 2})
     io.save_index(good, path)
     index = io.load_index(spark, path)
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<float>")
     hits = S.knn_join(index, queries, 2)
-    few = S.lookup_payload(hits, index)
-    plan = few._jdf.queryExecution().toString()
-    assert "PushedFilters: [Or(EqualTo(node_id" in plan or "PushedFilters: [In(node_id" in plan
-    many = S.lookup_payload(hits, index, few=1)
-    assert sorted(few.collect()) == sorted(many.collect()) == sorted(S.with_payload(hits, index).collect())
+    assert sorted(S.lookup_payload(hits, index).collect()) == sorted(S.with_payload(hits, index).collect())
+    wanted = hits.select("node_id").limit(1)
+    assert [r.node_id for r in index.where(S.on_map_of(wanted)).collect()] == [r.node_id for r in wanted.collect()]
     assert S.lookup_payload(hits.limit(0), index).count() == 0
 
 
@@ -124,3 +124,27 @@ def test_saved_status(spark, tmp_path):
     io.save_index(index_of(spark, {"a": [1.0]}), path)
     row = io.saved_index_status(spark, path).first()
     assert row.exists and row.ready and row.vectors == 1
+
+
+def test_an_odd_query_leaves_the_others_alone(spark):
+    index = index_of(spark, {"a": [0.0, 1.0], "b": [1.0, 0.0]})
+    queries = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0, 0.0])], "query_id int, embedding array<float>")
+    hits = S.knn_join(index, queries, 1)
+    assert sorted((r.query_id, r.node_id) for r in hits.collect()) == [(1, "a"), (2, "b")]
+    status = {r.query_id: r.status for r in S.search_status(queries, hits, dim=S.index_dim(index)).collect()}
+    assert status == {1: "ok", 2: "ok", 3: "bad_dim"}
+
+
+def test_retrieve_takes_k_as_it_is_and_asks_the_model_once(spark, tmp_path):
+    log = tmp_path / "calls"
+
+    def model(texts):
+        with open(log, "a") as f:
+            f.write("".join(f"{len(t)}\n" for t in texts))
+        return [[1.0, 0.0] for _ in texts]
+
+    index = index_of(spark, {f"n{i:02}": [float(i), 1.0] for i in range(60)})
+    queries = spark.createDataFrame([(1, "x" * 9000)], "query_id int, query string")
+    found = retrieve(index, queries, 2, k=50, fn=model)
+    assert found.hits.count() == 50 and found.status.first().status == "ok" and found.prompts.count() == 1
+    assert log.read_text() == "9000\n"

@@ -105,3 +105,20 @@ def test_row_key_order(spark):
     row = T.row_of(df, ["first", "型號", "Model"])
     keys = df.select(T.row_key(row, F.transform(row, lambda c: c["k"])).alias("key")).collect()
     assert [r.key for r in keys] == ["m", "n", "x", ""]
+
+
+@pytest.mark.parametrize(
+    ("html", "rows"),
+    [
+        ("<table><tr><th>K</th></tr><tr><td>1</td><td>extra</td></tr></table>", [{"K": "1", "column_2": "extra"}]),
+        ("<table><tr><td colspan=100000>a</td></tr><tr><td>1</td></tr></table>", [{"a": "1"}]),
+        (
+            "<table><thead><tr><td>A</td><td>B</td></tr><tr><td>x</td><td>y</td></tr></thead><tr><td>1</td><td>2</td></tr></table>",
+            [{"A__x": "1", "B__y": "2"}],
+        ),
+    ],
+)
+def test_surplus_cells_wide_spans_and_heads(spark, html, rows):
+    found = T.parse_tables(spark.createDataFrame([(html,)], "table_html string")).first().table_rows
+    got = [{x.k: x.v for x in row if x.v} for row in found]
+    assert got == rows
