@@ -6,6 +6,7 @@ Each query runs twice and the second run counts: the first compiles code and sta
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -45,6 +46,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lodestone-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

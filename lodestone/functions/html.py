@@ -14,8 +14,9 @@ _ATTR = r"(?s)(?<=[\s\"'/])([^\s\"'<>/=]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]
 # Stands where markup was cut out, so that the texts on both sides stay two texts.
 GAP = "<!---->"
 
-_COMMENTS = r"(?is)<(?:!--.*?--|(script|style|template)(?=[\s/>]).*?</\1\s*)>"
-_FURNITURE = r"(?is)<(nav|footer|aside)(?=[\s/>]).*?</\1\s*>"
+# What is not closed goes on to the end of the page.
+_COMMENTS = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style|template)(?=[\s/>]).*?(?:</\1\s*>|\z))"
+_FURNITURE = r"(?:nav|footer|aside)(?=[\s/>])"
 
 # A block ends at its own close tag or where one of these starts or ends.
 _BREAKS = (
@@ -39,8 +40,27 @@ def strip_comments(html: Column) -> Column:
 
 
 def strip_boilerplate(html: Column) -> Column:
-    """Also cut ``nav``, ``footer`` and ``aside``."""
-    return F.regexp_replace(strip_comments(html), _FURNITURE, GAP)
+    """Also cut ``nav``, ``footer`` and ``aside`` with all that they hold; one that is not closed stays."""
+
+    def cut(pieces: Column) -> Column:
+        step = lambda p: F.when(p.rlike(f"(?i)^<{_FURNITURE}"), 1).when(p.rlike(f"(?i)^</{_FURNITURE}"), -1).otherwise(0)
+        closed = F.filter(bracket_pairs(F.transform(pieces, step)), lambda b: b["close"] <= F.size(pieces))
+
+        def kept(pairs: Column) -> Column:
+            inside = lambda i: F.exists(pairs, lambda b: (b["i"] <= i) & (i < b["close"]))
+            ends = lambda i: F.exists(pairs, lambda b: b["close"] == i)
+            return F.transform(
+                pieces,
+                lambda p, i: F.when(inside(i + 1), "").when(ends(i + 1), F.regexp_replace(p, "^</[^>]*>", GAP)).otherwise(p),
+            )
+
+        return F.array_join(let(closed, kept), "")
+
+    def page(h: Column) -> Column:
+        parts = F.split(h, f"(?i)(?=</?{_FURNITURE})")
+        return F.when(h.rlike(f"(?i)<{_FURNITURE}"), let(parts, cut)).otherwise(h)
+
+    return let(strip_comments(html), page)
 
 
 def element_text(html: Column, sep: str = "") -> Column:

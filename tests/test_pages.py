@@ -4,7 +4,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.functions.html import element_text
+from lodestone.functions.html import element_text, strip_boilerplate
 from lodestone.functions.text import decode_entities
 from lodestone.functions.urls import resolve_url
 from lodestone.operators import pages as P
@@ -122,3 +122,20 @@ def test_long_and_open_character_references(spark):
 
     df = spark.createDataFrame([("&#0000000169; &#169 x &#x00000000A9; &#99999999999; &nosuchname; & &amp;lt; plain",)], "t string")
     assert df.select(decode_entities(F.col("t"))).first()[0] == "© © x © \ufffd &nosuchname; & &lt; plain"
+
+
+@pytest.mark.parametrize(
+    ("html", "kept"),
+    [
+        ("a<aside>one<aside>two</aside><p>leaked</p></aside>b", "ab"),
+        ("<nav>x<footer>y</footer>z</nav>t<NAV>u</NAV >v", "tv"),
+        ("a<nav>open<aside>in</aside>rest", "aopenrest"),
+        ("</nav>a<nav>b</nav>c", "ac"),
+        ("a<script>never closed <p>x</p>", "a"),
+        ("a<!-- never closed", "a"),
+        ("<navigation>a</navigation>", "a"),
+    ],
+)
+def test_furniture_goes_with_all_it_holds(spark, html, kept):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(element_text(strip_boilerplate(F.col("h")))).first()[0] == kept
