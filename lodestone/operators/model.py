@@ -7,21 +7,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BATCH = 500
+IN_A_ROW = 20  # values that fail one after another: no matter of the values any more
 
 
 def map_model(fn: Callable[[list], list], value: Column, returns: str, batch: int = BATCH) -> Column:
     """``fn`` over a column: it gets up to ``batch`` values and returns as many results.
 
-    Null values never reach ``fn``. If a batch fails its values are tried one by one, and those that fail give null.
+    Null values never reach ``fn``. If a batch fails its values are tried one by one, and those that fail give null. When
+    ``IN_A_ROW`` of them fail one after another the task fails with the last error, so an outage is no empty result.
     """
 
     def one_by_one(values: list) -> list:
-        out = []
+        out, failed = [], 0
         for v in values:
             try:
                 out.append(fn([v])[0])
-            except Exception:
+                failed = 0
+            except Exception as e:
                 out.append(None)
+                failed += 1
+                if failed >= IN_A_ROW:
+                    raise RuntimeError(f"the model failed for {failed} values in a row: {e}") from e
         return out
 
     def run(values: list) -> list:

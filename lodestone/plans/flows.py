@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.elements import build_elements, embed_elements
-from ..operators.ingest import embed_text, index_rows, ingest
+from ..operators.ingest import embed_text, index_rows, ingest, ingest_guard, ingest_report
 from ..operators.prompts import build_context, build_prompts, format_sources
 from ..operators.search import index_dim, knn_join, lookup_payload, search_status
 from ..functions.vectors import has_non_zero
+from ..sources import io
 from ..sources.scratch import cut_lineage
 
 Model = Callable[[list], list] | None
@@ -32,6 +33,14 @@ def elements_to_index(elements: DataFrame, dim: int, fn: Model = None) -> DataFr
     return index_rows(ingest(elements, dim, fn))
 
 
+def ingest_to_index(elements: DataFrame, path: str, dim: int, fn: Model = None) -> DataFrame:
+    """Embed once, save the index, and report. Fails before anything is saved if rows came in and none got a vector."""
+    done = cut_lineage(ingest(elements, dim, fn))
+    report = cut_lineage(ingest_guard(ingest_report(done)))
+    io.save_index(index_rows(done), path)
+    return report
+
+
 @dataclass
 class Retrieval:
     queries: DataFrame

@@ -8,6 +8,8 @@ from lodestone.functions.vectors import bucket_counts, token_buckets
 from lodestone.operators import ingest as N
 from lodestone.operators.model import map_model
 from lodestone.schema import ELEMENT
+from lodestone.plans.flows import ingest_to_index
+from lodestone.sources import io
 
 
 def elements(spark, *entries):
@@ -112,3 +114,25 @@ def test_map_model_isolates_failures(spark):
     df = spark.createDataFrame([(i, None if i == 4 else i % 5) for i in range(12)], "id int, v int")
     got = {r.id: r.r for r in df.select("id", map_model(fn, F.col("v"), "bigint", batch=3).alias("r")).collect()}
     assert got == {i: None if i == 4 or i % 5 == 0 else 10 // (i % 5) for i in range(12)}
+
+
+def test_ingest_to_index_embeds_once_and_stops_a_dead_model(spark, tmp_path):
+    log = tmp_path / "calls"
+
+    def model(texts):
+        with open(log, "a") as f:
+            f.write("x" * len(texts))
+        return [[1.0, 0.0] for _ in texts]
+
+    def dead(texts):
+        raise ConnectionError("no route")
+
+    some = elements(spark, {"text": "a"}, {"text": "b"}, {"text": " "})
+    report = ingest_to_index(some, str(tmp_path / "index"), 2, model).first()
+    assert (report.processed, report.skipped) == (2, 1) and log.read_text() == "xx"
+    assert io.load_index(spark, str(tmp_path / "index")).count() == 2
+    with pytest.raises(Exception, match="no entry got a vector"):
+        ingest_to_index(some, str(tmp_path / "none"), 2, dead)
+    with pytest.raises(Exception, match="no route"):
+        ingest_to_index(elements(spark, *({"text": f"t{i}"} for i in range(200))), str(tmp_path / "none"), 2, dead)
+    assert io.load_index(spark, str(tmp_path / "none")).count() == 0
