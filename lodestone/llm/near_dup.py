@@ -261,10 +261,19 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> Dat
     """``docs`` with one row of each group of near-duplicates: that of the smallest ``doc_id``. All columns stay.
 
     Rows that agree in ``doc_id`` and text are one; texts without words are kept. Columns whose names clash do not matter.
+    Ids that give up a row or come more than once go on a map of fixed size; rows that are not on it stay where they are,
+    and only the others are joined.
     """
     found = settle(near_duplicates(docs, width, percent), "near-duplicates")
-    kept = found.where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    joined = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text")).join(
-        kept, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi"
-    )
-    return joined.dropDuplicates(["_doc", "_text"]).select("_row.*")
+    key = F.xxhash64("doc_id")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_and("kept").alias("whole"), F.bool_or("kept").alias("kept"))
+    marks = docs.sparkSession.sparkContext.broadcast(bit_map(ids.where("rows > 1 OR NOT whole").select(key.alias("key"))))
+
+    @F.arrow_udf("boolean")
+    def listed(keys: pa.Array) -> pa.Array:
+        return pa.array(on_map(marks.value, keys.to_numpy(zero_copy_only=False)))
+
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), listed(key).alias("_listed"))
+    kept = ids.where("kept").select(F.col("doc_id").alias("_id"))
+    joined = rows.where("_listed").join(kept, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["_doc", "_text"])
+    return rows.where("NOT _listed").select("_row.*").unionByName(joined.select("_row.*"))
