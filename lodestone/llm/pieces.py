@@ -19,11 +19,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import words as W
 
 SPACE = "▁"
-BATCH = 3 << 20  # bytes of text indexed at a time
+BATCH = 2 << 20  # bytes of text indexed at a time
 IDS = 1 << 19  # ids turned to text at a time
 LONG = 64  # characters; a longer chunk is relaxed by itself, since the others wait for no one
 _NONE, _START = -3, -1
@@ -375,21 +376,29 @@ def model_at(path: str) -> Model:
     return Model(path)
 
 
-def encoded(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``ids``: the SentencePiece ids of each whole text, as the library gives them, without begin or end.
 
-    A null text counts as empty: no ids. Rows stay in place, with all columns; a column called ``ids`` is replaced.
-    ``model`` is the path of a model file that every node has.
+    With ``decoded`` a column of that name says what the ids stand for, made in the same pass. A null text counts as
+    empty: no ids, decoded to an empty text. Rows stay in place, with all columns; columns of these names are replaced.
+    ``model`` is the path of a model file that every node has. Rows come back in small batches, so neither side holds more
+    than a stretch of texts beside what it was handed.
     """
+    kept = [f for f in docs.schema.fields if f.name not in (ids, decoded)]
+    names = [f.name for f in kept]
+    schema = StructType([*kept, StructField(ids, ArrayType(IntegerType()))] + ([StructField(decoded, StringType())] if decoded else []))
 
-    @F.arrow_udf("array<int>")
-    def work(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model_at(model)
-        for batch in texts:
-            parts = [encode(m, batch.slice(a, b - a)) for a, b in W.chunks(batch, BATCH)]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
-
-    return docs.withColumn(ids, work(F.col(text)))
+        for batch in batches:
+            texts = batch.column(text)
+            for a, b in W.chunks(texts, BATCH):
+                found = encode(m, texts.slice(a, b - a))
+                part = batch.slice(a, b - a)
+                more = [found, decode(m, found)] if decoded else [found]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + more, schema.names)
+
+    return docs.select(*names).mapInArrow(work, schema)
 
 
 def decoded(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -18,7 +18,7 @@ TOKENIZER = "piece_bpe_32k.model"
 
 def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(TOKENIZER)
-    both = pieces.decoded(pieces.encoded(read(spark, sf_dir), model), model)
+    both = pieces.encoded(read(spark, sf_dir).select("doc_id", "text"), model, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
@@ -96,5 +96,28 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+OP6_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM split
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS d, doc_id AS r FROM sets UNION SELECT reach.d, links.b FROM reach JOIN links ON reach.r = links.a
+), least AS (
+    SELECT d, min(r) AS component_id FROM reach GROUP BY d
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON d = doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_topk": OP7_SQL}
+    return {"op6_near_dup": OP6_SQL, "op7_topk": OP7_SQL}

@@ -17,7 +17,7 @@ def bench(spark):
 
 
 OPERATORS = {
-    "pieces": lambda s, d: pieces.decoded(pieces.encoded(d, MODEL), MODEL),
+    "pieces": lambda s, d: pieces.decoded(pieces.encoded(d, MODEL, decoded="found"), MODEL),
     "sharding": lambda s, d: sharding.shard(sharding.sized(d), 4, ["text_hash", "doc_id"], "size"),
     "token_counts": lambda s, d: token_counts.token_counts(d, "piece_bpe_32k.model", scratch_path(s, "cache")),
     "quality": lambda s, d: quality.scored(d, quality.train(d)),
