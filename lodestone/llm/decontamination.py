@@ -1,9 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared n-grams, then Smith-Waterman alignment.
 
 The n-grams of all test items set bits in a map of fixed size. Documents are scanned in place; only stretches around
-n-grams whose bit is set leave the scan, as passages. Their n-grams are joined with the items' exactly. Of an item's
-n-grams the ones that are common in the corpus, against the item's others, are no seeds; each pair of passage and item
-that shares a seed is aligned word by word, so edited copies count too.
+n-grams whose bit is set leave the scan, as passages. Their n-grams are joined with the items' exactly, and each pair of
+passage and item that shares one is aligned word by word, so edited copies count too, however often they are repeated.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from . import words as W
 from .base import bit_map, on_map, settle
 
 GRAM = 3
-COMMON = 4  # an n-gram found in more than this many times the passages of the item's median one is no seed
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5  # of what the whole item would score
 _BATCH = 1 << 20  # cells of an alignment step
@@ -137,11 +135,7 @@ def _contaminated(docs: DataFrame, bench: DataFrame, score: float, n: int) -> Da
     marks = spark.sparkContext.broadcast(bit_map(items.select(F.explode("grams"))))
     passages = settle(passages_of(docs, marks, sizes or [n], longest), "passages")
     hits = passages.select("passage", F.explode("hits").alias("gram")).distinct()
-    grams = items.select("item", F.explode("grams").alias("gram"))
-    seen = hits.groupBy("gram").agg(F.count("*").alias("df")).join(grams, "gram")
-    usual = seen.groupBy("item").agg(F.percentile_approx("df", 0.5, F.lit(1000)).alias("usual"))
-    seeds = seen.join(usual, "item").where(F.col("df") <= COMMON * F.col("usual")).select("gram", "item")
-    pairs = hits.join(seeds, "gram").select("passage", "item").distinct()
+    pairs = hits.join(items.select("item", F.explode("grams").alias("gram")), "gram").select("passage", "item").distinct()
     rows = (
         pairs.join(passages.select("passage", "key", "doc_id", "at", "words"), "passage")
         .join(items.select("item", "item_id", F.col("words").alias("asked")), "item")

@@ -287,6 +287,17 @@ def test_edited_copies_are_found(spark, texts):
     assert [(r.doc_id, r.item_id, r.first_word, r.end_word) for r in got] == [(1, 9, 3, 19)]
 
 
+def test_an_edited_copy_repeated_often_is_found(spark):
+    item = [f"w{i}" for i in range(40)]
+    edited = [f"x{i}" if i % 4 == 3 else w for i, w in enumerate(item)]
+    rows = [(i, " ".join(item)) for i in range(3)] + [(i, f"intro {i} " + " ".join(edited)) for i in range(3, 103)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id bigint, text string")
+    got = {r.doc_id: r.score for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {i: 1.0 if i < 3 else smith_waterman(edited, item) / 80 for i in range(103)}
+    assert decontamination.decontaminated(docs, bench).count() == 0
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
