@@ -1,81 +1,144 @@
-"""Benchmark decontamination: shared n-grams, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, counted, then Smith-Waterman alignment.
 
-The n-grams of all test items set bits in a map of fixed size. Documents are scanned in place; only stretches around
-n-grams whose bit is set leave the scan, as passages. Their n-grams are joined with the items' exactly, and each pair of
-passage and item that shares one is aligned word by word, so edited copies count too, however often they are repeated.
+An alignment of M matches and E errors scores 2M - E. Where that is at least a share s of the 2m that the whole item of m
+words scores, at most E / 2 <= M - s * m of the M - 1 steps from a match to the next hold two errors or more. So s * m - 1
+steps or more join words that are neighbours, or have one word between them, both in the item and in the text: no copy
+above the limit has fewer such pairs, however it was edited. (Items too short for a pair to be sure go by single words.)
+
+The pairs of all test items set bits in a map of fixed size. Documents are scanned in place; only stretches where the
+pairs of items of about one length lie densely enough leave the scan, as passages. Their pairs are joined with the
+items' exactly and counted; each passage and item that share enough are aligned word by word.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 from .base import bit_map, on_map, settle
 
-GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5  # of what the whole item would score
 _BATCH = 1 << 20  # cells of an alignment step
 
 
-def items_of(bench: DataFrame, n: int = GRAM) -> DataFrame:
-    """``item_id, words`` and ``grams`` (hashes) of test items (``item_id, text``); an item of fewer words is one n-gram."""
+def needed(m: int, score: float) -> tuple[int, bool]:
+    """How many of an item's ``m`` words must begin a pair of a copy that reaches ``score``; if none, how many must occur at all."""
+    pairs = math.ceil(score * m - 1 - 1e-9)
+    return (pairs, True) if pairs > 0 else (max(math.ceil(score * m - 1e-9), 1), False)
+
+
+def links(h: np.ndarray, step: int) -> np.ndarray:
+    """A number for each pair of words ``step`` apart, the same for either step; for each word if ``step`` is 0."""
+    first, second = W.salts(2, 3) | np.uint64(1)
+    return W.mix(h[: len(h) - step] * first + h[step:] * second)
+
+
+def of_kind(seeds: np.ndarray, kind: int) -> np.ndarray:
+    return W.mix(seeds ^ W.salts(1, 8 + kind))
+
+
+def items_of(bench: DataFrame, score: float = SCORE) -> DataFrame:
+    """Test items (``item_id, text``) as ``item_id, words, kind, need, places, seeds, plain``.
+
+    ``kind`` is the length to within a quarter of a power of two, or 0 where single words are the seeds; ``seeds`` are
+    the numbers of the pairs that begin at ``places``, told apart by kind, ``plain`` the same without the kind.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w = W.split(batch.column("text"))
             h = w.hashes()
-            words, grams = [], []
+            out: dict[str, list] = {c: [] for c in ("words", "kind", "need", "places", "seeds", "plain")}
             for a, b in zip(w.first[:-1], w.first[1:], strict=True):
-                words.append(h[a:b].view(np.int64))
-                grams.append(np.unique(W.grams(h[a:b], min(n, b - a) or n)).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array(words, pa.list_(pa.int64())), pa.array(grams, pa.list_(pa.int64()))], ["item_id", "words", "grams"]
-            )
+                m = int(b - a)
+                need, paired = needed(m, score)
+                kind = 4 * m.bit_length() + (4 * m >> max(m.bit_length() - 1, 0)) % 4 if paired else 0
+                some = [links(h[a:b], step) for step in ((1, 2) if paired else (0,))]
+                plain = np.concatenate(some)
+                out["words"].append(h[a:b].view(np.int64))
+                out["kind"].append(kind)
+                out["need"].append(need)
+                out["places"].append(np.concatenate([np.arange(len(x), dtype=np.int32) for x in some]))
+                out["seeds"].append(of_kind(plain, kind).view(np.int64))
+                out["plain"].append(plain.view(np.int64))
+            many = {"places": pa.int32(), "words": pa.int64(), "seeds": pa.int64(), "plain": pa.int64()}
+            columns = [pa.array(x, pa.list_(many[c]) if c in many else pa.int32()) for c, x in out.items()]
+            yield pa.RecordBatch.from_arrays([batch.column("item_id"), *columns], ["item_id", *out])
+
+    name = bench.schema["item_id"].dataType.simpleString()
+    return bench.select("item_id", "text").mapInArrow(
+        work, f"item_id {name}, words array<bigint>, kind int, need int, places array<int>, seeds array<bigint>, plain array<bigint>"
+    )
+
 
-    kind = bench.schema["item_id"].dataType.simpleString()
-    return bench.select("item_id", "text").mapInArrow(work, f"item_id {kind}, words array<bigint>, grams array<bigint>")
+def dense(at: np.ndarray, text: np.ndarray, need: int, span: int) -> np.ndarray:
+    """Which of the ascending places ``at`` have ``need`` of them, itself among these, within ``span`` words of one text."""
+    n = len(at) - need + 1
+    if n <= 0:
+        return np.zeros(len(at), dtype=bool)
+    start = np.flatnonzero((at[need - 1 :] - at[:n] < span) & (text[at[need - 1 :]] == text[at[:n]]))
+    step = np.zeros(len(at) + 1, dtype=np.int64)
+    step[start] += 1
+    step[start + need] -= 1
+    return np.cumsum(step)[:-1] > 0
 
 
-def passages_of(docs: DataFrame, marks: DataFrame, sizes: list[int], longest: int) -> DataFrame:
-    """``doc_id, key, passage, at, words, hits``: stretches of ``docs`` (``doc_id, key, text``) around n-grams on the map.
+def passages_of(docs: DataFrame, marks: Broadcast, kinds: dict[int, tuple[int, int]]) -> DataFrame:
+    """``doc_id, key, passage, at, words, hits``: stretches of ``docs`` (``doc_id, key, text``) where seeds on the map are dense.
 
-    ``sizes``: the n-gram lengths in use. ``at`` is the number of the first word, ``hits`` the hashes of the n-grams.
+    ``kinds``: for each kind of items the least number of seeds of a copy, and the most words that it may reach over.
+    ``at`` is the number of the first word, ``hits`` the seeds.
     """
-    reach = longest + longest // 4
     found = marks
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = found.value
+        steps = [0] * (0 in kinds) + [1, 2] * any(kinds)
         for batch in batches:
             texts = batch.column("text")
             for a, b in W.chunks(texts):
                 w = W.split(texts.slice(a, b - a))
                 h = w.hashes()
-                place, gram = [], []
-                for n in sizes:
-                    g = W.grams(h, n)
+                place, seed = {0: [], 1: []}, {0: [], 1: []}
+                for step in steps:
+                    if len(h) <= step:
+                        continue
+                    g = links(h, step)
                     at = np.flatnonzero(on_map(table, g))
-                    at = at[w.text[at] == w.text[at + n - 1]]
-                    place.append(at)
-                    gram.append(g[at])
-                where = np.concatenate(place)
-                order = np.argsort(where, kind="stable")
-                where, grams = where[order], np.concatenate(gram)[order]
-                if not len(where):
-                    continue
-                parts = np.flatnonzero((np.diff(where) > 2 * reach) | (np.diff(w.text[where]) > 0)) + 1
+                    at = at[w.text[at] == w.text[at + step]]
+                    place[min(step, 1)].append(at)
+                    seed[min(step, 1)].append(g[at])
                 rows = []
-                for lo, hi in zip([0, *parts], [*parts, len(where)], strict=True):
-                    t = int(w.text[where[lo]])
-                    start = max(int(where[lo]) - reach, int(w.first[t]))
-                    end = min(int(where[hi - 1]) + reach, int(w.first[t + 1]))
-                    rows.append((a + t, start - int(w.first[t]), h[start:end].view(np.int64), np.unique(grams[lo:hi]).view(np.int64)))
+                for kind, (need, span) in kinds.items():
+                    if not place[min(kind, 1)]:
+                        continue
+                    where, seeds = np.concatenate(place[min(kind, 1)]), of_kind(np.concatenate(seed[min(kind, 1)]), kind)
+                    on = on_map(table, seeds)
+                    where, seeds = where[on], seeds[on]
+                    order = np.argsort(where, kind="stable")
+                    where, seeds = where[order], seeds[order]
+                    at, back = np.unique(where, return_inverse=True)
+                    kept = dense(at, w.text, need, span)[back]
+                    where, seeds = where[kept], seeds[kept]
+                    if not len(where):
+                        continue
+                    reach = span - need
+                    parts = np.flatnonzero((np.diff(where) > max(2 * reach, span)) | (np.diff(w.text[where]) > 0)) + 1
+                    for lo, hi in zip([0, *parts], [*parts, len(where)], strict=True):
+                        t = int(w.text[where[lo]])
+                        start = max(int(where[lo]) - reach, int(w.first[t]))
+                        end = min(int(where[hi - 1]) + 1 + reach, int(w.first[t + 1]))
+                        rows.append((a + t, start - int(w.first[t]), h[start:end].view(np.int64), np.unique(seeds[lo:hi]).view(np.int64), kind))
+                if not rows:
+                    continue
                 index = pa.array([r[0] for r in rows])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -84,13 +147,16 @@ def passages_of(docs: DataFrame, marks: DataFrame, sizes: list[int], longest: in
                         pa.array([r[1] for r in rows], pa.int64()),
                         pa.array([r[2] for r in rows], pa.list_(pa.int64())),
                         pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+                        pa.array([r[4] for r in rows], pa.int32()),
                     ],
-                    ["doc_id", "key", "at", "words", "hits"],
+                    ["doc_id", "key", "at", "words", "hits", "kind"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "key", "text").mapInArrow(work, f"doc_id {kind}, key bigint, at bigint, words array<bigint>, hits array<bigint>")
-    return out.withColumn("passage", F.xxhash64("key", "at"))
+    name = docs.schema["doc_id"].dataType.simpleString()
+    out = docs.select("doc_id", "key", "text").mapInArrow(
+        work, f"doc_id {name}, key bigint, at bigint, words array<bigint>, hits array<bigint>, kind int"
+    )
+    return out.withColumn("passage", F.xxhash64("key", "at", "kind"))
 
 
 def align(passages: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +182,7 @@ def align(passages: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarr
     return best, end
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, score: float = SCORE, n: int = GRAM) -> DataFrame:
+def contaminated(docs: DataFrame, bench: DataFrame, score: float = SCORE) -> DataFrame:
     """``doc_id, item_id, score, first_word, end_word``: documents (``doc_id, text``) that hold a copy of a test item.
 
     ``score`` is the best local alignment of any passage with the item, as a share of what the whole item scores; rows
@@ -124,18 +190,20 @@ def contaminated(docs: DataFrame, bench: DataFrame, score: float = SCORE, n: int
     nothing; null texts count as empty, null ids are ids like others; repeated rows give one row; empty tables give none.
     Other columns are not read.
     """
-    return _contaminated(docs.select("doc_id", F.lit(0).cast("long").alias("key"), "text").withColumn("key", F.xxhash64("doc_id")), bench, score, n).drop("key")
+    return _contaminated(docs.select("doc_id", F.lit(0).cast("long").alias("key"), "text").withColumn("key", F.xxhash64("doc_id")), bench, score).drop("key")
 
 
-def _contaminated(docs: DataFrame, bench: DataFrame, score: float, n: int) -> DataFrame:
+def _contaminated(docs: DataFrame, bench: DataFrame, score: float) -> DataFrame:
     spark = docs.sparkSession
-    items = settle(items_of(bench, n).where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
-    shape = items.agg(F.max(F.size("words")), F.collect_set(F.least(F.size("words"), F.lit(n)))).first()
-    longest, sizes = shape[0] or 1, sorted(shape[1])  # at most n lengths
-    marks = spark.sparkContext.broadcast(bit_map(items.select(F.explode("grams"))))
-    passages = settle(passages_of(docs, marks, sizes or [n], longest), "passages")
-    hits = passages.select("passage", F.explode("hits").alias("gram")).distinct()
-    pairs = hits.join(items.select("item", F.explode("grams").alias("gram")), "gram").select("passage", "item").distinct()
+    items = settle(items_of(bench, score).where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()), "items")
+    shapes = items.groupBy("kind").agg(F.min("need").alias("need"), F.max(F.size("words")).alias("longest")).collect()
+    kinds = {r["kind"]: (r["need"], max(math.floor((3 - 2 * score) * r["longest"] + 1e-9), r["longest"])) for r in shapes}
+    marks = spark.sparkContext.broadcast(bit_map(items.select(F.explode(F.concat("seeds", "plain")))))
+    passages = settle(passages_of(docs, marks, kinds), "passages")
+    hits = passages.select("passage", F.explode("hits").alias("seed"))
+    seeds = items.select("item", "need", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("item", "need", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))
+    shared = hits.join(seeds, "seed").groupBy("passage", "item", "need").agg(F.size(F.collect_set("place")).alias("n"))
+    pairs = shared.where("n >= need").select("passage", "item")
     rows = (
         pairs.join(passages.select("passage", "key", "doc_id", "at", "words"), "passage")
         .join(items.select("item", "item_id", F.col("words").alias("asked")), "item")
@@ -180,8 +248,8 @@ def _contaminated(docs: DataFrame, bench: DataFrame, score: float, n: int) -> Da
     return scored.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n", "item")
 
 
-def decontaminated(docs: DataFrame, bench: DataFrame, score: float = SCORE, n: int = GRAM) -> DataFrame:
+def decontaminated(docs: DataFrame, bench: DataFrame, score: float = SCORE) -> DataFrame:
     """``docs`` without the rows whose text holds a copy of a test item; all columns and other rows stay as they are."""
     key = F.xxhash64("doc_id", "text")
-    bad = settle(_contaminated(docs.select("doc_id", key.alias("key"), "text"), bench, score, n).select("key").distinct(), "contaminated")
+    bad = settle(_contaminated(docs.select("doc_id", key.alias("key"), "text"), bench, score).select("key").distinct(), "contaminated")
     return docs.withColumn("_key", key).join(bad.withColumnRenamed("key", "_key"), "_key", "left_anti").select(*docs.columns)

@@ -298,6 +298,26 @@ def test_an_edited_copy_repeated_often_is_found(spark):
     assert decontamination.decontaminated(docs, bench).count() == 0
 
 
+def test_densely_edited_copies_are_found(spark):
+    """Every passing copy of a brute-force alignment, of items of any length and however they are edited, and no other."""
+    rng = np.random.default_rng(5)
+    items = {m: [f"w{m}_{i}" for i in range(m)] for m in (1, 2, 3, 4, 5, 7, 15, 40)}
+    texts = {0: [x for i, w in enumerate(items[40]) for x in ([w, "and"] if i % 2 else [w])], 1: [x for w in items[15] for x in (w, "and")]}
+    for m, item in items.items():
+        for change in (0.2, 0.35, 0.5):
+            for _ in range(6):
+                copy = ["intro"] * int(rng.integers(0, 90))
+                for w in item:
+                    kind = rng.choice(4, p=[1 - change, change / 3, change / 3, change / 3])
+                    copy += [[w], ["other"], ["extra", w], []][kind]
+                texts[len(texts)] = copy + ["end"] * int(rng.integers(0, 90))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(m, " ".join(w)) for m, w in items.items()], "item_id bigint, text string")
+    want = {(d, m): s for d, t in texts.items() for m, w in items.items() if (s := smith_waterman(t, w) / (2 * m)) >= 0.5}
+    assert want[0, 40] == 0.7625 and (1, 15) in want
+    assert {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(docs, bench).collect()} == want
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
