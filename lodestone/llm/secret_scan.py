@@ -37,7 +37,6 @@ ALPHABETS = {
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz",
 }
-PLAIN = {"digits", "lower", "upper"}  # alphabets of numbers and words: never a secret by randomness alone
 FALSE_DISCOVERIES = 0.01
 _BINS = 1200  # of minus log10 p, 20 to the unit
 
@@ -114,7 +113,7 @@ def background(counts: dict[str, float]) -> dict[str, tuple[int, float, float]]:
 
 
 def tested(scanned: DataFrame, ground: dict[str, tuple[int, float, float]]) -> DataFrame:
-    """``_runs`` gains ``p`` for each run: how likely ordinary text looks as random as this. Plain alphabets get 1."""
+    """``_runs`` gains ``p`` for each run: how likely ordinary text looks as random as this."""
     table = F.create_map(*(x for n, (k, m, v) in ground.items() for x in (F.lit(n), F.struct(F.lit(k).alias("k"), F.lit(m).alias("m"), F.lit(v).alias("v")))))
     ranks = F.create_map(*(x for n, a in ALPHABETS.items() for x in (F.lit(n), F.lit(a))))
 
@@ -153,7 +152,7 @@ def tested(scanned: DataFrame, ground: dict[str, tuple[int, float, float]]) -> D
 
     named = F.transform("_runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["hit"].alias("hit"), _encoding(r["hit"]).alias("enc")))
     inside = lambda r, b: (b["start"] < r["end"]) & (r["start"] < b["end"])
-    free = lambda r: ~F.exists(F.concat("_assign", "_access", "_hex"), lambda b: inside(r, b)) & ~r["enc"].isin(sorted(PLAIN))
+    free = lambda r: ~F.exists(F.concat("_assign", "_access", "_hex"), lambda b: inside(r, b))
     some = scanned.withColumn("_runs", F.when(F.size("_runs") > 0, F.filter(named, free)).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string,enc:string>>")))
     return some.withColumn("_runs", F.transform(F.transform("_runs", numbers), battery))
 

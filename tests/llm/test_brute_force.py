@@ -351,3 +351,15 @@ def test_random_runs_are_found_and_words_are_not(spark, texts):
     assert sum("random" in s for s in spans.values()) <= 3
     masked = secret_scan.redacted(docs.where("doc_id < 0"), share=1.0)
     assert masked.where("text = 'key [SECRET] end'").count() == 1
+
+
+def test_random_runs_of_letters_alone_are_found(spark, texts):
+    rng = np.random.default_rng(3)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    glued = [g for t in texts.values() if len(g := re.sub("[^a-z]", "", t)) >= 400][:50]
+    planted = {-1: f"key {draw(lower, 400)} end", -2: f"key {draw(upper, 400)} end", **{-3 - i: g[:400] for i, g in enumerate(glued)}}
+    docs = spark.createDataFrame(list({**texts, **planted}.items()), "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.secrets(docs)).collect()}
+    assert spans[-1] == spans[-2] == "random:4:404" and len(glued) == 50
+    assert not any("random" in spans[-3 - i] for i in range(50))
