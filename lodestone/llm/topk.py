@@ -18,15 +18,19 @@ from .base import settle
 
 SHARD, QUERIES = 8192, 8192  # vectors and queries of a task, about
 SCALE = 256
-LIMIT = 1 << 26  # a quantised component's magnitude ends here, so that scores fit in a long
+LIMIT = 1 << 63  # a quantised component must be a long, and so must a score
 _PROBE = 8
 _LAST = np.iinfo(np.int64).max
 
 
 def quantised(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
-    """``vec_id, q`` (``floor(256 * x)`` as longs), without vectors that are null or hold null or non-finite components."""
+    """``vec_id, q`` (``floor(256 * x)`` as longs), without vectors that are null or hold null or non-finite components.
+
+    A component that does not fit in a long fails the job.
+    """
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    level = lambda x: F.floor(F.greatest(F.least(x.cast("double") * SCALE, F.lit(float(LIMIT))), F.lit(-float(LIMIT))))
+    wide = lambda x: F.abs(x.cast("double") * SCALE) >= F.lit(float(LIMIT))
+    level = lambda x: F.when(wide(x), F.raise_error(F.lit("a component is too large to quantise")).cast("bigint")).otherwise(F.floor(x.cast("double") * SCALE))
     some = vectors.select("vec_id", F.when(F.coalesce(fine, F.lit(False)), F.transform(vector, level)).alias("q"))
     return some.where("q is not null")
 
@@ -37,7 +41,8 @@ class Shard:
     def __init__(self, vectors: np.ndarray) -> None:
         self.n = len(vectors)
         self.exact = float  # sums below 2**53 are exact in doubles
-        if vectors.size and np.abs(vectors).max() ** 2 * vectors.shape[1] >= 1 << 53:
+        self.peak = float(np.abs(vectors.astype(float)).max(initial=1))
+        if self.peak**2 * vectors.shape[1] >= 1 << 53:
             self.exact = np.int64
         self.columns = np.ascontiguousarray(vectors.T).astype(self.exact)
         none = np.zeros(vectors.shape[1], dtype=self.exact)
@@ -46,10 +51,13 @@ class Shard:
 
     def best(self, query: np.ndarray, own: int, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the ``k`` best, place ``own`` left out; ties go to the smaller id."""
+        reach = float(np.abs(query.astype(float)).sum()) * self.peak
+        if reach >= 1 << 62:
+            return self._wide(query, own, ids, k)
         q = query.astype(self.exact)
-        if self.exact is float and np.abs(q).sum() * max(1.0, np.abs(self.columns).max(initial=0)) >= 1 << 53:
+        if self.exact is float and reach >= 1 << 53:
             wide = Shard.__new__(Shard)
-            wide.n, wide.exact = self.n, np.int64
+            wide.n, wide.exact, wide.peak = self.n, np.int64, self.peak
             wide.columns, wide.low, wide.high = (x.astype(np.int64) for x in (self.columns, self.low, self.high))
             return wide.best(query, own, ids, k)
         least, most = np.minimum(q * self.low, q * self.high), np.maximum(q * self.low, q * self.high)
@@ -78,6 +86,15 @@ class Shard:
         top = np.lexsort((ids[alive], -partial))[:k]
         return alive[top], partial[top].astype(np.int64)
 
+    def _wide(self, query: np.ndarray, own: int, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``best`` in integers of any size, where a sum could pass a long; a score that does fails the job."""
+        q = query.astype(np.int64).tolist()
+        scores = [sum(a * b for a, b in zip(q, v, strict=True)) for v in self.columns.astype(np.int64).T.tolist()]
+        top = sorted((i for i in range(self.n) if i != own), key=lambda i: (-scores[i], ids[i]))[:k]
+        if any(not -LIMIT <= scores[i] < LIMIT for i in top):
+            raise OverflowError("a score does not fit in a long")
+        return np.array(top, dtype=np.int64), np.array([scores[i] for i in top], dtype=np.int64)
+
     def _threshold(self, q: np.ndarray, order: np.ndarray, own: int, k: int):
         """The k-th best score of a few vectors that are strong in the strongest term; none if the shard has too few."""
         if self.n <= 4 * k or not len(order):

@@ -232,6 +232,24 @@ def test_topk_in_small_cells(spark, monkeypatch):
     assert got == set(con.execute(queries.OP7_SQL).fetchall())
 
 
+def test_topk_of_large_components(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** rng.integers(0, 7)).tolist()) for i in range(120)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {tuple(r) for r in queries.op7_topk(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert got == set(con.execute(queries.OP7_SQL).fetchall())
+
+
+def test_topk_sums_beyond_a_long():
+    v = np.array([[1 << 40, 1 << 40, 5], [1 << 40, -(1 << 40), 7], [1 << 20, 0, 9]])
+    at, scores = topk.Shard(v).best(np.array([1 << 40, 1 << 40, 1]), 0, np.arange(3), 5)
+    assert at.tolist() == [2, 1] and scores.tolist() == [(1 << 60) + 9, 7]
+    with pytest.raises(OverflowError):
+        topk.Shard(v).best(np.array([1 << 40, 1 << 40, 1]), -1, np.arange(3), 5)
+
+
 def test_license_scan(spark, texts):
     lines = {"Licensed under the Apache License, Version 2.0": "Apache-2.0", "Released under the MIT License": "MIT", "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0"}
     lines |= {"This work is licensed under the GNU General Public License, version 3": "GPL-3.0", "All rights reserved": "reserved"}
