@@ -43,3 +43,34 @@ def bit_map(numbers: DataFrame, bits: int = BITS) -> np.ndarray:
 
 def on_map(table: np.ndarray, numbers: np.ndarray, bits: int = BITS) -> np.ndarray:
     return table[(numbers.astype(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)]
+
+
+HOT = 4096  # shares of a table: a group of one share or more is hot, and there are no more than so many
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` (``total`` of them) with the columns of their row in ``groups``, one per value of ``key``, null included.
+
+    ``size`` counts the rows of a group. Groups that hold a ``HOT``-th of all rows or more are broadcast, ``HOT`` rows at
+    most whatever the table's size; the others meet their rows by a shuffle join, where no key is larger than that share.
+    """
+    named = groups.withColumnRenamed(key, "_group")
+    same = F.col(key).eqNullSafe(F.col("_group"))
+    hot = F.broadcast(named.where(F.col(size) * HOT >= total))
+    cold = named.where(F.col(size) * HOT < total)
+    met = rows.join(hot, same)
+    rest = rows.join(hot.select("_group"), same, "left_anti").join(cold, same)
+    return met.unionByName(rest).drop("_group")
+
+
+def whole_numbers(vectors: DataFrame, scale: int, *kept: str, vector: str = "embedding") -> DataFrame:
+    """The columns ``kept`` and ``q``: ``floor(scale * x)`` of each component, as longs.
+
+    Vectors that are null or hold null or non-finite components are left out. A component that does not fit in a long
+    fails the job.
+    """
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    wide = lambda x: F.abs(x.cast("double") * scale) >= F.lit(float(1 << 63))
+    too_wide = F.raise_error(F.lit("a component is too large for a long")).cast("bigint")
+    level = lambda x: F.when(wide(x), too_wide).otherwise(F.floor(x.cast("double") * scale))
+    return vectors.select(*kept, F.when(F.coalesce(fine, F.lit(False)), F.transform(vector, level)).alias("q")).where("q is not null")
