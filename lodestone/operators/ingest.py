@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import first_non_empty, is_blank, let, non_empty, words
 from ..functions.vectors import has_non_zero, hashed_embedding
 from ..schema import INDEX
-from .model import map_model
+from .model import try_model
 from .ranking import where_once
 
 # The cut before a model is called, and the chunk sizes in words.
@@ -67,10 +67,10 @@ def chunk_words(
     return df.select(*kept, F.posexplode(let(items, chunks)).alias("chunk_no", "chunk"))
 
 
-def embedding_of(
+def embedding_and_error(
     text: Column, dim: int, fn: Callable[[list], list] | None = None, max_chars: int | None = None
-) -> Column:
-    """Vector of a text. Null text gives null; blank text, a failure or a wrong length give zeros.
+) -> tuple[Column, Column]:
+    """Vector of a text, and why the model gave none. Null text gives null; blank text, a failure or a wrong length zeros.
 
     Without ``fn`` the hashed bag of words over the whole text is used. With ``fn`` (a batch of texts in, vectors
     out) texts go over whole too, or cut to ``max_chars`` if that is given.
@@ -78,10 +78,20 @@ def embedding_of(
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
     if fn is None:
         source = text if max_chars is None else F.left(text, F.lit(max_chars))
-        return F.when(text.isNotNull(), hashed_embedding(source, dim))
+        return F.when(text.isNotNull(), hashed_embedding(source, dim)), F.lit(None).cast("string")
     asked = F.when(~is_blank(text), text if max_chars is None else F.left(text, F.lit(max_chars)))
-    vector = map_model(fn, asked, "array<float>")
-    return F.when(text.isNotNull(), F.when(F.size(vector) == dim, vector).otherwise(zeros))
+    made = try_model(fn, asked, "array<float>")
+    vector = made["value"]
+    size = F.size(vector)
+    odd = F.when(size != dim, F.concat(F.lit("vector of length "), size.cast("string"), F.lit(f" instead of {dim}")))
+    return F.when(text.isNotNull(), F.when(size == dim, vector).otherwise(zeros)), F.coalesce(made["error"], odd)
+
+
+def embedding_of(
+    text: Column, dim: int, fn: Callable[[list], list] | None = None, max_chars: int | None = None
+) -> Column:
+    """The vector of ``embedding_and_error``."""
+    return embedding_and_error(text, dim, fn, max_chars)[0]
 
 
 def embed_text(
@@ -91,8 +101,11 @@ def embed_text(
     fn: Callable[[list], list] | None = None,
     max_chars: int | None = None,
     out_col: str = "embedding",
+    error_col: str | None = None,
 ) -> DataFrame:
-    return df.withColumn(out_col, embedding_of(F.col(text_col), dim, fn, max_chars))
+    """Add the vector of a text, and in ``error_col``, if it has a name, the model's error."""
+    vector, error = embedding_and_error(F.col(text_col), dim, fn, max_chars)
+    return df.withColumns({out_col: vector} | ({error_col: error} if error_col else {}))
 
 
 def to_entries(elements: DataFrame) -> DataFrame:
@@ -119,15 +132,15 @@ def has_vector(stored: Column) -> Column:
 def resolve_vectors(
     entries: DataFrame, dim: int, fn: Callable[[list], list] | None = None, max_chars: int | None = None
 ) -> DataFrame:
-    """Add ``fresh`` and ``embedding``: the stored vector as it is, else one made from the text.
+    """Add ``fresh``, ``embedding`` (the stored vector as it is, else one made from the text) and the model's ``error``.
 
     Only texts that need a vector are handed over; the rest pass as null, in the same scan.
     """
     stored, text = F.col("stored"), F.col("text")
     wanted = F.when(~has_vector(stored) & ~is_blank(text), text)
-    return entries.withColumn("fresh", ~has_vector(stored)).withColumn(
-        "embedding", F.when(has_vector(stored), stored).otherwise(embedding_of(wanted, dim, fn, max_chars))
-    )
+    made, error = embedding_and_error(wanted, dim, fn, max_chars)
+    vector = F.when(has_vector(stored), stored).otherwise(made)
+    return entries.withColumns({"fresh": ~has_vector(stored), "embedding": vector, "error": error})
 
 
 def valid_vectors(entries: DataFrame, dim: int) -> DataFrame:
@@ -172,6 +185,11 @@ def ingest_report(ingested: DataFrame) -> DataFrame:
     )
 
 
+def model_errors(ingested: DataFrame) -> DataFrame:
+    """``error``, ``n``: how often the model gave each error."""
+    return ingested.where("error is not null").groupBy("error").agg(F.count("*").alias("n"))
+
+
 def ingest_guard(report: DataFrame) -> DataFrame:
     """The report as it is; running it fails if rows came in and no vector came out."""
     bad = (F.col("skipped") > 0) & (F.col("processed") == 0)

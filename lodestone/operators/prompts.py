@@ -22,6 +22,19 @@ STATUS_ANSWERS = {
 }
 NO_MODEL_ANSWER = "未配置 LLM 模型，僅提供檢索結果。"
 FAILED_ANSWER = "無法連線到 LLM 服務，但已成功檢索相關內容。請查看檢索結果或稍後再試。"
+EMBEDDING_ERROR = " 最後的 embedding 錯誤: "
+ANSWER_ERROR = "生成回答時發生錯誤: "
+SOURCE_NAME = ". source="
+SOURCE_DISTANCE = ", distance="
+REFERENCE_SOURCE = "- Source: "
+REFERENCE_DISTANCE = " (distance="
+REFERENCE_CONTENT = ")\n  Content:\n  "
+REFERENCE_CUT = "... (truncated, total length: "
+REFERENCE_CUT_END = " characters)"
+REFERENCE_IMAGES = "  Images: "
+REFERENCE_IMAGES_END = " found\n"
+ANSWER_HEAD = "Answer:\n"
+ANSWER_SOURCES = "\n\nSources:\n"
 SOURCE_CHARS = 700
 REFERENCE_CHARS = 500
 
@@ -53,9 +66,9 @@ def format_sources(hits: DataFrame, max_chars: int = SOURCE_CHARS) -> DataFrame:
     line = cut(trim_ws(F.replace("text", F.lit("\n"), F.lit(" "))), max_chars)
     piece = F.concat(
         F.col("rank").cast("string"),
-        F.lit(". source="),
+        F.lit(SOURCE_NAME),
         F.col("source"),
-        F.lit(", distance="),
+        F.lit(SOURCE_DISTANCE),
         F.printf(F.lit("%.4f"), F.col("distance")),
         F.lit("\n"),
         line,
@@ -66,17 +79,17 @@ def format_sources(hits: DataFrame, max_chars: int = SOURCE_CHARS) -> DataFrame:
 def format_references(hits: DataFrame, max_chars: int = REFERENCE_CHARS) -> DataFrame:
     """``query_id``, ``refs``: source, distance, text with its full length if cut, and number of images."""
     text = F.col("text")
-    tail = F.concat(F.lit("... (truncated, total length: "), F.length(text).cast("string"), F.lit(" characters)"))
+    tail = F.concat(F.lit(REFERENCE_CUT), F.length(text).cast("string"), F.lit(REFERENCE_CUT_END))
     body = F.when(F.length(text) > max_chars, F.concat(F.left(text, F.lit(max_chars)), tail)).otherwise(text)
     images = F.when(
-        F.col("image_count") > 0, F.concat(F.lit("  Images: "), F.col("image_count").cast("string"), F.lit(" found\n"))
+        F.col("image_count") > 0, F.concat(F.lit(REFERENCE_IMAGES), F.col("image_count").cast("string"), F.lit(REFERENCE_IMAGES_END))
     ).otherwise("")
     piece = F.concat(
-        F.lit("- Source: "),
+        F.lit(REFERENCE_SOURCE),
         F.col("source"),
-        F.lit(" (distance="),
+        F.lit(REFERENCE_DISTANCE),
         F.printf(F.lit("%.3f"), F.col("distance")),
-        F.lit(")\n  Content:\n  "),
+        F.lit(REFERENCE_CONTENT),
         body,
         F.lit("\n"),
         images,
@@ -88,37 +101,54 @@ def answer_text(answer: Column, sources: Column) -> Column:
     """Answer with its sources, or alone if there are none."""
     sources = F.coalesce(sources, F.lit(""))
     return F.when(sources == "", answer).otherwise(
-        F.concat(F.lit("Answer:\n"), answer, F.lit("\n\nSources:\n"), sources)
+        F.concat(F.lit(ANSWER_HEAD), answer, F.lit(ANSWER_SOURCES), sources)
     )
 
 
-def status_answer(status: Column, answer: Column | None = None, asked: bool = True) -> Column:
-    """What is said to a query: the answer of a model if there is one, else why there is none."""
-    given = F.lit(None).cast("string") if answer is None else answer
-    said = F.coalesce(given, F.lit(FAILED_ANSWER if asked else NO_MODEL_ANSWER))
+def status_answer(
+    status: Column, answer: Column | None = None, asked: bool = True, error: Column | None = None, answer_error: Column | None = None
+) -> Column:
+    """What is said to a query: the answer of a model if there is one, else why there is none.
+
+    ``error`` is the text of the embedding's failure, ``answer_error`` that of the answer's; null where there was none.
+    """
+    none = F.lit(None).cast("string")
+    given = none if answer is None else answer
+    failed = F.concat(F.lit(ANSWER_ERROR), none if answer_error is None else answer_error)
+    said = F.coalesce(given, failed, F.lit(FAILED_ANSWER if asked else NO_MODEL_ANSWER))
+    detail = F.coalesce(F.concat(F.lit(EMBEDDING_ERROR), none if error is None else error), F.lit(""))
     for name, text in STATUS_ANSWERS.items():
-        said = F.when(status == name, text).otherwise(said)
+        why = F.concat(F.lit(text), detail) if name == "no_embedding" else F.lit(text)
+        said = F.when(status == name, why).otherwise(said)
     return said
 
 
 def answer_records(status: DataFrame, hits: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """One row per query: ``query_id``, ``status``, ``answer`` and its hits in rank order as ``retrieved``.
 
-    ``answers(query_id, answer)`` is what a model made of the prompts. Queries without hits have an empty list. Of several
-    answers to one query the last in order of text counts.
+    ``answers(query_id, answer)`` is what a model made of the prompts, with its ``error`` if it has that column. Queries
+    without hits have an empty list. Of several answers to one query the last in order of text counts. Where ``status``
+    has an ``error``, it ends the answer of a query without embedding and is a column here too.
     """
     fields = [F.col(c) for c in ("rank", "text", "source", "distance", "images") if c in hits.columns]
     found = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("retrieved"))
     rows = status.join(found, "query_id", "left")
+    answer = answer_error = None
     if answers is not None:
-        rows = rows.join(answers.groupBy("query_id").agg(F.max("answer").alias("answer")), "query_id", "left")
-    answer = F.col("answer") if answers is not None else None
+        kept = [F.max("answer").alias("answer")]
+        if "error" in answers.columns:
+            kept.append(F.max("error").alias("_answer_error"))
+            answer_error = F.col("_answer_error")
+        rows = rows.join(answers.groupBy("query_id").agg(*kept), "query_id", "left")
+        answer = F.col("answer")
+    error = F.col("error") if "error" in status.columns else None
     kind = found.schema["retrieved"].dataType
     return rows.select(
         "query_id",
         "status",
-        status_answer(F.col("status"), answer, answers is not None).alias("answer"),
+        status_answer(F.col("status"), answer, answers is not None, error, answer_error).alias("answer"),
         F.coalesce("retrieved", F.array().cast(kind)).alias("retrieved"),
+        *([] if error is None else [error]),
     )
 
 

@@ -7,16 +7,17 @@ shuffled is ``k`` rows per query and task, whatever the index holds.
 import json
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from ..functions.vectors import has_non_zero, squared_l2
-from ..sources.scratch import cut_lineage
+from ..sources.scratch import cut_lineage, scratch_path, settle
 from .ranking import top_n
 
 MAX_K = 20
@@ -121,8 +122,8 @@ def _arrow_side(ids, vectors, dim: int) -> tuple[pa.Array, np.ndarray]:
     return ids, flat.astype(np.float64).reshape(len(ids), dim)
 
 
-def _in_place(index: DataFrame, queries: pa.Table, dim: int, k: int, schema: str) -> DataFrame:
-    """One stretch of queries goes to every task; the index does not move."""
+def _in_place(index: DataFrame, queries: pa.Table, dim: int, k: int, schema: str) -> tuple[DataFrame, Broadcast]:
+    """One stretch of queries goes to every task; the index does not move. The stretch is returned too, to be let go."""
     ids, matrix = _arrow_side(queries.column("query_id"), queries.column("embedding"), dim)
     shipped = index.sparkSession.sparkContext.broadcast((_objects(ids), matrix))
     query_type = queries.schema.field("query_id").type
@@ -142,12 +143,13 @@ def _in_place(index: DataFrame, queries: pa.Table, dim: int, k: int, schema: str
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["query_id", "node_id", "distance"])
 
-    return index.mapInArrow(local_best, schema)
+    return index.mapInArrow(local_best, schema), shipped
 
 
 def index_dim(index: DataFrame) -> int:
-    """Length of the index's vectors: that of the first one there is, 0 for an empty index."""
-    first = index.where(F.col("embedding").isNotNull()).select(F.size("embedding").alias("dim")).first()
+    """Length of the index's vectors: the most frequent one, the larger of equals, 0 for an empty index."""
+    sizes = index.where(F.col("embedding").isNotNull()).groupBy(F.size("embedding").alias("dim")).count()
+    first = sizes.orderBy(F.desc("count"), F.desc("dim")).first()
     return first["dim"] if first else 0
 
 
@@ -156,21 +158,34 @@ def knn_join(index: DataFrame, queries: DataFrame, k: int = 5, query_bytes: int
 
     Queries are settled, so their vectors are made once, and go through in stretches whose vectors and running results
     take ``query_bytes`` together. For each stretch the index is scanned where it is; ``k`` rows per query and task are
-    shuffled. ``dim`` is the index's vector length, read from its first vector unless given; a query of another length
-    has no hits and leaves the others alone (``search_status`` tells it apart).
+    shuffled. Where there are several stretches one is in flight at a time: it is read, broadcast, its rows are written to
+    the shared folder, and it is let go before the next. ``dim`` is the index's vector length, the most frequent one
+    unless given; a query of another length has no hits and leaves the others alone (``search_status`` tells it apart),
+    and index rows of another length take no part.
     """
+    spark = index.sparkSession
     types = dict(index.dtypes) | {"query_id": dict(queries.dtypes)["query_id"]}
     schema = f"query_id {types['query_id']}, node_id {types['node_id']}, distance double"
     index = index.select("node_id", "embedding")
     dim = index_dim(index) if dim is None else dim
-    queries = cut_lineage(queries.select("query_id", "embedding"))
+    queries = settle(queries.select("query_id", "embedding"), "queries")
     id_bytes = F.sum(F.octet_length(F.col("query_id").cast("string")))
     size = queries.agg(F.count("*").alias("n"), F.coalesce(id_bytes, F.lit(0)).alias("ids")).first()
     total = size["n"] * (dim * 8 + 64 + k * _HIT_BYTES) + size["ids"]
     stretches = max(1, min(size["n"], math.ceil(total / query_bytes)))
-    part = F.pmod(F.xxhash64("query_id"), F.lit(stretches))
-    best = [_in_place(index, queries.where(part == i).toArrow(), dim, k, schema) for i in range(stretches)]
-    return top_n(reduce(DataFrame.unionByName, best), ["query_id"], nearest_first(), k)
+    if stretches == 1:
+        return top_n(_in_place(index, queries.toArrow(), dim, k, schema)[0], ["query_id"], nearest_first(), k)
+    by_part, found = scratch_path(spark, "stretches"), scratch_path(spark, "near")
+    part = F.pmod(F.xxhash64("query_id"), F.lit(stretches)).cast("int")
+    queries.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(by_part)
+    parts = spark.read.schema(StructType([*queries.schema]).add("part", IntegerType())).parquet(by_part)
+    for i in range(stretches):
+        asked = parts.where(F.col("part") == i).select("query_id", "embedding").toArrow()
+        if len(asked):
+            near, shipped = _in_place(index, asked, dim, k, schema)
+            near.write.mode("append").parquet(found)
+            shipped.destroy()
+    return top_n(spark.read.schema(schema).parquet(found), ["query_id"], nearest_first(), k)
 
 
 def with_payload(hits: DataFrame, index: DataFrame) -> DataFrame:
@@ -218,7 +233,7 @@ def project_hits(hits: DataFrame) -> DataFrame:
 
 
 def search_status(queries: DataFrame, hits: DataFrame, given: bool = False, dim: int | None = None) -> DataFrame:
-    """One row per query: ``status`` and the number of hits.
+    """One row per query: ``status`` and the number of hits, and the model's ``error`` where ``queries`` has that column.
 
     ``no_embedding`` if its text gave no vector (with ``given`` any vector is good), ``bad_dim`` if ``dim`` is told and
     its vector has another length, ``no_hits``, else ``ok``.
@@ -227,14 +242,16 @@ def search_status(queries: DataFrame, hits: DataFrame, given: bool = False, dim:
     usable = vec.isNotNull() if given else F.coalesce(has_non_zero(vec), F.lit(False))
     odd = F.lit(False) if dim is None else F.coalesce(F.size(vec) != dim, F.lit(False))
     found = hits.groupBy("query_id").agg(F.count("*").alias("n_hits"))
+    error = [F.col("error")] if "error" in queries.columns else []
     count = F.when(F.col("_usable"), F.coalesce("n_hits", F.lit(0))).otherwise(0)
     return (
-        queries.select("query_id", usable.alias("_usable"), odd.alias("_odd"))
+        queries.select("query_id", usable.alias("_usable"), odd.alias("_odd"), *error)
         .join(found, "query_id", "left")
         .select(
             "query_id",
             F.when(~F.col("_usable"), "no_embedding").when(F.col("_odd"), "bad_dim").when(count == 0, "no_hits").otherwise("ok").alias("status"),
             count.cast("bigint").alias("n_hits"),
+            *error,
         )
     )
 

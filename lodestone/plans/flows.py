@@ -10,7 +10,9 @@ from ..operators.elements import build_elements, embed_elements
 from ..operators.ingest import embed_text, index_rows, ingest, ingest_guard, ingest_report
 from ..operators.prompts import build_context, build_prompts, format_sources
 from ..operators.search import index_dim, knn_join, lookup_payload, search_status
+from ..functions.text import is_blank
 from ..functions.vectors import has_non_zero
+from ..operators.model import MAX_FAILED
 from ..sources import io
 from ..sources.scratch import cut_lineage
 
@@ -33,9 +35,14 @@ def elements_to_index(elements: DataFrame, dim: int, fn: Model = None) -> DataFr
     return index_rows(ingest(elements, dim, fn))
 
 
-def ingest_to_index(elements: DataFrame, path: str, dim: int, fn: Model = None) -> DataFrame:
-    """Embed once, save the index, and report. Fails before anything is saved if rows came in and none got a vector."""
+def ingest_to_index(elements: DataFrame, path: str, dim: int, fn: Model = None, max_failed: float = MAX_FAILED) -> DataFrame:
+    """Embed once, save the index, and report. Fails before anything is saved if rows came in and none got a vector, or if the model
+    failed for more than ``max_failed`` of the texts that it was given."""
     done = cut_lineage(ingest(elements, dim, fn))
+    asked = F.col("fresh") & ~is_blank(F.col("text"))
+    seen = done.agg(F.count_if(asked).alias("asked"), F.count("error").alias("failed"), F.max("error").alias("error")).first()
+    if seen["failed"] > max_failed * seen["asked"]:
+        raise RuntimeError(f"the model failed for {seen['failed']} of {seen['asked']} texts: {seen['error']}")
     report = cut_lineage(ingest_guard(ingest_report(done)))
     io.save_index(index_rows(done), path)
     return report
@@ -50,15 +57,21 @@ class Retrieval:
     sources: DataFrame
 
 
-def retrieve(index: DataFrame, queries: DataFrame, dim: int, k: int = 5, fn: Model = None) -> Retrieval:
+def retrieve(index: DataFrame | str, queries: DataFrame, dim: int, k: int = 5, fn: Model = None) -> Retrieval:
     """Answer ``queries(query_id, query)`` from the index: ranked hits, a status each, prompts and source lists.
 
-    The index is best a saved one: it is scanned for its vectors, then read for the payload of the hits. Queries are
-    embedded once and settled. ``k`` is taken as it is; ``clamp_k`` is there for callers who want a limit.
+    ``index`` is best the path of a saved one: it is scanned for its vectors, then only the buckets that hold a hit are read for its
+    payload. Queries are embedded once and settled; where the model failed for one, its status has the error. ``k`` is taken as it is;
+    ``clamp_k`` is there for callers who want a limit.
     """
-    embedded = cut_lineage(embed_text(queries, "query", dim, fn))
-    length = index_dim(index)
+    spark = queries.sparkSession
+    embedded = cut_lineage(embed_text(queries, "query", dim, fn, error_col="error"))
+    saved = isinstance(index, str)
+    rows = io.load_index(spark, index) if saved else index
+    there = io.layout(spark, index) if saved else None
+    length = there.dim if there else index_dim(rows)
     usable = embedded.where(has_non_zero(F.col("embedding")))
-    hits = lookup_payload(knn_join(index, usable.select("query_id", "embedding"), k, dim=length), index)
+    near = knn_join(rows, usable.select("query_id", "embedding"), k, dim=length)
+    hits = cut_lineage(io.lookup(near, index) if saved else lookup_payload(near, rows))
     contexts = build_context(hits).join(queries, "query_id")
     return Retrieval(embedded, hits, search_status(embedded, hits, dim=length or None), build_prompts(contexts), format_sources(hits))

@@ -1,13 +1,26 @@
-"""The registered queries in SQL, for a second engine to run on the same tables."""
+"""The registered queries in SQL, for a second engine to run on the same tables.
 
-from ..functions.text import WS_CHARS
-from ..operators import prompts as R
-from ..operators.elements import LABEL_PROMPT
-from ..operators.tables import QUESTION
+Nothing here comes from the engine: texts are written out once more, so that a slip in one of them shows.
+"""
 
-# The same characters as ``WS_CHARS``, as a regex class.
+# White space: as a regex class, and as the characters one by one.
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+# Texts around hits, questions and failures.
+PROMPT_HEAD = """根據以下提供的資訊回答問題，如果提供的資訊不足以回答，請清楚表明。不要擅自添加未在資料中提及的資訊。
+            
+提供的資訊:
+"""
+PROMPT_QUESTION = "\n\n問題: "
+PROMPT_TAIL = "\n\n回答:"
+HISTORY_HEAD = "歷史對話："
+HISTORY_TAIL = "以上回歷史路。 本次對話："
+NO_EMBEDDING = "無法為查詢生成 embedding，請確認 embedding service / model 可用。"
+EMBEDDING_ERROR = " 最後的 embedding 錯誤: "
+NO_HITS = "索引中沒有可用的檢索結果。"
+NO_ANSWER = "無法連線到 LLM 服務，但已成功檢索相關內容。請查看檢索結果或稍後再試。"
+ANSWER_ERROR = "生成回答時發生錯誤: "
+
 DIM = 64
 SITE = "http://parts.example.com"
 
@@ -16,7 +29,9 @@ def _lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_WS_SET = _lit(WS_CHARS)
+_WS_SET = _lit(
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _SEP = "chr(1)"
 
 
@@ -150,7 +165,7 @@ _SENTENCE = (
 
 
 def _questions(alias: str = "cells") -> str:
-    head, rest = QUESTION.split("{key}")
+    head, rest = "型號為{key}的{column}是什麼？答案：{value}".split("{key}")
     mid, rest = rest.split("{column}")
     end, tail = rest.split("{value}")
     columns = [("Model", "model"), ("Name", "name"), ("Size", "size"), ("Price", "price")]
@@ -238,8 +253,8 @@ means AS (SELECT label AS id, b, CAST(round(avg(CAST(v AS DOUBLE)), 6) AS FLOAT)
 _KNN_LABELS = f"""WITH {_LABELS}, {_nearest("vec", "means", 10, "near")}
 SELECT query_id, node_id, round(distance, 6) AS distance, rank FROM near"""
 
-_PIECE = f"{_lit(R.PIECE_HEAD)} || source || chr(10) || chr(10) || text"
-_CONTEXT = f"SELECT query_id, string_agg({_PIECE}, {_lit(R.PIECE_GAP)} ORDER BY rank) AS context FROM hits GROUP BY query_id"
+_PIECE = f"'來源: ' || source || chr(10) || chr(10) || text"
+_CONTEXT = f"SELECT query_id, string_agg({_PIECE}, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS context FROM hits GROUP BY query_id"
 _LINE = _trim("replace(text, chr(10), ' ')")
 _SOURCE = (
     "rank || '. source=' || source || ', distance=' || printf('%.4f', distance) || chr(10) || "
@@ -247,10 +262,10 @@ _SOURCE = (
 )
 
 
-def _sources(where: str = "true") -> str:
+def _sources() -> str:
     return (
         f"SELECT query_id, string_agg({_SOURCE}, chr(10) || chr(10) ORDER BY rank) AS sources "
-        f"FROM hits WHERE {where} GROUP BY query_id"
+        "FROM hits GROUP BY query_id"
     )
 
 
@@ -304,7 +319,31 @@ def _described() -> str:
     return f"WITH {_ENTRIES} " + " UNION ALL ".join(parts)
 
 
-_B, _M = LABEL_PROMPT.split("{page_context}")
+LABEL = (
+    '\n'
+    'You are a highly knowledgeable image classification assistant specializing in industrial mechanical components.\n'
+    'Your job is to analyze a single image (provided as a Base64‐encoded string) in the context of its web page,\n'
+    'and return exactly one concise English label that best describes what the image depicts.\n'
+    '\n'
+    'Requirements:\n'
+    '- Respond with only the label, no additional commentary or punctuation.\n'
+    '- Use Title-Case (e.g. "Horizontal Motor Gear Reducer").\n'
+    '- Do not include words like "Photo of" or "Image of"; just the component name.\n'
+    '- If the image shows a type of gear reducer, mention its orientation or mounting style\n'
+    '  (e.g. Horizontal, Vertical, Direct-Drive, Dual-Shaft).\n'
+    '- If uncertain between two, choose the more specific label.\n'
+    '\n'
+    'Now, based on the following context and image, provide only the best single label.\n'
+    '\n'
+    'PAGE CONTEXT:\n'
+    '{page_context}\n'
+    '\n'
+    'IMAGE DATA (base64, truncated):\n'
+    '{image_b64_truncated}\n'
+    '\n'
+    'Label:'
+)
+_B, _M = LABEL.split("{page_context}")
 _M, _A = _M.split("{image_b64_truncated}")
 
 
@@ -402,36 +441,42 @@ SELECT CAST(count_if(reason IS NULL) AS BIGINT) AS processed, CAST(count_if(reas
         "lookup_payload": f"WITH {_hits()} SELECT query_id, rank, source, text, round(distance, 6) AS distance FROM hits",
         "clamp_k": "SELECT doc_id, greatest(1, least(n_chars % 40 - 5, 20)) AS k FROM documents",
         "search_status": f"""WITH {_hits(3)},
-n AS (SELECT query_id, count(*) AS n FROM hits WHERE round(distance, 6) < 0.5 GROUP BY query_id)
-SELECT item_id AS query_id, CASE WHEN contains(text, chr(10)) THEN 'no_embedding' WHEN n IS NULL THEN 'no_hits' ELSE 'ok' END AS status,
-  CASE WHEN contains(text, chr(10)) THEN 0 ELSE coalesce(n, 0) END AS n_hits
-FROM benchmark LEFT JOIN n ON n.query_id = item_id""",
+n AS (SELECT query_id, count(*) AS n FROM hits GROUP BY query_id)
+SELECT way || kind || '-' || item_id AS query_id,
+  CASE WHEN kind IN ('blank', 'failed') THEN 'no_embedding' WHEN kind = 'long-plain' THEN 'bad_dim' WHEN way <> '' OR n IS NULL THEN 'no_hits' ELSE 'ok' END AS status,
+  CAST(CASE WHEN kind = 'plain' AND way = '' THEN coalesce(n, 0) ELSE 0 END AS BIGINT) AS n_hits,
+  CASE WHEN kind = 'failed' THEN 'ValueError: no vector for this text' END AS error
+FROM benchmark LEFT JOIN n ON n.query_id = item_id, (VALUES ('plain'), ('blank'), ('failed'), ('long-plain')) k(kind), (VALUES (''), ('none-')) w(way)""",
         "answer_records": f"""WITH {_hits(3)},
-n AS (SELECT query_id, string_agg(source, '|' ORDER BY rank) AS sources FROM hits WHERE round(distance, 6) < 0.5 GROUP BY query_id)
-SELECT item_id AS query_id, CASE WHEN contains(text, chr(10)) THEN 'no_embedding' WHEN sources IS NULL THEN 'no_hits' ELSE 'ok' END AS status,
-  CASE WHEN contains(text, chr(10)) THEN {_lit(R.STATUS_ANSWERS["no_embedding"])}
-    WHEN sources IS NULL THEN {_lit(R.STATUS_ANSWERS["no_hits"])} ELSE 'A: ' || text END AS answer,
-  CASE WHEN contains(text, chr(10)) THEN '' ELSE coalesce(sources, '') END AS sources
-FROM benchmark LEFT JOIN n ON n.query_id = item_id""",
+n AS (SELECT query_id, string_agg(source, '|' ORDER BY rank) AS sources FROM hits GROUP BY query_id),
+rows AS (SELECT *, kind || '-' || item_id AS name FROM benchmark LEFT JOIN n ON n.query_id = item_id, (VALUES ('plain'), ('blank'), ('failed'), ('long-plain')) k(kind))
+SELECT name AS query_id,
+  CASE WHEN kind IN ('blank', 'failed') THEN 'no_embedding' WHEN kind = 'long-plain' THEN 'bad_dim' WHEN sources IS NULL THEN 'no_hits' ELSE 'ok' END AS status,
+  CASE kind WHEN 'blank' THEN {_lit(NO_EMBEDDING)} WHEN 'failed' THEN {_lit(NO_EMBEDDING + EMBEDDING_ERROR)} || 'ValueError: no vector for this text'
+    WHEN 'long-plain' THEN {_lit(NO_ANSWER)} ELSE CASE WHEN sources IS NULL THEN {_lit(NO_HITS)} WHEN length(text) % 2 = 1 THEN 'A: ' || text ELSE {_lit(ANSWER_ERROR + "E: ")} || name END END AS answer,
+  CASE WHEN kind = 'failed' THEN 'ValueError: no vector for this text' END AS error,
+  CASE WHEN kind = 'plain' THEN coalesce(sources, '') ELSE '' END AS sources
+FROM rows""",
         "project_hits": f"WITH {_hits()} SELECT query_id, rank, source, image_count FROM hits",
         "build_context": f"WITH {_hits()} {_CONTEXT}",
         "build_prompts": f"""WITH {_hits()}, c AS ({_CONTEXT})
-SELECT query_id, {_lit(R.PROMPT_HEAD)} || context || {_lit(R.PROMPT_QUESTION)} || text || {_lit(R.PROMPT_TAIL)} AS prompt
+SELECT query_id, {_lit(PROMPT_HEAD)} || context || {_lit(PROMPT_QUESTION)} || text || {_lit(PROMPT_TAIL)} AS prompt
 FROM c JOIN benchmark ON item_id = query_id""",
         "format_sources": f"WITH {_hits()} {_sources()}",
         "format_references": f"WITH {_hits()} SELECT query_id, string_agg({_REFERENCE}, chr(10) ORDER BY rank) AS refs FROM hits GROUP BY query_id",
-        "answer_text": f"""WITH {_hits()}, s AS ({_sources("contains(text, 'tion')")})
-SELECT item_id AS query_id, CASE WHEN sources IS NULL THEN text ELSE 'Answer:' || chr(10) || text || chr(10) || chr(10) || 'Sources:' || chr(10) || sources END AS answer
-FROM benchmark LEFT JOIN s ON query_id = item_id""",
+        "answer_text": f"""WITH {_hits()}, s AS ({_sources()}), one AS (SELECT item_id AS query_id, text FROM benchmark UNION ALL SELECT -1 - item_id, text FROM benchmark)
+SELECT query_id, CASE WHEN sources IS NULL THEN text ELSE 'Answer:' || chr(10) || text || chr(10) || chr(10) || 'Sources:' || chr(10) || sources END AS answer
+FROM one LEFT JOIN s USING (query_id)""",
         "index_status": f"""WITH {_CHUNKS}
 SELECT count(*) AS vectors, count(*) AS texts, {DIM} AS dimension, true AS consistent, count(*) > 0 AS ready FROM chunks""",
         "saved_index_status": f"""WITH {_CHUNKS}
 SELECT count(*) AS vectors, count(*) AS texts, {DIM} AS dimension, true AS consistent, count(*) > 0 AS ready, true AS "exists" FROM chunks""",
         "history_prompts": f"""
 WITH h AS (SELECT *, coalesce(string_agg(text, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), '') AS history FROM conversations)
-SELECT conv_id, turn, history, {_lit(R.HISTORY_HEAD)} || history || {_lit(R.HISTORY_TAIL)} || text AS prompt FROM h""",
+SELECT conv_id, turn, history, {_lit(HISTORY_HEAD)} || history || {_lit(HISTORY_TAIL)} || text AS prompt FROM h""",
         "map_model": """
-SELECT doc_id, CASE WHEN contains(text, chr(10)) THEN len(list_filter(string_split(text, ' '), lambda x: x <> '')) ELSE -1 END AS n_words FROM documents""",
+SELECT doc_id, CASE WHEN contains(text, chr(10)) THEN len(list_filter(string_split(text, ' '), lambda x: x <> '')) ELSE -1 END AS n_words,
+  CASE WHEN contains(text, chr(10)) THEN '' ELSE 'ValueError: one line' END AS error FROM documents""",
         "save_load_index": _INDEX,
         "append_index": _INDEX,
         "merge_indexes": _INDEX,

@@ -20,7 +20,7 @@ from ..operators import pages as P
 from ..operators import prompts as R
 from ..operators import search as S
 from ..operators import tables as T
-from ..operators.model import map_model
+from ..operators.model import run_model
 from ..schema import ELEMENT, INDEX
 from ..sources import images as I
 from ..sources import io
@@ -187,9 +187,17 @@ def benchmark_queries(spark: SparkSession, sf: str) -> DataFrame:
     return N.embed_text(rows, "query", DIM)
 
 
-def hits(spark: SparkSession, sf: str) -> DataFrame:
-    index = chunk_index(spark, sf)
-    return S.with_payload(S.knn_join(index, benchmark_queries(spark, sf), K), index)
+def saved_chunks(spark: SparkSession, sf: str) -> str:
+    """The chunk index, saved: its vectors are made once, for the search and for the rows of the hits."""
+    path = scratch_path(spark, "index")
+    io.save_index(chunk_index(spark, sf), path)
+    return path
+
+
+def hits(spark: SparkSession, sf: str, k: int = K) -> DataFrame:
+    path = saved_chunks(spark, sf)
+    near = S.knn_join(io.load_index(spark, path), benchmark_queries(spark, sf), k, dim=io.layout(spark, path).dim)
+    return io.lookup(near, path)
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -438,18 +446,14 @@ def page_report(spark, sf):
 
 
 def lookup_payload(spark, sf):
-    """Search over a saved index, and its rows read by id."""
-    path = scratch_path(spark, "index")
-    io.save_index(chunk_index(spark, sf), path)
-    index = io.load_index(spark, path)
+    """Search over a saved index, and its rows read by a map of the hits' ids."""
+    index = io.load_index(spark, saved_chunks(spark, sf))
     found = S.lookup_payload(S.knn_join(index, benchmark_queries(spark, sf), K), index)
     return found.select("query_id", "rank", "source", "text", F.round("distance", 6).alias("distance"))
 
 
 def saved_index_status(spark, sf):
-    path = scratch_path(spark, "index")
-    io.save_index(chunk_index(spark, sf), path)
-    return io.saved_index_status(spark, path)
+    return io.saved_index_status(spark, saved_chunks(spark, sf))
 
 
 def pick_text_and_source(spark, sf):
@@ -519,27 +523,46 @@ def clamp_k(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.clamp_k(F.col("n_chars") % 40 - 5).alias("k"))
 
 
-def _some_hits(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Queries of several lines are taken as blank, and far hits as none."""
-    queries = table(spark, sf, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.when(F.col("text").contains("\n"), " ").otherwise(F.col("text")).alias("query")
+def _asked(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """All benchmark texts and, for each of them, a blank query, a query whose vector is too long, and one that the model fails for; and all
+    hits of those that have any."""
+    texts = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("id"), "text")
+
+    def model(given):
+        if any(t.startswith("fail ") for t in given):
+            raise ValueError("no vector for this text")
+        return [[float(len(t) % 7), 1.0] + [0.0] * (DIM - 2) for t in given]
+
+    kinds = {"plain": F.col("text"), "blank": F.lit(" "), "failed": F.concat(F.lit("fail "), F.col("text"))}
+    asked = [texts.select(F.concat_ws("-", F.lit(kind), "id").alias("query_id"), text.alias("query")) for kind, text in kinds.items()]
+    plain, blank, failed = asked
+    queries = N.embed_text(plain.unionByName(blank), "query", DIM).withColumn("error", F.lit(None).cast("string"))
+    queries = queries.unionByName(N.embed_text(failed, "query", DIM, model, error_col="error"))
+    long = queries.where(F.col("query_id").startswith("plain")).select(
+        F.concat(F.lit("long-"), "query_id").alias("query_id"), "query", F.concat("embedding", "embedding").alias("embedding"), "error"
     )
-    queries = N.embed_text(queries, "query", DIM)
-    index = chunk_index(spark, sf)
-    found = S.knn_join(index, queries.where(has_non_zero(F.col("embedding"))), 3)
-    return queries, S.with_payload(found.where(F.round("distance", 6) < 0.5), index)
+    queries = queries.unionByName(long)
+    path = saved_chunks(spark, sf)
+    found = S.knn_join(io.load_index(spark, path), queries.where(has_non_zero(F.col("embedding"))), 3, dim=DIM)
+    return queries, io.lookup(found, path)
 
 
 def search_status(spark, sf):
-    return S.search_status(*_some_hits(spark, sf))
+    """The same queries over the whole index and, as ``none-``, over an empty one."""
+    queries, found = _asked(spark, sf)
+    none = queries.withColumn("query_id", F.concat(F.lit("none-"), "query_id"))
+    return S.search_status(queries, found, dim=DIM).unionByName(S.search_status(none, found.limit(0), dim=DIM))
 
 
 def answer_records(spark, sf):
-    queries, found = _some_hits(spark, sf)
-    status = S.search_status(queries, found)
-    answers = queries.where(F.col("query") != " ").select("query_id", F.concat(F.lit("A: "), F.col("query")).alias("answer"))
+    queries, found = _asked(spark, sf)
+    status = S.search_status(queries, found, dim=DIM)
+    odd = F.length("query") % 2 == 1
+    answers = queries.where(F.col("query_id").startswith("plain")).select(
+        "query_id", F.when(odd, F.concat(F.lit("A: "), "query")).alias("answer"), F.when(~odd, F.concat(F.lit("E: "), "query_id")).alias("error")
+    )
     sources = F.array_join(F.transform("retrieved", lambda r: r["source"]), "|")
-    return R.answer_records(status, found, answers).select("query_id", "status", "answer", sources.alias("sources"))
+    return R.answer_records(status, found, answers).select("query_id", "status", "answer", "error", sources.alias("sources"))
 
 
 def project_hits(spark, sf):
@@ -564,9 +587,11 @@ def format_references(spark, sf):
 
 
 def answer_text(spark, sf):
-    queries = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("answer"))
-    sources = R.format_sources(hits(spark, sf).where(F.col("text").contains("tion")))
-    rows = queries.join(sources, "query_id", "left")
+    """All hits; and for each query one more, which finds nothing."""
+    items = table(spark, sf, "benchmark")
+    one = items.select(F.col("item_id").alias("query_id"), F.col("text").alias("answer"))
+    none = items.select((-1 - F.col("item_id")).alias("query_id"), F.col("text").alias("answer"))
+    rows = one.unionByName(none).join(R.format_sources(hits(spark, sf)), "query_id", "left")
     return rows.select("query_id", R.answer_text(F.col("answer"), F.col("sources")).alias("answer"))
 
 
@@ -587,8 +612,8 @@ def map_model_lengths(spark, sf):
         return [len([w for w in t.split(" ") if w]) for t in texts]
 
     rows = table(spark, sf, "documents").select("doc_id", "text")
-    counted = map_model(word_count, F.col("text"), "bigint")
-    return rows.select("doc_id", F.coalesce(counted, F.lit(-1)).alias("n_words"))
+    counted = run_model(rows, word_count, F.col("text"), "bigint", max_failed=1.0)
+    return counted.select("doc_id", F.coalesce("result.value", F.lit(-1)).alias("n_words"), F.coalesce("result.error", F.lit("")).alias("error"))
 
 
 def _doc_index(spark, sf, keep: Column) -> DataFrame:

@@ -1,16 +1,27 @@
-"""Files in and out: pages, elements, and the vector index as Parquet."""
+"""Files in and out: pages and elements; the vector index has its own module, whose functions are here too."""
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.ingest import image_list
-from ..operators.search import index_status
 from ..operators.tables import recover_json_rows
-from ..schema import ELEMENT, ELEMENT_RAW, INDEX
+from ..schema import ELEMENT, ELEMENT_RAW
+from .index import append_index, layout, load_index, lookup, merge_indexes, save_index, saved_index_status
+
+__all__ = [
+    "append_index",
+    "file_sizes",
+    "layout",
+    "load_index",
+    "lookup",
+    "merge_indexes",
+    "read_elements",
+    "read_pages",
+    "save_index",
+    "saved_index_status",
+    "write_elements",
+]
 
 PAGE = "url string, html string"
 
@@ -59,54 +70,3 @@ def write_elements(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Path and size of the files at a path; their content is not read."""
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
-
-
-def save_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the index. Files are sorted by id where they are, without a shuffle, so that looking up a few ids later
-    skips all but a few pages of each file."""
-    rows = index.select(*[F.col(f.name).cast(f.dataType) for f in INDEX.fields])
-    rows.sortWithinPartitions("node_id").write.mode(mode).parquet(path)
-
-
-def _saved_index(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(INDEX).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def load_index(spark: SparkSession, path: str) -> DataFrame:
-    """A saved index; an empty one if there is none."""
-    saved = _saved_index(spark, path)
-    return spark.createDataFrame([], INDEX) if saved is None else saved
-
-
-def saved_index_status(spark: SparkSession, path: str) -> DataFrame:
-    """Status of the index at a path, and whether there is one at all."""
-    exists = _saved_index(spark, path) is not None
-    return index_status(load_index(spark, path)).withColumn("exists", F.lit(exists))
-
-
-def new_rows(index: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows whose ``node_id`` the index does not have yet, each once. Only the ids of the index are read.
-
-    Copies go first: they collapse before the shuffle, and the join that follows uses the same partitioning.
-    """
-    return rows.dropDuplicates(["node_id"]).join(index.select("node_id"), "node_id", "left_anti")
-
-
-def append_index(rows: DataFrame, path: str) -> None:
-    """Add the rows that are new. A second run of the same rows adds nothing, so a failed one can be repeated."""
-    save_index(new_rows(load_index(rows.sparkSession, path), rows), path, mode="append")
-
-
-def merge_indexes(*indexes: DataFrame) -> DataFrame:
-    """All rows of several indexes, each ``node_id`` once; the first index that has it wins."""
-    marked = [df.withColumn("_from", F.lit(i)) for i, df in enumerate(indexes)]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
-    names = [c for c in rows.columns if c not in ("node_id", "_from")]
-    # min_by combines before the shuffle, so many copies of one id do not meet in one task.
-    best = rows.groupBy("node_id").agg(F.min_by(F.struct(*names), "_from").alias("_row"))
-    return best.select("node_id", *[F.col(f"_row.{n}").alias(n) for n in names])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.vectors import bucket_counts, token_buckets
 from lodestone.operators import ingest as N
-from lodestone.operators.model import map_model
+from lodestone.operators.model import map_model, run_model, try_model
 from lodestone.schema import ELEMENT
 from lodestone.plans.flows import ingest_to_index
 from lodestone.sources import io
@@ -116,6 +116,35 @@ def test_map_model_isolates_failures(spark):
     assert got == {i: None if i == 4 or i % 5 == 0 else 10 // (i % 5) for i in range(12)}
 
 
+def test_bad_rows_in_a_row_are_no_outage(spark):
+    def fn(values):
+        return [10 // v for v in values]
+
+    df = spark.createDataFrame([(i, 0 if 10 <= i < 40 else 2) for i in range(100)], "id int, v int").coalesce(1)
+    got = {r.id: (r.m.value, r.m.error) for r in df.select("id", try_model(fn, F.col("v"), "bigint", batch=7).alias("m")).collect()}
+    bad = (None, "ZeroDivisionError: integer division or modulo by zero")
+    assert {i for i, x in got.items() if x == bad} == set(range(10, 40)) and got[5] == (5, None)
+    whole = run_model(df, fn, F.col("v"), "bigint")
+    assert whole.columns == ["id", "v", "result"] and whole.where("result.value = 5").count() == 70
+    with pytest.raises(RuntimeError, match="failed for 30 of 100 values: ZeroDivisionError"):
+        run_model(df, fn, F.col("v"), "bigint", max_failed=0.2)
+    assert run_model(df.limit(0), fn, F.col("v"), "bigint").count() == 0
+    nulls = df.withColumn("v", F.lit(None).cast("int"))
+    assert run_model(nulls, fn, F.col("v"), "bigint", max_failed=0.0).where("result.error is null").count() == 100
+
+
+def test_errors_of_the_model_reach_the_rows(spark):
+    def fn(texts):
+        if "b" in texts:
+            raise ValueError("no b")
+        return [[1.0] if t == "c" else [1.0, 0.0] for t in texts]
+
+    done = N.ingest(elements(spark, *({"text": t} for t in ("a", "b", "c", " "))), 2, fn)
+    got = {r.text: (r.reason, r.error) for r in done.collect()}
+    assert got == {"a": (None, None), "b": ("zero", "ValueError: no b"), "c": ("zero", "vector of length 1 instead of 2"), " ": ("blank", None)}
+    assert {(r.error, r.n) for r in N.model_errors(done).collect()} == {("ValueError: no b", 1), ("vector of length 1 instead of 2", 1)}
+
+
 def test_ingest_to_index_embeds_once_and_stops_a_dead_model(spark, tmp_path):
     log = tmp_path / "calls"
 
@@ -131,8 +160,15 @@ def test_ingest_to_index_embeds_once_and_stops_a_dead_model(spark, tmp_path):
     report = ingest_to_index(some, str(tmp_path / "index"), 2, model).first()
     assert (report.processed, report.skipped) == (2, 1) and log.read_text() == "xx"
     assert io.load_index(spark, str(tmp_path / "index")).count() == 2
-    with pytest.raises(Exception, match="no entry got a vector"):
+    with pytest.raises(RuntimeError, match="failed for 2 of 2 texts: ConnectionError: no route"):
         ingest_to_index(some, str(tmp_path / "none"), 2, dead)
-    with pytest.raises(Exception, match="no route"):
-        ingest_to_index(elements(spark, *({"text": f"t{i}"} for i in range(200))), str(tmp_path / "none"), 2, dead)
+
+    def half_dead(texts):
+        if texts[0] > "t4":
+            raise ConnectionError("no route")
+        return model(texts)
+
+    many = elements(spark, *({"text": f"t{i}"} for i in range(10)))
+    with pytest.raises(RuntimeError, match="failed for 5 of 10"):
+        ingest_to_index(many, str(tmp_path / "none"), 2, half_dead, max_failed=0.4)
     assert io.load_index(spark, str(tmp_path / "none")).count() == 0
