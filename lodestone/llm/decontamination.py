@@ -252,4 +252,5 @@ def decontaminated(docs: DataFrame, bench: DataFrame, score: float = SCORE) -> D
     """``docs`` without the rows whose text holds a copy of a test item; all columns and other rows stay as they are."""
     key = F.xxhash64("doc_id", "text")
     bad = settle(_contaminated(docs.select("doc_id", key.alias("key"), "text"), bench, score).select("key").distinct(), "contaminated")
-    return docs.withColumn("_key", key).join(bad.withColumnRenamed("key", "_key"), "_key", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))  # in a struct, so that no name of theirs clashes
+    return rows.join(bad, "key", "left_anti").select("row.*")

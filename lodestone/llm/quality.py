@@ -280,5 +280,5 @@ def scored(docs: DataFrame, model: Quality | None, text: str = "text") -> DataFr
             yield pa.StructArray.from_arrays([pa.array(np.concatenate(weak)), pa.array(np.concatenate(score))], ["weak_label", "score"])
 
     kept = [c for c in docs.columns if c not in ("weak_label", "score", "good")]
-    out = docs.select(*kept, work(F.col(text)).alias("_quality"))
-    return out.select(*kept, "_quality.weak_label", "_quality.score", (F.col("_quality.score") >= 0.5).alias("good"))
+    out = docs.select(F.struct(*kept).alias("row"), work(F.col(text)).alias("made"))  # in structs, so that no name clashes
+    return out.select("row.*", "made.weak_label", "made.score", (F.col("made.score") >= 0.5).alias("good"))

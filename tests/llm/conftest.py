@@ -18,10 +18,10 @@ ODD = [
 @pytest.fixture
 def odd(spark):
     """Rows with nulls, empty and very long texts, ties, repeats, and extra columns whose names operators use too."""
-    rows = [(*r, "s", 7, "x", True, 3.5, "k", "n") for r in ODD]
+    rows = [(*r, "s", 7, "x", True, 3.5, "k", "n", 7, "q", 1) for r in ODD]
     return spark.createDataFrame(
         rows,
-        "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, slot int, found string, good boolean, score double, key string, name string",
+        "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, slot int, found string, good boolean, score double, key string, name string, _key int, _quality string, number int",
     )
 
 

@@ -59,6 +59,10 @@ def test_values_on_odd_rows(spark, odd):
     hits = {(r.doc_id, r.item_id) for r in decontamination.contaminated(odd, bench(spark)).collect()}
     assert hits == {(1, 1), (2, 1)}
     assert decontamination.decontaminated(odd, bench(spark)).count() == 8
+    clean = decontamination.decontaminated(odd, bench(spark))
+    assert clean.columns == odd.columns and {r._key for r in clean.collect()} == {7}
+    assert decontamination.contaminated(odd, bench(spark).limit(0)).count() == 0
+    assert {(r._key, r._quality) for r in quality.scored(odd, quality.train(odd)).collect()} == {(7, "q")}
     masked = {r.doc_id: r.text for r in secret_scan.redacted(odd).collect()}
     assert masked[9] == '[SECRET]" and more words follow it.' and masked[4] is None
     assert near_dup.deduplicated(odd).count() == 9
