@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import running_sum
+from ..functions.text import let
 from .base import settle, text_of
 
 # Fixed values of the base patterns.
@@ -44,16 +46,38 @@ _BINS = 1200  # of minus log10 p, 20 to the unit
 def _spans(text: Column, pattern: str) -> Column:
     """All leftmost, non-overlapping matches as ``array<struct<start, end, hit>>``: what lies between them gives the places."""
     parts, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("found"))
+    pairs = F.zip_with(F.slice(parts, 1, F.size(hits)), hits, lambda p, h: F.struct(F.length(p).alias("gap"), h.alias("hit")))
+    return F.when(F.size(hits) > 0, _placed(pairs)).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string>>"))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["p"])
-        end = begin + F.length(pair["h"])
-        one = F.struct(begin.alias("start"), end.alias("end"), pair["h"].alias("hit"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
 
-    pairs = F.zip_with(F.slice(parts, 1, F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
-    return F.when(F.size(hits) > 0, F.aggregate(pairs, start, step)["found"]).otherwise(start["found"])
+def _placed(pairs: Column) -> Column:
+    """Matches (``gap`` before them, ``hit``) at their places. Running sums keep the work near the number of matches."""
+    size = lambda p: p["gap"] + F.length(p["hit"])
+    one = lambda end, p: F.struct((end - F.length(p["hit"])).alias("start"), end.alias("end"), p["hit"].alias("hit"))
+    return let(pairs, lambda ps: F.zip_with(running_sum(F.transform(ps, size)), ps, one))
+
+
+def _marks_before(places: Column, marks: Column, inclusive: bool) -> Column:
+    """For each of the ascending ``places`` how many of ``marks`` lie before it, or on it if ``inclusive``."""
+    asked = int(inclusive)
+    event = lambda at, kind, step: F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(step).alias("step"))
+    events = F.array_sort(F.concat(F.transform(places, lambda x: event(x, asked, 0)), F.transform(marks, lambda x: event(x, 1 - asked, 1))))
+
+    def answers(es: Column) -> Column:
+        both = F.zip_with(es, running_sum(F.transform(es, lambda e: e["step"])), lambda e, n: F.struct(e["kind"].alias("kind"), n.alias("n")))
+        return F.transform(F.filter(both, lambda x: x["kind"] == asked), lambda x: x["n"])
+
+    return let(events, answers)
+
+
+def _apart(runs: Column, spans: Column) -> Column:
+    """The runs that overlap none of the spans (both in order, neither overlapping its own kind): as many spans end before
+    a run as begin before its end."""
+    ended = _marks_before(F.transform(runs, lambda r: r["start"]), F.transform(spans, lambda s: s["end"]), True)
+    begun = _marks_before(F.transform(runs, lambda r: r["end"]), F.transform(spans, lambda s: s["start"]), False)
+    marked = F.zip_with(runs, F.zip_with(ended, begun, lambda e, b: e == b), lambda r, free: F.struct(r.alias("run"), free.alias("free")))
+    alone = F.transform(F.filter(marked, lambda m: m["free"]), lambda m: m["run"])
+    return F.when((F.size(runs) > 0) & (F.size(spans) > 0), alone).otherwise(runs)
 
 
 def _found(text: Column, pattern: str, gate: Column) -> Column:
@@ -94,9 +118,11 @@ def _upper_tail(z: Column) -> Column:
 
 
 def character_shares(docs: DataFrame, text: str = "text") -> dict[str, float]:
-    """How often each character of the largest alphabet occurs in all documents (at most one row a character reaches the driver)."""
-    chars = docs.select(F.explode(F.split(text_of(text), "")).alias("c")).groupBy("c").count()
-    return {r["c"]: float(r["count"]) for r in chars.where(F.col("c").isin(list(ALPHABETS["base64"]))).collect()}
+    """How often each character of the largest alphabet occurs in all documents: one row of sums, no row per character."""
+    body, chars = text_of(text), ALPHABETS["base64"]
+    without = lambda c: F.length(body) - F.length(F.replace(body, F.lit(c), F.lit("")))
+    row = docs.agg(*[F.coalesce(F.sum(without(c).cast("long")), F.lit(0)).alias(f"c{i}") for i, c in enumerate(chars)]).first()
+    return {c: float(row[f"c{i}"]) for i, c in enumerate(chars) if row[f"c{i}"]}
 
 
 def background(counts: dict[str, float]) -> dict[str, tuple[int, float, float]]:
@@ -151,9 +177,12 @@ def tested(scanned: DataFrame, ground: dict[str, tuple[int, float, float]]) -> D
         return F.struct(run["start"].alias("start"), run["end"].alias("end"), _upper_tail(z).alias("p"))
 
     named = F.transform("_runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["hit"].alias("hit"), _encoding(r["hit"]).alias("enc")))
-    inside = lambda r, b: (b["start"] < r["end"]) & (r["start"] < b["end"])
-    free = lambda r: ~F.exists(F.concat("_assign", "_access", "_hex"), lambda b: inside(r, b))
-    some = scanned.withColumn("_runs", F.when(F.size("_runs") > 0, F.filter(named, free)).otherwise(F.array().cast("array<struct<start:int,end:int,hit:string,enc:string>>")))
+    # The characters of an access or hex match are those of a run, so such a match lies in one run; an assignment may not.
+    plain = F.filter("_runs", lambda r: ~r["hit"].rlike(ACCESS) & ~r["hit"].rlike(HEX))
+    some = scanned.withColumn("_runs", F.when(F.size("_runs") > 0, plain).otherwise(F.col("_runs")))
+    some = some.withColumn("_runs", F.when(F.size("_runs") > 0, _apart(F.col("_runs"), F.col("_assign"))).otherwise(F.col("_runs")))
+    none = F.array().cast("array<struct<start:int,end:int,hit:string,enc:string>>")
+    some = some.withColumn("_runs", F.when(F.size("_runs") > 0, named).otherwise(none))
     return some.withColumn("_runs", F.transform(F.transform("_runs", numbers), battery))
 
 
@@ -218,15 +247,37 @@ def redacted(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", share:
     others = [c for c in docs.columns if c != text]
     found = secrets(docs.select(text, F.struct(*others).alias("_others")), text, share, keep_text=True)
     body = F.col(text)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    whole = let(_merged(F.col("found")), lambda spans: _masked(body, spans, mask))
+    return found.withColumn(text, F.when(F.size("found") > 0, whole).otherwise(body)).select(text, "_others.*").select(*docs.columns)
 
-    def step(state: Column, span: Column) -> Column:
-        piece = F.concat(state["out"], F.substring(body, state["at"] + 1, span["start"] - state["at"]), F.lit(mask))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= state["at"], piece).otherwise(state["out"]).alias("out"),
-        )
 
-    state = F.aggregate("found", start, step)
-    whole = F.concat(state["out"], F.substring(body, state["at"] + 1, F.length(body)))
-    return found.withColumn(text, F.when(F.size("found") > 0, whole).otherwise(body)).select(text, "_others.*").select(*docs.columns)
+def _merged(found: Column) -> Column:
+    """Spans that overlap as one, in order: ``start``, ``end`` and ``before``, where the one before ended."""
+    event = lambda at, step: F.struct(at.alias("at"), F.lit(step).alias("step"))
+    events = F.array_sort(F.concat(F.transform(found, lambda x: event(x["start"], 1)), F.transform(found, lambda x: event(x["end"], -1))))
+
+    def spans(es: Column) -> Column:
+        deep = F.zip_with(es, running_sum(F.transform(es, lambda e: e["step"])), lambda e, d: F.struct(e["at"].alias("at"), e["step"].alias("step"), d.alias("d")))
+        at = lambda step, d: F.transform(F.filter(deep, lambda e: (e["step"] == step) & (e["d"] == d)), lambda e: e["at"])
+        ends = at(-1, 0)
+        pairs = F.zip_with(at(1, 1), ends, lambda a, b: F.struct(a.alias("start"), b.alias("end")))
+        shifted = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
+        return F.zip_with(pairs, shifted, lambda p, b: F.struct(p["start"].alias("start"), p["end"].alias("end"), b.alias("before")))
+
+    return let(events, spans)
+
+
+def _masked(body: Column, spans: Column, mask: str) -> Column:
+    """The text with a mask for each span. It is cut in stretches of spans first, as finding a place in a long text takes
+    time with its length."""
+    length = F.greatest(F.ceil(F.sqrt(F.size(spans))).cast("int"), F.lit(1))
+    stretches = F.transform(F.sequence(F.lit(1), F.greatest(F.size(spans), F.lit(1)), length), lambda i: F.slice(spans, i, length))
+
+    def stretch(part: Column) -> Column:
+        base = F.get(part, F.lit(0))["before"]
+        cut = F.substring(body, base + 1, F.get(part, F.size(part) - 1)["end"] - base)
+        kept = lambda own: F.transform(part, lambda p: F.concat(F.substring(own, p["before"] - base + 1, p["start"] - p["before"]), F.lit(mask)))
+        return F.array_join(let(cut, kept), "")
+
+    last = F.get(spans, F.size(spans) - 1)["end"]
+    return F.concat(F.array_join(F.transform(stretches, stretch), ""), F.substring(body, last + 1, F.length(body)))
