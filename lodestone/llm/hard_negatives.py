@@ -12,20 +12,23 @@ Positives come first, the window open on both sides; each positive's score then
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import settle, whole_numbers
 
 SCALE = 256
-SHARD, ANCHORS = 2048, 1024  # vectors of a tree and anchors of a block, about
+SHARD, ANCHORS = 4096, 1024  # vectors of a tree and anchors of a block, about
 LEAF = 48  # a node that holds so few is verified as it is
-CHUNK = 256  # vectors that are verified at a time, about
+CHUNK = 128  # vectors that are verified first, about; twice as many each time after
+CROWD = 4  # vectors of a ball, on average at least; a split into smaller ones saves nothing
 BASE = 1.3  # covering radii shrink by this from level to level
 _SLACK = 1e-9  # of the largest square involved: far above rounding, far below any radius
 _EXACT = float(1 << 53)
@@ -51,7 +54,8 @@ def augmented(vectors: np.ndarray) -> np.ndarray:
 
 def build(points: np.ndarray) -> Tree:
     """Level by level: the vectors under a node are covered by balls of its radius over ``BASE``, whose centres lie
-    farther apart than that; each vector goes to its nearest centre."""
+    farther apart than that; each vector goes to its nearest centre. Where that makes nearly as many balls as there are
+    vectors, as it does where all are about equally far apart, the node stays a leaf."""
     squares = np.einsum("ij,ij->i", points, points)
     tiny = _SLACK * float(squares.max(initial=0))
     order = np.arange(len(points))
@@ -71,13 +75,13 @@ def build(points: np.ndarray) -> Tree:
             reach = (radius[at] / BASE) ** 2
             centers = [int(np.flatnonzero(held == center[at])[0])]
             best, owner = apart(centers[0]), np.zeros(len(held), dtype=np.int64)
-            while best[far := int(best.argmax())] > reach:
+            while best[far := int(best.argmax())] > reach and len(centers) * CROWD <= len(held):
                 d = apart(far)
                 nearer = d < best
                 best[nearer], owner[nearer] = d[nearer], len(centers)
                 best[far] = 0
                 centers.append(far)
-            if len(centers) > 1:
+            if len(centers) * CROWD <= len(held):
                 own = np.sqrt(((here - here[np.array(centers)[owner]]) ** 2).sum(axis=1))
                 order[lo:hi] = held[np.argsort(owner, kind="stable")]
                 ends = lo + np.cumsum(np.bincount(owner, minlength=len(centers)))
@@ -98,8 +102,11 @@ def build(points: np.ndarray) -> Tree:
 class Shard:
     """A tree with the numbers of its vectors, ready to be searched."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, labels: np.ndarray, tree: Tree) -> None:
-        self.vectors, self.ids, self.rows, self.labels, self.tree = vectors, ids, rows, labels, tree
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, labels: list[str], tree: Tree) -> None:
+        self.vectors, self.ids, self.rows, self.tree = vectors, ids, rows, tree
+        self.codes = {label: i for i, label in enumerate(dict.fromkeys(labels))}
+        self.labels = np.array([self.codes[label] for label in labels], dtype=np.int64)
+        self.is_leaf = tree.first == tree.last
         points = augmented(vectors)
         self.square = float(np.einsum("ij,ij->i", points, points).max(initial=0))
         self.centers = vectors[tree.center].astype(float) if len(points) else points
@@ -121,59 +128,66 @@ class Shard:
         both = float(q @ q) + self.square
         tiny = _SLACK * both + 1e-6
         least, most = (np.array(x, dtype=float) for x in zip(*windows, strict=True))
+        wanted = self.codes.get(label, -1)
         found: list[list[tuple]] = [[] for _ in windows]
         worst = np.full(len(windows), -np.inf)  # the last score that a full window holds
         heap: list[tuple] = []
-
-        def best(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-            """The best score that an open window could still take from each node."""
-            taken = np.minimum(high[:, None], most + tiny)
-            fits = (low[:, None] <= most) & (high[:, None] >= least) & (taken >= worst)
-            return np.where(fits, taken, -np.inf).max(axis=1)
+        chunk, ticket = CHUNK, itertools.count()  # a ticket settles equal values
 
         def push(begin: int, end: int) -> None:
+            """Put the children that an open window could take something from on the heap: inner nodes one by one, leaves
+            as one run, best first."""
             d2 = both - 2 * (self.centers[begin:end] @ q)
             r = tree.radius[begin:end]
             near = np.maximum(np.sqrt(np.maximum(d2 - tiny, 0)) - r, 0)
             far = np.sqrt(np.maximum(d2, 0) + tiny) + r
             low, high = (both - far * far) / 2 - tiny, (both - near * near) / 2 + tiny
-            value = best(low, high)
-            for i in np.flatnonzero(value > -np.inf).tolist():
-                heapq.heappush(heap, (-value[i], begin + i, low[i], high[i]))
+            taken = np.minimum(high[:, None], most + tiny)
+            fits = (low[:, None] <= most) & (high[:, None] >= least) & (taken >= worst)
+            value = np.where(fits, taken, -np.inf).max(axis=1)
+            open_ = value > -np.inf
+            leaf = self.is_leaf[begin:end]
+            for i in np.flatnonzero(open_ & ~leaf).tolist():
+                heapq.heappush(heap, (-value[i], next(ticket), begin + i, None))
+            run = np.flatnonzero(open_ & leaf)
+            if len(run):
+                run = run[np.argsort(-value[run], kind="stable")]
+                heapq.heappush(heap, (-value[run[0]], next(ticket), begin, (begin + run, value[run])))
 
         if len(self.ids):
             push(0, 1)
         while heap and -heap[0][0] >= worst.min():
-            _, node, low, high = heapq.heappop(heap)
-            if best(np.array([low]), np.array([high]))[0] == -np.inf:
-                continue
-            if tree.first[node] < tree.last[node]:
+            _, _, node, run = heapq.heappop(heap)
+            if run is None:
                 push(tree.first[node], tree.last[node])
                 continue
-            places = [tree.order[tree.start[node] : tree.stop[node]]]
-            held = len(places[0])
-            while heap and held < CHUNK and tree.first[heap[0][1]] == tree.last[heap[0][1]]:  # the next best leaves with it
-                _, node, _, _ = heapq.heappop(heap)
-                places.append(tree.order[tree.start[node] : tree.stop[node]])
-                held += len(places[-1])
-            self._verify(query, np.concatenate(places), own, label, same, windows, k, found)
-            for i, of_window in enumerate(found):
-                if len(of_window) == k:
-                    worst[i] = of_window[-1][0]
+            leaves, value = run
+            sizes = tree.stop[leaves] - tree.start[leaves]
+            n = int(np.searchsorted(np.cumsum(sizes), chunk)) + 1
+            if len(leaves) > n:
+                heapq.heappush(heap, (-value[n], next(ticket), node, (leaves[n:], value[n:])))
+            begin, sizes = tree.start[leaves[:n]], sizes[:n]
+            skipped = begin - np.append(0, np.cumsum(sizes)[:-1])
+            self._verify(query, tree.order[np.arange(sizes.sum()) + np.repeat(skipped, sizes)], own, wanted, same, windows, k, found)
+            worst = np.array([held[-1][0] if len(held) == k else -np.inf for held in found], dtype=float)
+            chunk *= 2
         return found
 
-    def _verify(self, query, places, own, label, same, windows, k, found) -> None:
+    def _verify(self, query, places, own, wanted, same, windows, k, found) -> None:
         """The vectors at ``places`` by their exact scores."""
-        fits = (self.labels[places] == label) if same else (self.labels[places] != label)
-        places = places[fits & (self.rows[places] != own)]
+        alike = self.labels[places] == wanted
+        places = places[(alike if same else ~alike) & (self.rows[places] != own)]
         scores = self.scores(query, places)
-        for i, ((least, most), held) in enumerate(zip(windows, found, strict=True)):
-            inside = (scores >= least) & (scores <= most)
-            if len(held) == k:
-                inside &= scores >= held[-1][0]
-            if inside.any():
-                more = [(int(scores[j]), int(places[j])) for j in np.flatnonzero(inside)]
-                found[i] = sorted(held + more, key=lambda x: (-x[0], self.ids[x[1]]))[:k]
+        limits = [max(least, held[-1][0]) if len(held) == k else least for (least, _), held in zip(windows, found, strict=True)]
+        some = np.flatnonzero((scores >= min(limits)) & (scores <= max(most for _, most in windows)))
+        places, scores = places[some], scores[some]
+        for i, (limit, (_, most)) in enumerate(zip(limits, windows, strict=True)):
+            inside = np.flatnonzero((scores >= limit) & (scores <= most))
+            if len(inside) > k:
+                inside = inside[np.lexsort((self.ids[places[inside]], -scores[inside]))[:k]]
+            if len(inside):
+                more = [(int(scores[j]), int(places[j])) for j in inside]
+                found[i] = sorted(found[i] + more, key=lambda x: (-x[0], self.ids[x[1]]))[:k]
 
 
 _TREE = "dim int, shard long, ids array<long>, rows array<long>, labels array<string>, flat array<long>, tree array<array<long>>, radius array<double>"
@@ -196,11 +210,15 @@ def _trees(rows: DataFrame) -> DataFrame:
     return settle(rows.groupBy("dim", "shard").applyInArrow(work, _TREE), "trees")
 
 
-def _shard(row: dict) -> Shard:
-    vectors = np.array(row["flat"], dtype=np.int64).reshape(len(row["rows"]), row["dim"])
-    ids = np.array([_LAST if x is None else x for x in row["ids"]], dtype=np.int64)
-    tree = Tree(*(np.array(x, dtype=np.int64) for x in row["tree"]), np.array(row["radius"]))
-    return Shard(vectors, ids, np.array(row["rows"], dtype=np.int64), np.array(row["labels"], dtype=object), tree)
+def _shard(pair: pa.RecordBatch) -> Shard:
+    """The tree of a one-row batch."""
+    one = lambda name: pair.column(name).flatten()
+    longs = lambda name: one(name).to_numpy(zero_copy_only=False)
+    rows = longs("rows")
+    vectors = longs("flat").reshape(len(rows), pair.column("dim")[0].as_py())
+    ids = pc.fill_null(one("ids"), _LAST).to_numpy(zero_copy_only=False)
+    tree = Tree(*(np.array(x.as_py(), dtype=np.int64) for x in one("tree")), longs("radius"))
+    return Shard(vectors, ids, rows, one("labels").to_pylist(), tree)
 
 
 def _search(trees: DataFrame, asked: DataFrame, shape: dict[int, tuple[int, int]], same: bool, k: int) -> DataFrame:
@@ -220,17 +238,17 @@ def _search(trees: DataFrame, asked: DataFrame, shape: dict[int, tuple[int, int]
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                pair = batch.slice(i, 1).to_pylist()[0]
-                shard = _shard(pair)
+                pair = batch.slice(i, 1)
+                shard, ids = _shard(pair), pair.column("ids").flatten()
                 out: list[tuple] = []
-                for anchor in pair["anchors"]:
+                for anchor in pair.column("anchors")[0].as_py():
                     windows = [(w["least"], w["most"]) for w in anchor["windows"]]
                     query = np.array(anchor["q"], dtype=np.int64)
                     for w, held in zip(anchor["windows"], shard.search(query, anchor["row"], anchor["label"], same, windows, k), strict=True):
                         for score, place in held:
                             if not -_LONG <= score < _LONG:
                                 raise OverflowError("a score does not fit in a long")
-                            out.append((anchor["row"], w["number"], pair["ids"][place], score))
+                            out.append((anchor["row"], w["number"], ids[place].as_py(), score))
                 columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 4
                 yield pa.RecordBatch.from_arrays(columns, ["row", "window", "vec_id", "score"])
 

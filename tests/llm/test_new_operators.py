@@ -182,7 +182,7 @@ def test_a_tree_covers_what_it_holds_and_parts_its_centres():
 def test_descent_skips_most_of_clustered_vectors():
     rng = np.random.default_rng(2)
     v = (rng.normal(0, 60, (40, 8))[rng.integers(0, 40, 2000)] + rng.normal(0, 2, (2000, 8))).astype(np.int64)
-    shard = hard_negatives.Shard(v, np.arange(2000), np.arange(2000), np.array(["a"] * 2000, dtype=object), hard_negatives.build(hard_negatives.augmented(v)))
+    shard = hard_negatives.Shard(v, np.arange(2000), np.arange(2000), ["a"] * 2000, hard_negatives.build(hard_negatives.augmented(v)))
     seen = []
     plain = shard.scores
     shard.scores = lambda query, places: seen.append(len(places)) or plain(query, places)
