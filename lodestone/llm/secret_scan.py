@@ -118,11 +118,10 @@ def _upper_tail(z: Column) -> Column:
 
 
 def character_shares(docs: DataFrame, text: str = "text") -> dict[str, float]:
-    """How often each character of the largest alphabet occurs in all documents: one row of sums, no row per character."""
-    body, chars = text_of(text), ALPHABETS["base64"]
-    without = lambda c: F.length(body) - F.length(F.replace(body, F.lit(c), F.lit("")))
-    row = docs.agg(*[F.coalesce(F.sum(without(c).cast("long")), F.lit(0)).alias(f"c{i}") for i, c in enumerate(chars)]).first()
-    return {c: float(row[f"c{i}"]) for i, c in enumerate(chars) if row[f"c{i}"]}
+    """How often each character of the largest alphabet occurs in all documents (at most one row a character reaches the
+    driver). A row per character, combined where it is made, costs a third of a pass over the text for each of them."""
+    chars = docs.select(F.explode(F.split(text_of(text), "")).alias("c")).groupBy("c").count()
+    return {r["c"]: float(r["count"]) for r in chars.where(F.col("c").isin(list(ALPHABETS["base64"]))).collect()}
 
 
 def background(counts: dict[str, float]) -> dict[str, tuple[int, float, float]]:
