@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.elements import build_elements, embed_elements
@@ -13,6 +13,7 @@ from ..operators.search import index_dim, knn_join, lookup_payload, search_statu
 from ..functions.text import is_blank
 from ..functions.vectors import has_non_zero
 from ..operators.model import MAX_FAILED
+from ..schema import ELEMENT
 from ..sources import io
 from ..sources.scratch import cut_lineage
 
@@ -48,6 +49,22 @@ def ingest_to_index(elements: DataFrame, path: str, dim: int, fn: Model = None,
     return report
 
 
+def follow_elements(spark: SparkSession, folder: str, path: str, checkpoint: str, dim: int, fn: Model = None, fmt: str = "jsonl") -> None:
+    """Bring the index at ``path`` up to date with the element files that have landed in ``folder`` since the last call.
+
+    A file stream remembers in ``checkpoint`` which files it has read; each batch is embedded and appended. Ids come from content, so a
+    batch that is repeated after a failure, or an element that landed twice, adds nothing.
+    """
+    stream = spark.readStream.schema(io.STORED_ELEMENT).format("json" if fmt == "jsonl" else fmt).option("mode", "FAILFAST").load(folder)
+    landed = stream.select(*ELEMENT.fieldNames())
+
+    def add(batch: DataFrame, _: int) -> None:
+        io.append_index(elements_to_index(batch, dim, fn), path)
+
+    query = landed.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 @dataclass
 class Retrieval:
     queries: DataFrame

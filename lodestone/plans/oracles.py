@@ -398,6 +398,9 @@ SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN '' ELSE p_type END AS by_hea
 SELECT url, image_no, image_url,
   CASE WHEN image_no = 1 AND size <> '' THEN base64(encode(repeat(name, 5))) END AS image_base64,
   CASE WHEN image_no = 1 AND size <> '' THEN 'image/jpeg' END AS image_mime_type FROM images""",
+        "image_bytes": f"""WITH {_CELLS}, {_IMAGES},
+whole AS (SELECT *, image_no = 1 AND size <> '' AND length(image_url) % 3 <> 0 AS good FROM images)
+SELECT url, image_no, CASE WHEN good THEN CAST(octet_length(encode(repeat(name, 5))) AS BIGINT) END AS n_bytes, CASE WHEN good THEN md5(repeat(name, 5)) END AS digest FROM whole""",
         "image_elements": f"""WITH {_CELLS}, {_IMAGES},
 named AS (SELECT url, image_no, image_url, CASE WHEN image_no = 2 THEN NULL WHEN size <> '' AND starts_with(name, 'red') THEN 'Label ' || model ELSE alt END AS label FROM images)
 SELECT {_id("url", "'image'", "image_no", "coalesce(label, '')")} AS element_id, label AS text, label AS filename, image_url FROM named""",
@@ -482,5 +485,6 @@ SELECT doc_id, CASE WHEN contains(text, chr(10)) THEN len(list_filter(string_spl
         "merge_indexes": _INDEX,
         "write_read_elements": _STORED_ELEMENTS,
         "write_read_elements_jsonl": _STORED_ELEMENTS,
+        "write_read_elements_array": _STORED_ELEMENTS,
     }
     return {name: sql.strip() for name, sql in queries.items()}

@@ -383,6 +383,14 @@ def attach_images(spark, sf):
     )
 
 
+def image_bytes(spark, sf):
+    """Attached images back as bytes; every third with a sign that Base64 does not have."""
+    images = I.attach_images(part_images(spark, sf), part_files(spark, sf))
+    text = F.when(F.length("image_url") % 3 == 0, F.concat("image_base64", F.lit("*"))).otherwise(F.col("image_base64"))
+    content = I.base64_bytes(text)
+    return images.select("url", "image_no", F.octet_length(content).cast("bigint").alias("n_bytes"), F.md5(content).alias("digest"))
+
+
 def image_elements(spark, sf):
     images = I.attach_images(part_images(spark, sf), part_files(spark, sf))
     labels = part_cells(spark, sf).where(F.col("name").startswith("red")).select(
@@ -662,6 +670,26 @@ def write_read_elements(fmt):
     return run
 
 
+def write_read_arrays(spark, sf):
+    """Elements as array files, one for each page, read back."""
+    path = scratch_path(spark, "arrays")
+    elements = E.build_elements(part_pages(spark, sf))
+    meta = F.col("metadata")
+    # In such files rows of a table are objects, as the readers of ``recover_json_rows`` have them.
+    rows = F.transform(meta["table_json"], lambda r: F.map_from_entries(r))
+    raw = elements.withColumn("metadata", meta.withField("table_json", rows).withField("row_data", F.map_from_entries(meta["row_data"])))
+    arrays = raw.groupBy("metadata.source_url").agg(F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    back = io.read_elements(spark, path)
+    return back.select(
+        "element_id",
+        "text",
+        F.col("metadata.filetype").alias("filetype"),
+        F.coalesce(T.row_sentence(F.col("metadata.row_data")), F.lit("")).alias("row"),
+        F.coalesce(F.size("metadata.table_json"), F.lit(0)).alias("n_rows"),
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "read_pages": read_pages,
@@ -688,6 +716,7 @@ def registry() -> dict[str, Query]:
         "cell_questions": cell_questions,
         "row_keys": row_keys,
         "attach_images": attach_images,
+        "image_bytes": image_bytes,
         "image_elements": image_elements,
         "label_prompts": label_prompts,
         "build_elements": build_elements("v2"),
@@ -730,4 +759,5 @@ def registry() -> dict[str, Query]:
         "merge_indexes": merge_indexes,
         "write_read_elements": write_read_elements("parquet"),
         "write_read_elements_jsonl": write_read_elements("jsonl"),
+        "write_read_elements_array": write_read_arrays,
     }

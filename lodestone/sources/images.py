@@ -29,6 +29,11 @@ def base64_text(content: Column) -> Column:
     return F.translate(F.base64(content), "\r\n", "")
 
 
+def base64_bytes(text: Column) -> Column:
+    """The bytes that a Base64 text stands for; null where it is none."""
+    return F.try_to_binary(text, F.lit("base64"))
+
+
 def read_image_files(spark: SparkSession, path: str) -> DataFrame:
     """Landed image files as ``(url, content)``, their path as url."""
     return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), "content")

@@ -24,6 +24,7 @@ __all__ = [
 ]
 
 PAGE = "url string, html string"
+STORED_ELEMENT = StructType([*ELEMENT.fields]).add("filetype", "string")
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -56,8 +57,7 @@ def read_elements(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     """
     if fmt == "json":
         return _settled(spark.read.schema(ELEMENT_RAW).options(multiLine=True, mode="FAILFAST").json(path))
-    stored = StructType([*ELEMENT.fields]).add("filetype", "string")
-    reader = spark.read.schema(stored).format("json" if fmt == "jsonl" else fmt).option("mode", "FAILFAST")
+    reader = spark.read.schema(STORED_ELEMENT).format("json" if fmt == "jsonl" else fmt).option("mode", "FAILFAST")
     return reader.load(path).select(*ELEMENT.fieldNames())
 
 

@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.operators import search as S
-from lodestone.schema import INDEX
+from lodestone.plans.flows import elements_to_index, follow_elements
+from lodestone.schema import ELEMENT, INDEX
 from lodestone.sources import index as X
+from lodestone.sources import io
+from lodestone.sources.images import base64_bytes, base64_text
 
 
 def rows_of(spark, n, text="text", dim=2):
@@ -123,6 +126,40 @@ def test_the_most_frequent_length_is_the_dimension(spark, tmp_path):
     assert [(r.query_id, r.node_id) for r in S.knn_join(X.load_index(spark, path), asked, 1).collect()] == [(1, "n4")]
 
 
+def test_a_stream_of_files_gives_the_index_of_one_go(spark, tmp_path):
+    fields = ELEMENT["metadata"].dataType
+    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+    def land(folder, lo, hi):
+        rows = spark.range(lo, hi).select(
+            F.lit("e").alias("type"),
+            F.concat(F.lit("id"), F.col("id").cast("string")).alias("element_id"),
+            F.concat(F.lit("some text "), F.col("id").cast("string")).alias("text"),
+            F.lit(None).cast("string").alias("chunk"),
+            F.lit("s").alias("source"),
+            empty.alias("metadata"),
+        )
+        io.write_elements(rows, folder, "jsonl", mode="append")
+
+    folder, path, again = (str(tmp_path / n) for n in ("landed", "index", "again"))
+    for lo, hi in ((0, 30), (20, 50)):
+        land(folder, lo, hi)
+        follow_elements(spark, folder, path, str(tmp_path / "state"), 4)
+        assert X.load_index(spark, path).count() == hi
+    follow_elements(spark, folder, path, str(tmp_path / "state"), 4)  # nothing new
+    whole = elements_to_index(io.read_elements(spark, folder, "jsonl").dropDuplicates(["element_id"]), 4)
+    X.append_index(whole, again)
+    assert sorted(X.load_index(spark, path).collect()) == sorted(X.load_index(spark, again).collect())
+
+
+def test_base64_there_and_back(spark):
+    df = spark.createDataFrame([(b"abc",), (b"",), (None,), (bytes(range(256)),)], "b binary")
+    back = df.select("b", base64_bytes(base64_text(F.col("b"))).alias("c")).collect()
+    assert all(r.b == r.c for r in back)
+    bad = spark.createDataFrame([("a*b",), ("===",), (None,)], "t string").select(base64_bytes(F.col("t")).alias("c")).collect()
+    assert all(r.c is None for r in bad)
+
+
 def test_one_stretch_of_queries_at_a_time(spark, monkeypatch):
     held, most = set(), []
     plain = S._in_place
