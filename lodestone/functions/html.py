@@ -39,12 +39,40 @@ def strip_comments(html: Column) -> Column:
     return F.regexp_replace(html, _COMMENTS, GAP)
 
 
+def furniture_pairs(pieces: Column) -> Column:
+    """Pairs ``struct<i,close>`` of places, counted from 1, of the outermost furniture that is closed, by a stack of names."""
+
+    def token(piece: Column, n: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, f"(?i)^</?({_FURNITURE})", 1))
+        return F.struct(name.alias("name"), piece.startswith("</").alias("ends"), (n + 1).alias("i"))
+
+    def step(state: Column, t: Column) -> Column:
+        stack, pairs = state["stack"], state["pairs"]
+        names = F.transform(stack, lambda s: s["name"])
+        at = F.size(stack) - F.array_position(F.reverse(names), t["name"]).cast("int")  # of the last one of this name
+        found = F.array_contains(names, t["name"])
+        opened = F.get(stack, at)["i"]
+        outer = F.concat(F.filter(pairs, lambda p: p["i"] < opened), F.array(F.struct(opened.alias("i"), t["i"].alias("close"))))
+        pushed = F.concat(stack, F.array(F.struct(t["name"].alias("name"), t["i"].alias("i"))))
+        ended = F.struct(F.slice(stack, F.lit(1), F.greatest(at, F.lit(0))).alias("stack"), outer.alias("pairs"))
+        return F.when(t["ends"] & found, ended).when(t["ends"], state).otherwise(F.struct(pushed.alias("stack"), pairs.alias("pairs")))
+
+    start = F.struct(
+        F.array().cast("array<struct<name:string,i:int>>").alias("stack"), F.array().cast("array<struct<i:int,close:int>>").alias("pairs")
+    )
+    tokens = F.filter(F.transform(pieces, token), lambda t: t["name"] != "")
+    return F.aggregate(tokens, start, step)["pairs"]
+
+
 def strip_boilerplate(html: Column) -> Column:
-    """Also cut ``nav``, ``footer`` and ``aside`` with all that they hold; one that is not closed stays."""
+    """Also cut ``nav``, ``footer`` and ``aside`` with all that they hold; one that nothing closes stays.
+
+    As in a tree parser, an element that ends closes what is still open inside it, and a close tag without its element is
+    nothing.
+    """
 
     def cut(pieces: Column) -> Column:
-        step = lambda p: F.when(p.rlike(f"(?i)^<{_FURNITURE}"), 1).when(p.rlike(f"(?i)^</{_FURNITURE}"), -1).otherwise(0)
-        closed = F.filter(bracket_pairs(F.transform(pieces, step)), lambda b: b["close"] <= F.size(pieces))
+        closed = furniture_pairs(pieces)
 
         def kept(pairs: Column) -> Column:
             inside = lambda i: F.exists(pairs, lambda b: (b["i"] <= i) & (i < b["close"]))

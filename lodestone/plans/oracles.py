@@ -351,6 +351,7 @@ def oracles() -> dict[str, str]:
     queries = {
         "read_pages": f"SELECT page_id, url, length(html) AS html_chars FROM pages WHERE html IS NOT NULL AND {_trim('html')} <> ''",
         "strip_boilerplate": f"SELECT page_id, {_clean('html')} AS html FROM pages",
+        "strip_crossed": "SELECT page_id, CAST(no AS INTEGER) AS no, 'ak' || page_id AS kept FROM pages, range(5) r(no)",
         "text_blocks": f"WITH {_V2} {_NUMBERED}",
         "text_blocks_v1": f"WITH {_V1} {_NUMBERED}",
         "block_predicate": r"""

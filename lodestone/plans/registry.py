@@ -235,6 +235,18 @@ def strip_boilerplate(spark, sf):
     return P.strip_pages(table(spark, sf, "pages")).select("page_id", "html")
 
 
+CROSSED = ["a<nav>x<aside>y</nav>k", "a<aside>x<nav>y</aside>k", "<nav>x<aside>y</nav>a</aside>k", "a<nav>x<aside>y<nav>z</aside>w</nav>k", "a<footer>x</nav>y</footer>k"]
+
+
+def strip_crossed(spark, sf):
+    """Each page between the two halves of furniture that is closed by its neighbour's tag, which all goes but for ``a`` and ``k``."""
+    marks = F.array(*[F.lit(m) for m in CROSSED])
+    rows = table(spark, sf, "pages").select("page_id", F.posexplode(marks).alias("no", "mark"), "url")
+    held = F.replace("mark", F.lit("x"), F.col("url"))
+    ends = F.replace(held, F.lit("k"), F.concat(F.lit("k"), F.col("page_id").cast("string")))
+    return rows.select("page_id", "no", H.element_text(H.strip_boilerplate(ends)).alias("kept"))
+
+
 def text_blocks(profile):
     return lambda spark, sf: P.text_blocks(table(spark, sf, "pages"), profile, keys=["page_id"])
 
@@ -694,6 +706,7 @@ def registry() -> dict[str, Query]:
     return {
         "read_pages": read_pages,
         "strip_boilerplate": strip_boilerplate,
+        "strip_crossed": strip_crossed,
         "text_blocks": text_blocks("v2"),
         "text_blocks_v1": text_blocks("v1"),
         "block_predicate": block_predicate,

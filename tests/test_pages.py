@@ -130,6 +130,12 @@ def test_long_and_open_character_references(spark):
         ("a<aside>one<aside>two</aside><p>leaked</p></aside>b", "ab"),
         ("<nav>x<footer>y</footer>z</nav>t<NAV>u</NAV >v", "tv"),
         ("a<nav>open<aside>in</aside>rest", "aopenrest"),
+        ("<p>a</p><nav>x<aside>y</nav><p>keep</p>", "akeep"),
+        ("<p>a</p><aside>x<nav>y</aside><p>keep</p>", "akeep"),
+        ("<nav>a<aside>b</nav>c</aside>d", "cd"),
+        ("<nav>a<aside>b</nav>c<nav>d</aside>e</nav>f", "cf"),
+        ("<nav>a<aside>b<nav>c</aside>d</nav>e", "e"),
+        ("x<footer>a</nav>b</footer>y" + "<nav>m</nav>z" * 40, "xy" + "z" * 40),
         ("</nav>a<nav>b</nav>c", "ac"),
         ("a<script>never closed <p>x</p>", "a"),
         ("a<!-- never closed", "a"),
