@@ -1,4 +1,4 @@
-"""Benchmark decontamination: word-pair seeds, counted, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word-pair seeds, counted, then Smith-Waterman alignment.
 
 An alignment of M matches and E errors scores 2M - E. Where that is at least a share s of the 2m that the whole item of m
 words scores, at most E / 2 <= M - s * m of the M - 1 steps from a match to the next hold two errors or more. So s * m - 1
@@ -6,8 +6,10 @@ steps or more join words that are neighbours, or have one word between them, bot
 above the limit has fewer such pairs, however it was edited. (Items too short for a pair to be sure go by single words.)
 
 The pairs of all test items set bits in a map of fixed size. Documents are scanned in place; only stretches where the
-pairs of items of about one length lie densely enough leave the scan, as passages. Their pairs are joined with the
-items' exactly and counted; each passage and item that share enough are aligned word by word.
+pairs of items of about one length lie densely enough leave the scan, as passages. Of an item with P places where a pair begins, a
+copy has ``need`` at least, so it has one or more of the P - need + 1 rarest: only the pairs that begin there are joined
+with those of the passages. What meets is counted over all pairs, and each passage and item that share enough are
+aligned word by word.
 """
 
 from __future__ import annotations
@@ -159,6 +161,21 @@ def passages_of(docs: DataFrame, marks: Broadcast, kinds: dict[int, tuple[int, i
     return out.withColumn("passage", F.xxhash64("key", "at", "kind"))
 
 
+def rare_seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
+    """``item, seed``: the seeds at each item's P - need + 1 rarest places, one of which any copy must hold.
+
+    A place is as frequent as its seeds are among all ``hits`` (``passage, seed``). Ties go to the earlier place; seeds
+    that no passage holds are left out. The group of a window is one item's places.
+    """
+    heard = hits.groupBy("seed").agg(F.count("*").alias("heard"))
+    each = items.select("item", "need", F.explode(F.arrays_zip("seeds", "places")).alias("s"))
+    each = each.select("item", "need", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place")).join(heard, "seed", "left")
+    place = each.groupBy("item", "need", "place").agg(F.sum(F.coalesce("heard", F.lit(0))).alias("heard"), F.collect_set("seed").alias("seeds"))
+    inside = Window.partitionBy("item")
+    ranked = place.withColumn("rank", F.row_number().over(inside.orderBy("heard", "place"))).withColumn("all", F.count("*").over(inside))
+    return ranked.where("rank <= all - need + 1 AND heard > 0").select("item", F.explode("seeds").alias("seed")).distinct()
+
+
 def align(passages: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Best local score of each pair, and the place in the passage just after it (linear gaps, by Smith and Waterman)."""
     n, width, height = len(passages), max(map(len, passages)), max(map(len, items))
@@ -201,17 +218,18 @@ def _contaminated(docs: DataFrame, bench: DataFrame, score: float) -> DataFrame:
     marks = spark.sparkContext.broadcast(bit_map(items.select(F.explode(F.concat("seeds", "plain")))))
     passages = settle(passages_of(docs, marks, kinds), "passages")
     hits = passages.select("passage", F.explode("hits").alias("seed"))
-    seeds = items.select("item", "need", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("item", "need", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))
-    shared = hits.join(seeds, "seed").groupBy("passage", "item", "need").agg(F.size(F.collect_set("place")).alias("n"))
-    pairs = shared.where("n >= need").select("passage", "item")
+    pairs = hits.join(rare_seeds(items, hits), "seed").select("passage", "item").distinct()
     rows = (
-        pairs.join(passages.select("passage", "key", "doc_id", "at", "words"), "passage")
-        .join(items.select("item", "item_id", F.col("words").alias("asked")), "item")
-        .select("key", "doc_id", "item", "item_id", "at", "words", "asked")
+        pairs.join(passages.select("passage", "key", "doc_id", "at", "words", "hits"), "passage")
+        .join(items.select("item", "item_id", F.col("words").alias("asked"), "need", "places", "seeds"), "item")
+        .select("key", "doc_id", "item", "item_id", "at", "words", "hits", "asked", "need", "places", "seeds")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            hits, seeds, places = ([np.asarray(x.values) for x in batch.column(c)] for c in ("hits", "seeds", "places"))
+            enough = [len(np.unique(p[np.isin(s, h)])) >= n for h, s, p, n in zip(hits, seeds, places, batch.column("need").to_pylist(), strict=True)]
+            batch = batch.filter(pa.array(enough, pa.bool_()))
             left, right = ([np.asarray(x.values) for x in batch.column(c)] for c in ("words", "asked"))
             size = np.array([len(x) for x in left])
             order = np.argsort(size, kind="stable")

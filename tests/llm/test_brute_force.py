@@ -461,3 +461,11 @@ def test_redaction_of_overlapping_and_touching_spans(spark):
                 out += texts[r.doc_id][at:a] + "[SECRET]"
             at = max(at, b)
         assert r.text == out + texts[r.doc_id][at:]
+
+
+def test_only_the_rarest_seeds_are_joined(spark):
+    """A pair that every passage holds is no seed where an item has rarer ones, yet no copy is lost."""
+    items = spark.createDataFrame([(1, 3, [10, 11, 12, 13, 14], [0, 1, 2, 3, 4]), (2, 5, [10, 11, 12, 13, 20], [0, 1, 2, 3, 4])], "item long, need int, seeds array<long>, places array<int>")
+    hits = spark.createDataFrame([(p, s) for p in range(9) for s in (10, 11)] + [(0, 12), (0, 13), (1, 14), (1, 13), (1, 20)], "passage long, seed long")
+    got = {(r.item, r.seed) for r in decontamination.rare_seeds(items, hits).collect()}
+    assert got == {(1, 12), (1, 13), (1, 14), (2, 12)}
