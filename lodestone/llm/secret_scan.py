@@ -2,14 +2,20 @@
 
 A candidate is a maximal run of 20 or more of ``A-Z a-z 0-9 + / _ = -``. Its encoding is the smallest alphabet of
 ``ALPHABETS`` that holds it. Three statistics are worked out: chi-squared against a uniform alphabet, the number of
-runs of the sequence about its middle, and the serial correlation of neighbours. Ordinary text is the null hypothesis:
-the characters of all documents, restricted to the encoding, say what chi-squared a piece of text of this length would
-show, so a short run needs to look more random than a long one. The three are combined into one p-value, and the
-Benjamini-Hochberg procedure over all candidates of the input bounds the share of false discoveries.
+runs of the sequence about its middle, and the serial correlation of neighbours. Ordinary text is the null hypothesis,
+and each statistic gives a p-value: how likely text of this length and encoding looks as random as this. For chi-squared
+the null comes from the characters that stand outside all candidates, for the other two from the candidates of the same
+encoding and about the same length, drawn towards independent characters where there are few. Their
+Cauchy combination, which holds however the three depend on each other, is the p-value of the run. What fails the runs or serial test as a random sequence (p under 1 in 1,000) is no discovery, whatever its
+letters. The Benjamini-Hochberg procedure bounds the share of false discoveries among the candidates of each length
+class, so that a flood of short names does not hide a long key, nor the other way round.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +46,10 @@ ALPHABETS = {
     "base64": "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz",
 }
 FALSE_DISCOVERIES = 0.01
-_BINS = 1200  # of minus log10 p, 20 to the unit
+CLASSES = 2  # of length, to a power of two
+FAILED = 3.29  # standard deviations that a random sequence stays within 999 times in 1,000
+PRIOR = 30  # candidates that independent characters count for in the null of runs and serial correlation
+_SMALLEST = 1e-60
 
 
 def _spans(text: Column, pattern: str) -> Column:
@@ -118,9 +127,9 @@ def _upper_tail(z: Column) -> Column:
 
 
 def character_shares(docs: DataFrame, text: str = "text") -> dict[str, float]:
-    """How often each character of the largest alphabet occurs in all documents (at most one row a character reaches the
-    driver). A row per character, combined where it is made, costs a third of a pass over the text for each of them."""
-    chars = docs.select(F.explode(F.split(text_of(text), "")).alias("c")).groupBy("c").count()
+    """How often each character of the largest alphabet occurs in all documents, candidates left out (at most one row a
+    character reaches the driver). A row per character, combined where it is made, costs a third of a pass over the text for each of them."""
+    chars = docs.select(F.explode(F.split(F.regexp_replace(text_of(text), RUN, ""), "")).alias("c")).groupBy("c").count()
     return {r["c"]: float(r["count"]) for r in chars.where(F.col("c").isin(list(ALPHABETS["base64"]))).collect()}
 
 
@@ -138,7 +147,8 @@ def background(counts: dict[str, float]) -> dict[str, tuple[int, float, float]]:
 
 
 def tested(scanned: DataFrame, ground: dict[str, tuple[int, float, float]]) -> DataFrame:
-    """``_runs`` gains ``p`` for each run: how likely ordinary text looks as random as this."""
+    """``_runs`` as ``start``, ``end``, ``enc``, ``size`` (class of length) and the statistics in standard deviations:
+    ``uniform`` (how far chi-squared lies below that of text), ``runs`` and ``serial`` (from those of a random sequence)."""
     table = F.create_map(*(x for n, (k, m, v) in ground.items() for x in (F.lit(n), F.struct(F.lit(k).alias("k"), F.lit(m).alias("m"), F.lit(v).alias("v")))))
     ranks = F.create_map(*(x for n, a in ALPHABETS.items() for x in (F.lit(n), F.lit(a))))
 
@@ -163,17 +173,23 @@ def tested(scanned: DataFrame, ground: dict[str, tuple[int, float, float]]) -> D
         # Text of n characters: mean and variance of chi-squared, uniform part and what the letters' unequal shares add.
         mean = (k - 1) + n * table[run["enc"]]["m"]
         variance = 2 * (k - 1) + n * table[run["enc"]]["v"]
-        uniform = (mean - chi) / F.sqrt(variance)
+        # Such a sum of squares is skewed: a scaled chi-squared of the same mean and variance, by Wilson and Hilferty's cube root.
+        ninth = variance / (mean * mean) / 9.0
+        uniform = (1 - ninth - F.pow(chi / mean, 1 / 3)) / F.sqrt(ninth)
         pairs = F.zip_with(F.slice(run["x"], 1, n - 1), F.slice(run["x"], 2, n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
         turns = F.size(F.filter(pairs, lambda p: (p["a"] > 0) != (p["b"] > 0))) + 1
-        runs = F.abs(turns - (n + 1) / 2.0) / F.sqrt((n - 1) / 4.0)
         zero = F.lit(0.0)
         product = F.aggregate(pairs, zero, lambda s, p: s + p["a"] * p["b"])
         power = F.aggregate(run["x"], zero, lambda s, a: s + a * a)
-        serial = F.abs(product / F.greatest(power, F.lit(1e-9))) * F.sqrt(n)
-        # A failed runs or serial test (p under 1 in 1,000) takes its weight off the evidence of the first.
-        z = uniform - F.greatest(zero, runs - 3.29) - F.greatest(zero, serial - 3.29)
-        return F.struct(run["start"].alias("start"), run["end"].alias("end"), _upper_tail(z).alias("p"))
+        return F.struct(
+            run["start"].alias("start"),
+            run["end"].alias("end"),
+            run["enc"].alias("enc"),
+            F.floor(F.log2(n.cast("double")) * CLASSES).cast("int").alias("size"),
+            uniform.alias("uniform"),
+            ((turns - (n + 1) / 2.0) / F.sqrt((n - 1) / 4.0)).alias("runs"),
+            (product / F.greatest(power, F.lit(1e-9)) * F.sqrt(n)).alias("serial"),
+        )
 
     named = F.transform("_runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["hit"].alias("hit"), _encoding(r["hit"]).alias("enc")))
     # The characters of an access or hex match are those of a run, so such a match lies in one run; an assignment may not.
@@ -185,21 +201,60 @@ def tested(scanned: DataFrame, ground: dict[str, tuple[int, float, float]]) -> D
     return some.withColumn("_runs", F.transform(F.transform("_runs", numbers), battery))
 
 
-def discoveries(runs: DataFrame, share: float = FALSE_DISCOVERIES) -> float:
-    """The largest p-value that Benjamini and Hochberg's procedure keeps, over all ``_runs``; 0 if none.
+def nulls(scanned: DataFrame) -> Column:
+    """Map from encoding and class of length to mean and standard deviation of ``runs`` and ``serial`` among the ``_runs``.
 
-    P-values are counted in fixed bins of their logarithm first, so the driver sees ``_BINS`` rows at most; a bin's
-    larger end stands for all in it, which errs towards fewer discoveries.
+    ``PRIOR`` sequences of independent characters are counted in. A row per encoding and class reaches the driver: some
+    hundreds, whatever the input.
+    """
+    moments = [f(c).alias(f"{n}_{c}") for c in ("runs", "serial") for n, f in (("s", F.sum), ("q", lambda c: F.sum(F.col(c) * F.col(c))))]
+    found = scanned.select(F.explode("_runs").alias("r")).select("r.*").groupBy("enc", "size").agg(F.count("*").alias("n"), *moments).collect()
+    table = {}
+    for r in found:
+        n = r["n"] + PRIOR
+        of = {}
+        for c in ("runs", "serial"):
+            mean = r[f"s_{c}"] / n
+            of[c] = {"mean": mean, "sd": max((r[f"q_{c}"] + PRIOR) / n - mean * mean, 1e-6) ** 0.5}
+        table[f"{r['enc']} {r['size']}"] = of
+    one = "struct<mean:double,sd:double>"
+    return F.from_json(F.lit(json.dumps(table)), f"map<string,struct<runs:{one},serial:{one}>>")
+
+
+def combined(run: Column, table: Column) -> Column:
+    """The p-value of a run: the Cauchy combination of the three; 1 where it fails a test of randomness."""
+
+    def close(z: Column, null: Column) -> Column:
+        # How likely the null lies as near to a random sequence's value, on either side.
+        return _upper_tail((null["mean"] - F.abs(z)) / null["sd"]) - _upper_tail((null["mean"] + F.abs(z)) / null["sd"])
+
+    null = table[F.concat_ws(" ", run["enc"], run["size"].cast("string"))]
+    inside = lambda p: F.greatest(F.least(p, F.lit(1 - 1e-9)), F.lit(_SMALLEST))
+    share = lambda p: let(inside(p) * math.pi, lambda a: F.cos(a) / F.sin(a) / 3)
+    whole = share(_upper_tail(run["uniform"])) + share(close(run["runs"], null["runs"])) + share(close(run["serial"], null["serial"]))
+    cauchy = F.greatest(F.atan2(F.lit(1.0), whole) / math.pi, F.lit(_SMALLEST))
+    return F.when((F.abs(run["runs"]) > FAILED) | (F.abs(run["serial"]) > FAILED), F.lit(1.0)).otherwise(cauchy)
+
+
+def discoveries(runs: DataFrame, share: float = FALSE_DISCOVERIES) -> dict[int, float]:
+    """For each class of length the largest p-value that Benjamini and Hochberg's procedure keeps, over all ``_runs``.
+
+    P-values are counted in bins of their logarithm first, 20 to a unit, so the driver sees 1,201 rows a class at most;
+    a bin's larger end stands for all in it, which errs towards fewer discoveries. Classes without any are left out.
     """
-    p = runs.select(F.explode("_runs").alias("r")).select(F.greatest(F.col("r.p"), F.lit(1e-60)).alias("p"))
-    bins = p.groupBy(F.floor(-F.log10("p") * 20).alias("bin")).count().collect()
-    total, kept, limit = sum(r["count"] for r in bins), 0, 0.0
-    for r in sorted(bins, key=lambda r: -r["bin"]):
-        kept += r["count"]
-        edge = 10 ** (-r["bin"] / 20)
-        if edge <= share * kept / total:
-            limit = edge
-    return limit
+    some = runs.select(F.explode("_runs").alias("r")).select("r.size", F.floor(-F.log10("r.p") * 20).alias("bin"))
+    classes: dict[int, dict[int, int]] = {}
+    for r in some.groupBy("size", "bin").count().collect():
+        classes.setdefault(r["size"], {})[r["bin"]] = r["count"]
+    limits = {}
+    for size, bins in classes.items():
+        total, kept = sum(bins.values()), 0
+        for at in sorted(bins, reverse=True):
+            kept += bins[at]
+            edge = 10 ** (-at / 20)
+            if edge <= share * kept / total:
+                limits[size] = edge
+    return limits
 
 
 def secrets(docs: DataFrame, text: str = "text", share: float = FALSE_DISCOVERIES, keep_text: bool = False) -> DataFrame:
@@ -213,12 +268,15 @@ def secrets(docs: DataFrame, text: str = "text", share: float = FALSE_DISCOVERIE
     ground = background(character_shares(docs, text))
     spans = tested(base_spans(docs.drop("found"), text), ground)
     scanned = settle(spans if keep_text else spans.drop(text), "secret-runs")
-    limit = discoveries(scanned, share)
+    table = nulls(scanned)
+    rated = F.transform("_runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["size"].alias("size"), combined(r, table).alias("p")))
+    limits = discoveries(scanned.select(rated.alias("_runs")), share)
 
     def kind(name: str, order: int, column: Column) -> Column:
         return F.transform(column, lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), F.lit(name).alias("kind"), s["end"].alias("end")))
 
-    chosen = F.filter("_runs", lambda r: r["p"] <= F.lit(limit)) if limit else F.filter("_runs", lambda _: F.lit(False))
+    limit = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair)) if limits else F.lit(None).cast("map<int,double>")
+    chosen = F.filter(rated, lambda r: F.coalesce(r["p"] <= limit[r["size"]], F.lit(False)))
     every = F.concat(kind("assign", 0, F.col("_assign")), kind("access", 1, F.col("_access")), kind("hex", 2, F.col("_hex")), kind("random", 3, chosen))
     return scanned.withColumn("found", F.array_sort(every)).drop("_assign", "_access", "_hex", "_runs")
 

@@ -469,3 +469,33 @@ def test_only_the_rarest_seeds_are_joined(spark):
     hits = spark.createDataFrame([(p, s) for p in range(9) for s in (10, 11)] + [(0, 12), (0, 13), (1, 14), (1, 13), (1, 20)], "passage long, seed long")
     got = {(r.item, r.seed) for r in decontamination.rare_seeds(items, hits).collect()}
     assert got == {(1, 12), (1, 13), (1, 14), (2, 12)}
+
+
+def test_recall_of_random_keys_and_false_alarms(spark, texts):
+    """Keys of every encoding but digits among as many pieces of ordinary text without blanks, of the same lengths."""
+    rng = np.random.default_rng(8)
+    glued = re.sub("[^A-Za-z0-9]", "", "".join(texts.values()))
+    planted, each = {}, 20
+    for name, alphabet in secret_scan.ALPHABETS.items():
+        for n in (20, 24, 32, 40, 64):
+            for k in range(each):
+                key = "".join(rng.choice(list(alphabet), n))
+                at = int(rng.integers(0, len(glued) - n))
+                planted[-len(planted) - 1] = (name, n, f"the key is {key} and so on")
+                planted[-len(planted) - 1] = ("text", n, f"the name is {glued[at : at + n]} and so on")
+    docs = spark.createDataFrame([*texts.items(), *((i, t) for i, (_, _, t) in planted.items())], "doc_id bigint, text string")
+    random = {r.doc_id for r in secret_scan.digest(secret_scan.secrets(docs)).collect() if "random" in r.spans}
+    found = {}
+    for i, (name, n, _) in planted.items():
+        found.setdefault((name, n), []).append(i in random)
+    for name in ("HEX", "lower36", "upper36", "base32", "base62", "base64"):
+        assert sum(found[name, 40]) >= 0.9 * each and sum(found[name, 64]) >= 0.9 * each
+    assert sum(map(sum, (v for k, v in found.items() if k[0] == "text"))) <= 0.02 * sum(len(v) for k, v in found.items() if k[0] == "text")
+    assert sum(i in random for i in texts) <= 3
+
+
+def test_a_failed_test_of_randomness_is_no_discovery(spark, texts):
+    runs = {-1: "abcdefghijklmnopqrstuvwxyz0123456789" * 3, -2: "aZ" * 30, -3: "0123456789ABCDEF" * 4}
+    docs = spark.createDataFrame([*texts.items(), *((i, f"see {t} here") for i, t in runs.items())], "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.secrets(docs)).collect()}
+    assert all(spans[i] == "" for i in runs)
