@@ -45,13 +45,14 @@ def _cut(sample: DataFrame, parts: Column) -> list[tuple[int, int, int]]:
 
 
 def shard(
-    df: DataFrame, shards: int, key: list[str], size: str, per_shard: int = 16, oversample: int = 16, rounds: int = 6
+    df: DataFrame, shards: int, key: list[str], size: str, per_shard: int = 16, oversample: int = 16, rounds: int = 6, range_rows: int = 1 << 20
 ) -> DataFrame:
     """Add ``shard`` (0 to ``shards`` - 1, sums of ``size`` near equal) and ``slot`` (gapless from 0 in each shard).
 
     ``key``: a long column to order by, then any columns that settle ties; rows with equal keys stay next to each other
-    and part only at a boundary. Sums differ by one row's size at most. Driver and single tasks see the sample of about
-    ``shards * per_shard * oversample`` rows and the splitters, never more. ``size`` must be positive; null counts as 1.
+    and part only at a boundary. Sums differ by one row's size at most. There are ``per_shard`` ranges a shard, and more where
+    one would hold over ``range_rows`` rows on average. Driver and single tasks see the splitters and a sample of about
+    ``oversample`` rows a range, never more. ``size`` must be positive; null counts as 1.
     Rows equal in every column are told apart by a number given when the input is settled. Columns of the input called
     ``shard`` or ``slot`` are replaced, names that begin with an underscore are reserved. An empty input gives no rows.
     """
@@ -69,7 +70,7 @@ def shard(
     total, n = rows.agg(F.sum("_size"), F.count("*")).first()
     if not n:
         return rows.select(*kept, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    ranges = shards * per_shard
+    ranges = max(shards * per_shard, -(-n // range_rows))
     rate = ranges * oversample / total
     first = rows.select(*_KEY, F.lit(0).alias("_range"), _share(rate).alias("_w")).where("_w > 0")
     splitters = sorted(set(_cut(first, F.lit(ranges))))
@@ -85,13 +86,12 @@ def shard(
         if not found:
             break
         splitters = sorted({*splitters, *found})
-    before, offsets = (0, 0), []
-    for r in sorted(held, key=lambda r: r["_range"]):
-        offsets.append((r["_range"], *before))
-        before = (before[0] + r["_bytes"], before[1] + r["_n"])
-    offset = F.from_json(
-        F.lit(json.dumps({str(r): {"b": b, "n": c} for r, b, c in offsets})), "map<string,struct<b:bigint,n:bigint>>"
-    )[F.col("_range").cast("string")]
+    inside_of, before, offsets = {r["_range"]: r for r in held}, (0, 0), []
+    for at in range(len(splitters) + 1):
+        offsets.append({"b": before[0], "n": before[1]})
+        if at in inside_of:
+            before = (before[0] + inside_of[at]["_bytes"], before[1] + inside_of[at]["_n"])
+    offset = F.get(F.from_json(F.lit(json.dumps(offsets)), "array<struct<b:bigint,n:bigint>>"), F.col("_range"))
     inside = Window.partitionBy("_range").orderBy(*_KEY)
     running = F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     middle = F.col("_offset.b") + F.col("_running") - F.col("_size") / 2

@@ -499,3 +499,16 @@ def test_a_failed_test_of_randomness_is_no_discovery(spark, texts):
     docs = spark.createDataFrame([*texts.items(), *((i, f"see {t} here") for i, t in runs.items())], "doc_id bigint, text string")
     spans = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.secrets(docs)).collect()}
     assert all(spans[i] == "" for i in runs)
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    splitters, place = [], sharding._with_range
+    monkeypatch.setattr(sharding, "_with_range", lambda rows, found: splitters.append(len(found)) or place(rows, found))
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "xxhash64(id) AS h", "1 + id % 50 AS size")
+    few, many = (sharding.shard(docs, 4, ["h", "doc_id"], "size", range_rows=n) for n in (1 << 20, 100))
+    assert splitters[0] < 64 and splitters[-1] >= 100
+    ordered = lambda df: [tuple(r) for r in df.select("shard", "slot", "doc_id").orderBy("shard", "slot").collect()]
+    assert ordered(few) == ordered(many)
+    sizes = many.groupBy("shard").agg({"size": "sum", "slot": "max", "*": "count"}).collect()
+    assert len(sizes) == 4 and all(r["max(slot)"] == r["count(1)"] - 1 for r in sizes)
+    assert max(r["sum(size)"] for r in sizes) - min(r["sum(size)"] for r in sizes) <= 100
