@@ -8,9 +8,11 @@ per document is about its shingles plus ``t ln t``, so many coordinates are chea
 documents of similarity 0.8 miss all 64 bands of 8 once in 130,000 times, two of 0.3 meet in one once in 240.
 
 Documents with equal sets collapse into classes. Classes that share a band are neighbours; connected neighbours form a
-cluster, which no two similar classes are split over. Inside a cluster every pair is verified on the full sets, in
-blocks of bounded size whose rows are copied once per block of the cluster; a task hands on a spanning forest of the
-links that it finds, never all of them. The components of these links are the groups.
+cluster, which no two similar classes are split over. A cluster of ``BLOCK`` shingles at most is verified as one small
+matrix product. In a larger one each class is first verified against one leader, the least class of a band, the one it
+shares most bands with; what is linked counts as one from then on, and only bands that still hold several components go
+into the next round. What stands apart after ``STARS`` rounds is verified band by band, in blocks. A task hands on a
+spanning forest of the links that it finds, never all of them. The components of these links are the groups.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ COORDINATES, ROWS = 512, 8
 BANDS = COORDINATES // ROWS
 PERCENT = 80
 BLOCK = 100_000  # shingles in a block of a cluster, about
+GROUP = 8 * BLOCK  # shingles that go to one call, about
+STARS = 3  # rounds against leaders; what they leave is verified all the same
 _ROUND = W.salts(2 * COORDINATES, 3)
 
 
@@ -120,17 +124,27 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``key, name, items`` (the whole set) of the documents whose ``key`` is on the map of the wanted ones, and maybe of others."""
+    """``key, name, items`` (the whole set) of the documents whose ``key`` is on the map of the wanted ones, and maybe of others.
+
+    A task gives a key and name once, so that a row repeated many times travels once per task.
+    """
     marks = docs.sparkSession.sparkContext.broadcast(bit_map(wanted.select("key")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[tuple[int, int]] = set()
         for batch in batches:
             some = batch.filter(pa.array(on_map(marks.value, batch.column("key").to_numpy())))
             texts = some.column("text")
             for a, b in W.chunks(texts):
                 sets = list(shingle_sets(texts.slice(a, b - a), width))
-                items = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([some.column("key").slice(a, b - a), _signed(set_names(sets)), items], ["key", "name", "items"])
+                keys, names = some.column("key").slice(a, b - a), _signed(set_names(sets))
+                fresh = []
+                for i, pair in enumerate(zip(keys.to_pylist(), names.to_pylist(), strict=True)):
+                    if pair not in given:
+                        given.add(pair)
+                        fresh.append(i)
+                items = pa.array([sets[i].tobytes() for i in fresh], pa.binary())
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(fresh, pa.int64())), names.take(pa.array(fresh, pa.int64())), items], ["key", "name", "items"])
 
     return docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(work, "key bigint, name bigint, items binary")
 
@@ -193,12 +207,11 @@ def block_links(names: np.ndarray, sets: list[np.ndarray], block: np.ndarray, i:
     return [(int(names[every[a]]), int(names[every[b]])) for a, b in forest(whole)]
 
 
-def _verified(sets: DataFrame, percent: int) -> DataFrame:
-    """Spanning links ``a, b`` of rows ``cluster, block, blocks, name, items``."""
-    bins = sets.sparkSession.conf.get("spark.sql.shuffle.partitions")
+def _verified(sets: DataFrame, groups: int, percent: int) -> DataFrame:
+    """Spanning links ``a, b`` of rows ``cluster, block, blocks, name, items``; clusters of one block share ``groups`` calls."""
     spread = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         # Clusters of one block go several to a group, so that a group is worth a call.
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(4 * int(bins)))).otherwise(F.col("cluster")).alias("at"),
+        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(groups))).otherwise(F.col("cluster")).alias("at"),
         (F.col("blocks") > 1).alias("large"),
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
@@ -222,6 +235,99 @@ def _verified(sets: DataFrame, percent: int) -> DataFrame:
     return spread.groupBy("at", "large", "i", "j").applyInArrow(work, "a bigint, b bigint")
 
 
+def _in_blocks(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links inside the clusters of ``members`` (``cluster, name, rep, n``), every pair of a cluster compared."""
+    blocks = members.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    wanted = members.join(blocks, "cluster").select(
+        F.xxhash64("rep").alias("key"), "name", "cluster", "blocks", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int").alias("block")
+    )
+    total = members.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    return _verified(_sets_of(docs, wanted, width).join(wanted, ["key", "name"]), total // GROUP + 1, percent)
+
+
+def star_links(leaders: np.ndarray, names: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of rows to the leader they name; a leader's own row bears its own name. Work grows with the shingles."""
+    order, out = np.lexsort((names, names != leaders, leaders)), []
+    edges = np.flatnonzero(np.diff(leaders[order], prepend=leaders[order[0]] - 1 if len(order) else 0))
+    for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
+        some = order[a:b]
+        own = names[some] == leaders[some]
+        rest = some[~own]
+        if not own.any() or not len(rest):
+            continue
+        leader = sets[some[0]]
+        size = np.array([len(sets[i]) for i in rest])
+        items = np.concatenate([sets[i] for i in rest])
+        at = np.minimum(np.searchsorted(leader, items), len(leader) - 1)
+        shared = np.add.reduceat((leader[at] == items).astype(np.int64), np.cumsum(size) - size)
+        near = 100 * shared >= percent * (size + len(leader) - shared)
+        out += [(int(names[i]), int(leaders[i])) for i in rest[near]]
+    return out
+
+
+def _with_leaders(docs: DataFrame, pairs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those ``pairs`` (``name, leader``) that are links, as ``a, b``.
+
+    Each set moves once, and a leader's once more for every ``GROUP`` shingles of its followers, so a leader of many is no hot key.
+    """
+    known = members.select("name", "rep", "n")
+    followers = pairs.join(known, "name")
+    total = followers.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    groups = total // GROUP + 1
+    parts = followers.groupBy("leader").agg(F.ceil(F.sum("n") / GROUP).cast("int").alias("parts"))
+    led = followers.join(parts, "leader").select("leader", "name", "rep", F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part"))
+    own = parts.join(known.withColumnRenamed("name", "leader"), "leader").select(
+        "leader", F.col("leader").alias("name"), "rep", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    )
+    wanted = settle(led.unionByName(own).withColumn("key", F.xxhash64("rep")), "leaders")
+    rows = _sets_of(docs, wanted, width).join(wanted, ["key", "name"])
+
+    def work(table: pa.Table) -> pa.Table:
+        items = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for c in table.column("items").chunks for x in c]
+        links = star_links(table.column("leader").to_numpy(), table.column("name").to_numpy(), items, percent)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    at = F.pmod(F.xxhash64("leader", "part"), F.lit(groups)).alias("at")
+    return rows.select(at, "leader", "name", "items").groupBy("at").applyInArrow(work, "a bigint, b bigint")
+
+
+def _apart(live: DataFrame) -> DataFrame:
+    """The rows of ``live`` (``band, name, component``) in bands that hold several components."""
+    bands_left = live.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
+    return live.join(bands_left, "band")
+
+
+def _large(docs: DataFrame, live: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect all linked classes of the bands of ``live`` (``band, name``).
+
+    ``members`` (``name, rep, n``) holds those classes.
+    """
+    spark = docs.sparkSession
+    live = settle(_apart(live.select("band", "name", F.col("name").alias("component"))), "live")
+    links, tried = spark.createDataFrame([], "a bigint, b bigint"), None
+    for _ in range(STARS):
+        first = live.groupBy("band", "component").agg(F.min("name").alias("name")).select("band", "name")
+        least = first.groupBy("band").agg(F.min("name").alias("leader"))
+        pairs = first.join(least, "band").where("name <> leader").groupBy("name", "leader").agg(F.count("*").alias("shared"))
+        if tried is not None:
+            pairs = pairs.join(tried, ["name", "leader"], "left_anti")
+        best = pairs.groupBy("name").agg(F.max(F.struct("shared", "leader"))["leader"].alias("leader"))
+        pairs = settle(best, "pairs")
+        if pairs.isEmpty():
+            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = settle(_with_leaders(docs, pairs, members, width, percent), "links")
+        links = links.unionByName(found)
+        whole = components(links)
+        moved = live.select("band", "name").join(whole.select(F.col("node").alias("name"), "component"), "name", "left")
+        live = settle(_apart(moved.select("band", "name", F.coalesce("component", "name").alias("component"))), "live")
+    # Bands with the same members are one, and their pairs are compared once.
+    marks = live.groupBy("band").agg(F.count("*").alias("rows"), F.sum(F.xxhash64("name").cast("decimal(38,0)")).alias("mark"))
+    once = marks.groupBy("rows", "mark").agg(F.min("band").alias("band")).select("band")
+    rest = live.join(once, "band").join(members, "name").select(F.col("band").alias("cluster"), "name", "rep", "n")
+    return links.unionByName(_in_blocks(docs, settle(rest, "apart"), width, percent))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (``doc_id, text``; other columns are not read).
 
@@ -241,11 +347,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = PERCENT) ->
     touching = banded.join(least, "band").where("name <> least").select(F.col("name").alias("a"), F.col("least").alias("b"))
     cluster = components(touching).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
     members = settle(classes.select("name", "rep", "n").join(cluster, "name"), "clusters")
-    blocks = members.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    wanted = members.join(blocks, "cluster").select(
-        F.xxhash64("rep").alias("key"), "name", "cluster", "blocks", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int").alias("block")
-    )
-    links = _verified(_sets_of(docs, wanted, width).join(wanted, ["key", "name"]), percent)
+    large = settle(members.groupBy("cluster").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK).select("cluster"), "large")
+    links = _in_blocks(docs, members.join(large, "cluster", "left_anti"), width, percent)
+    if not large.isEmpty():
+        some_members = settle(members.join(large, "cluster", "left_semi").select("name", "rep", "n"), "large-members")
+        live = banded.join(some_members.select("name"), "name", "left_semi").select("band", "name")
+        links = links.unionByName(_large(docs, live, some_members, width, percent))
     groups = components(links).select(F.col("node").alias("name"), F.col("component").alias("group"))
     named = classes.select("name", "rep").join(groups, "name", "left").withColumn("group", F.coalesce("group", "name"))
     best = named.groupBy("group").agg(F.min("rep").alias("component_id"))
