@@ -202,56 +202,6 @@ def test_a_large_group_in_small_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == component_ids(sets)
 
 
-def edited(rng, base, d, most):
-    w = list(base)
-    for i in rng.choice(len(base), int(rng.integers(0, most)), replace=False):
-        w[i] = f"x{d}.{i}"
-    return w
-
-
-@pytest.mark.parametrize("stars", [0, 2])
-def test_large_clusters_of_several_groups(spark, monkeypatch, stars):
-    """Groups that share half of their words fall into one cluster of bands; chains and repeated rows are in it."""
-    monkeypatch.setattr(near_dup, "BLOCK", 1000)
-    monkeypatch.setattr(near_dup, "GROUP", 3000)
-    monkeypatch.setattr(near_dup, "STARS", stars)
-    rng = np.random.default_rng(6)
-    shared = [f"s{i}" for i in range(80)]
-    rows = []
-    for g in range(6):
-        base = shared + [f"g{g}.{i}" for i in range(40)]
-        rows += [(100 * g + d, " ".join(edited(rng, base, 100 * g + d, 7))) for d in range(40)]
-    rows += [(700 + i, " ".join(f"c{j}" for j in range(3 * i, 3 * i + 60))) for i in range(40)]  # each like the next only
-    rows += [rows[0]] * 30
-    sets = {d: {tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)} for d, t in rows}
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 4).collect()
-    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == component_ids(sets)
-
-
-def test_near_copies_of_one_text_meet_leaders_only(spark, monkeypatch):
-    """No pairs but one per class and round: blocks of what stands apart get nothing to do, however many copies there are."""
-    monkeypatch.setattr(near_dup, "BLOCK", 1000)
-    rng = np.random.default_rng(7)
-    base = [f"w{i}" for i in range(200)]
-    rows = [(d, " ".join(edited(rng, base, d, 3))) for d in range(600)]
-    compared, in_blocks = [], near_dup._in_blocks
-
-    def counted(docs, members, width, percent):
-        compared.append(members.count())
-        return in_blocks(docs, members, width, percent)
-
-    monkeypatch.setattr(near_dup, "_in_blocks", counted)
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4).collect()
-    assert {r.component_id for r in got} == {0} and compared == [0, 0]
-
-
-def test_star_links():
-    sets = [np.arange(n, n + 10, dtype=np.uint64) for n in (0, 0, 1, 5, 20, 20)]
-    leaders, names = np.array([7, 7, 7, 7, 9, 8]), np.array([7, 1, 2, 3, 9, 4])
-    assert sorted(near_dup.star_links(leaders, names, sets, 80)) == [(1, 7), (2, 7)]
-    assert near_dup.star_links(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), [], 80) == []
-
-
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(4)
     both = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
