@@ -202,6 +202,26 @@ def test_a_large_group_in_small_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == component_ids(sets)
 
 
+def test_large_clusters_of_several_groups(spark, monkeypatch):
+    """Groups that share half of their words may fall into one cluster of bands; a chain and a repeated row are there too."""
+    monkeypatch.setattr(near_dup, "BLOCK", 1000)
+    rng = np.random.default_rng(6)
+    shared = [f"s{i}" for i in range(80)]
+    rows = []
+    for g in range(6):
+        base = shared + [f"g{g}.{i}" for i in range(40)]
+        for d in range(100 * g, 100 * g + 40):
+            w = list(base)
+            for i in rng.choice(120, int(rng.integers(0, 7)), replace=False):
+                w[i] = f"x{d}.{i}"
+            rows.append((d, " ".join(w)))
+    rows += [(700 + i, " ".join(f"c{j}" for j in range(3 * i, 3 * i + 60))) for i in range(40)]  # each like the next only
+    rows += [rows[0]] * 30
+    sets = {d: {tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)} for d, t in rows}
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 4).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got} == component_ids(sets)
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(4)
     both = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
