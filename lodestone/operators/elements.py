@@ -39,6 +39,7 @@ IMAGE DATA (base64, truncated):
 
 Label:"""
 NO_IMAGE_LABEL = "Unknown Image"
+FAILED_LABEL = "Classification Error"
 CONTEXT_CHARS = 500
 IMAGE_CHARS = 200
 
@@ -47,15 +48,17 @@ def element_id(source_url: Column, filetype: Column, ordinal: Column, text: Colu
     return hash_id(source_url, filetype, ordinal, text)
 
 
-def label_prompt(context: Column, image_base64: Column, template: str = LABEL_PROMPT) -> Column:
-    """What to ask about an image: page context cut to 500 characters, the start of its data always marked as cut.
+def label_prompt(
+    context: Column, image_base64: Column, template: str = LABEL_PROMPT, context_chars: int = CONTEXT_CHARS, image_chars: int = IMAGE_CHARS
+) -> Column:
+    """What to ask about an image: page context cut to ``context_chars``, the start of its data always marked as cut.
 
     Null if there are no bytes: there is nothing to ask then.
     """
     before, rest = template.split("{page_context}")
     middle, after = rest.split("{image_b64_truncated}")
-    data = F.concat(F.left(image_base64, F.lit(IMAGE_CHARS)), F.lit("..."))
-    prompt = F.concat(F.lit(before), cut(context, CONTEXT_CHARS), F.lit(middle), data, F.lit(after))
+    data = F.concat(F.left(image_base64, F.lit(image_chars)), F.lit("..."))
+    prompt = F.concat(F.lit(before), cut(context, context_chars), F.lit(middle), data, F.lit(after))
     return F.when(image_base64 != "", prompt)
 
 

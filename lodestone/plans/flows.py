@@ -6,20 +6,43 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.elements import build_elements, embed_elements
+from ..operators.elements import CONTEXT_CHARS, FAILED_LABEL, asked_label, build_elements, embed_elements, label_prompt
 from ..operators.ingest import embed_text, index_rows, ingest, ingest_guard, ingest_report
+from ..operators.pages import page_images, page_text
 from ..operators.prompts import build_context, build_prompts, format_sources
 from ..operators.search import index_dim, knn_join, lookup_payload, search_status
 from ..functions.text import is_blank
 from ..functions.vectors import has_non_zero
-from ..operators.model import MAX_FAILED
+from ..operators.model import MAX_FAILED, try_model
 from ..schema import ELEMENT
 from ..sources import io
-from ..sources.scratch import cut_lineage
+from ..sources.images import attach_images
+from ..sources.scratch import cut_lineage, settle
 
 Model = Callable[[list], list] | None
 
 
+def model_labels(pages: DataFrame, files: DataFrame, fn: Callable[[list], list], profile: str = "v2", max_failed: float = MAX_FAILED) -> DataFrame:
+    """``labels(image_url, label)`` of all images with bytes, as a model names them.
+
+    ``fn`` gets a list of ``{"prompt", "image_base64"}`` and returns as many labels. Each image is asked for once, with
+    the text of the page of the smallest url that shows it. One for which the model failed is labelled so; if it failed for
+    more than ``max_failed`` of them this raises. Of page texts only the start that the prompt shows moves.
+    """
+    once = page_images(pages).where("image_url <> ''").groupBy("image_url").agg(F.min("url").alias("url"))
+    shown = attach_images(once, files).where("image_base64 <> ''")
+    starts = page_text(pages, profile).select("url", F.left("text", F.lit(CONTEXT_CHARS + 1)).alias("context"))
+    asked = shown.join(starts.groupBy("url").agg(F.min("context").alias("context")), "url", "left")
+    prompt = label_prompt(F.coalesce("context", F.lit("")), F.col("image_base64"))
+    question = F.struct(prompt.alias("prompt"), F.col("image_base64").alias("image_base64"))
+    done = settle(asked.select("image_url", try_model(fn, question, "string").alias("found")), "labels")
+    seen = done.agg(F.count("*").alias("asked"), F.count("found.error").alias("failed"), F.max("found.error").alias("error")).first()
+    if seen["failed"] > max_failed * seen["asked"]:
+        raise RuntimeError(f"the model failed for {seen['failed']} of {seen['asked']} images: {seen['error']}")
+    named = F.when(F.col("found.error").isNotNull(), FAILED_LABEL).otherwise(asked_label(F.col("found.value"), F.lit("asked")))
+    return done.select("image_url", named.alias("label"))
+
+
 def pages_to_elements(
     pages: DataFrame,
     dim: int,
@@ -27,8 +50,18 @@ def pages_to_elements(
     profile: str = "v2",
     files: DataFrame | None = None,
     labels: DataFrame | None = None,
+    label_fn: Model = None,
 ) -> DataFrame:
-    """Elements of landed pages, with vectors. ``files(url, content)`` and ``labels(image_url, label)`` are optional."""
+    """Elements of landed pages, with vectors. ``files(url, content)`` and ``labels(image_url, label)`` are optional.
+
+    With ``files``, ``label_fn`` names the images (``model_labels``) for which ``labels`` has none.
+    """
+    if label_fn is not None and files is not None:
+        if labels is None:
+            labels = model_labels(pages, files, label_fn, profile)
+        else:
+            others = files.join(labels.select(F.col("image_url").alias("url")), "url", "left_anti")
+            labels = labels.select("image_url", "label").unionByName(model_labels(pages, others, label_fn, profile))
     return embed_elements(build_elements(pages, files, labels, profile), dim, fn)
 
 

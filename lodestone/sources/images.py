@@ -42,12 +42,16 @@ def read_image_files(spark: SparkSession, path: str) -> DataFrame:
 def attach_images(images: DataFrame, files: DataFrame) -> DataFrame:
     """Add ``image_base64`` and ``image_mime_type`` from ``files(url, content)``; null where the file is missing.
 
-    Bytes are encoded before the join, once per file. A picture that half the web shows makes a hot key on the left
-    side of an outer join, which AQE splits.
+    If the files have a column ``mime_type``, what the server said, it goes before the ending of the url; null or blank
+    counts as not said. Bytes are encoded before the join, once per file. A picture that half the web shows makes a hot key
+    on the left side of an outer join, which AQE splits.
     """
-    one = files.groupBy("url").agg(F.max("content").alias("content"))  # a file landed twice is one file
-    payload = one.select(F.col("url").alias("image_url"), base64_text(F.col("content")).alias("image_base64"))
-    found = F.col("image_base64").isNotNull()
-    return images.join(payload, "image_url", "left").withColumn(
-        "image_mime_type", F.when(found, mime_type(F.col("image_url")))
+    said = F.trim("mime_type") if "mime_type" in files.columns else F.lit(None).cast("string")
+    landed = files.select("url", F.struct("content", F.when(said != "", said).alias("said")).alias("file")).where("content is not null")
+    one = landed.groupBy("url").agg(F.max("file").alias("file"))  # a file landed twice is one file
+    payload = one.select(
+        F.col("url").alias("image_url"), base64_text(F.col("file.content")).alias("image_base64"), F.col("file.said").alias("_said")
     )
+    found = F.col("image_base64").isNotNull()
+    kind = F.when(found, F.coalesce("_said", mime_type(F.col("image_url"))))
+    return images.join(payload, "image_url", "left").withColumn("image_mime_type", kind).drop("_said")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import elements as E
 from lodestone.operators import pages as P
+from lodestone.plans import flows
 from lodestone.schema import ELEMENT
 from lodestone.sources import images as I
 from lodestone.sources import io
@@ -57,6 +58,38 @@ def test_images_with_bytes_and_labels(spark, pages, tmp_path):
     assert rows["c.bin"].text is None and rows["c.bin"].metadata.image_mime_type is None
 
 
+def test_landed_media_type_goes_before_the_ending(spark):
+    images = spark.createDataFrame([("u", i, f"http://t/{n}", "") for i, n in enumerate(("a.png", "b.png", "c", "d"))], "url string, image_no int, image_url string, alt string")
+    rows = [("http://t/a.png", b"1", "image/webp"), ("http://t/b.png", b"2", " "), ("http://t/c", b"3", "image/gif"), ("http://t/d", None, "image/gif")]
+    got = I.attach_images(images, spark.createDataFrame(rows, "url string, content binary, mime_type string")).collect()
+    assert {r.image_url[9:]: r.image_mime_type for r in got} == {"a.png": "image/webp", "b.png": "image/png", "c": "image/gif", "d": None}
+
+
+def test_a_model_labels_images(spark, pages):
+    page = pages("<p>some words about gears</p><img src=a.png alt=A><img src=b.png alt=B><img src=c.png alt=C><img src=d.png alt=D><img src=a.png>")
+    urls = sorted({r.image_url for r in P.page_images(page).collect()})
+    files = spark.createDataFrame([(u, bytes([65 + i])) for i, u in enumerate(urls[:3])], "url string, content binary")
+
+    def name(asked):
+        for a in asked:
+            if a["image_base64"] == "Qg==":
+                raise ValueError("no idea")
+            assert "some words about gears" in a["prompt"]
+        return [f" label of {a['image_base64']} " for a in asked]
+
+    found = {r.image_url: r.label for r in flows.model_labels(page, files, name).collect()}
+    assert found == {urls[0]: "label of QQ==", urls[1]: "Classification Error", urls[2]: "label of Qw=="}
+    given = spark.createDataFrame([(urls[1], "Given")], "image_url string, label string")
+    rows = flows.pages_to_elements(page, 8, files=files, labels=given, label_fn=name).where("metadata.filetype = 'image'").collect()
+    assert sorted(r.text for r in rows) == ["D", "Given", "label of QQ==", "label of QQ==", "label of Qw=="]
+
+    def dead(asked):
+        raise ValueError("down")
+
+    with pytest.raises(RuntimeError, match="failed for 3 of 3"):
+        flows.model_labels(page, files, dead)
+
+
 def test_guard_and_profile(spark, pages):
     plain = E.build_elements(pages(GEAR))
     with pytest.raises(PySparkException, match="no element has an embedding"):
