@@ -11,8 +11,9 @@ from ..functions.urls import resolve_url
 from ..schema import ELEMENT
 from ..sources.images import attach_images
 from .ingest import embedding_of, hash_id
+from .model import map_model
 from .pages import cleaned, page_images, with_blocks, with_images, with_tables
-from .tables import parse_tables, questions_of, sentences_of
+from .tables import parse_tables, questions_of, recover_json_rows, sentences_of
 
 # The type of every element, and the instruction given with an image.
 TYPE = "CompositeElement"
@@ -213,9 +214,13 @@ def build_elements(
     files: DataFrame | None = None,
     labels: DataFrame | None = None,
     profile: str = "v2",
+    table_fn: Callable[[list], list] | None = None,
 ) -> DataFrame:
     """Elements of all kinds of landed pages, in no promised order.
 
+    ``table_fn`` is a model that gets the markup of tables and answers with text that holds their rows as JSON. A table
+    for which it fails, or whose answer holds no rows, keeps the rows read from its markup.
+
     Pages are scanned once and nothing shuffles. Only if ``files(url, content)`` or ``labels(image_url, label)`` are
     to be joined do the images come from a scan of their own.
     """
@@ -227,6 +232,9 @@ def build_elements(
     if profile == "v1":
         return items.select(F.inline(text))
     rows = parse_tables(items)
+    if table_fn is not None:
+        answered = recover_json_rows(map_model(table_fn, F.col("table_html"), "string"))
+        rows = rows.withColumn("table_rows", F.coalesce(answered, "table_rows"))
     table = [url, no, F.col("table_html"), F.col("table_rows")]
     image_url = resolve_url(url, F.col("src"))
     elements = rows.select(

@@ -51,10 +51,12 @@ def pages_to_elements(
     files: DataFrame | None = None,
     labels: DataFrame | None = None,
     label_fn: Model = None,
+    table_fn: Model = None,
 ) -> DataFrame:
     """Elements of landed pages, with vectors. ``files(url, content)`` and ``labels(image_url, label)`` are optional.
 
-    With ``files``, ``label_fn`` names the images (``model_labels``) for which ``labels`` has none.
+    With ``files``, ``label_fn`` names the images (``model_labels``) for which ``labels`` has none; ``table_fn``
+    reads the rows of tables (``build_elements``).
     """
     if label_fn is not None and files is not None:
         if labels is None:
@@ -62,7 +64,7 @@ def pages_to_elements(
         else:
             others = files.join(labels.select(F.col("image_url").alias("url")), "url", "left_anti")
             labels = labels.select("image_url", "label").unionByName(model_labels(pages, others, label_fn, profile))
-    return embed_elements(build_elements(pages, files, labels, profile), dim, fn)
+    return embed_elements(build_elements(pages, files, labels, profile, table_fn), dim, fn)
 
 
 def elements_to_index(elements: DataFrame, dim: int, fn: Model = None) -> DataFrame:

@@ -90,6 +90,19 @@ def test_a_model_labels_images(spark, pages):
         flows.model_labels(page, files, dead)
 
 
+def test_a_model_reads_tables(pages):
+    table = "<table><tr><th>Model</th></tr><tr><td>{}</td></tr></table>"
+    page = pages("<p>text</p>" + "".join(table.format(x) for x in ("one", "none", "fails")))
+
+    def rows(markup):
+        if any("fails" in m for m in markup):
+            raise ValueError("no")
+        return ["no rows here" if "none" in m else 'Rows: [{"Name": "from the model"}]' for m in markup]
+
+    done = flows.pages_to_elements(page, 8, table_fn=rows).where("metadata.filetype = 'table/html'").collect()
+    assert sorted(r.text for r in done) == ["Model: fails", "Model: none", "Name: from the model"]
+
+
 def test_guard_and_profile(spark, pages):
     plain = E.build_elements(pages(GEAR))
     with pytest.raises(PySparkException, match="no element has an embedding"):
