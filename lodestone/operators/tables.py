@@ -162,13 +162,15 @@ def recover_json_rows(text: Column, profile: str = "v2") -> Column:
     parsed = F.from_json(F.concat(F.lit('{"v":'), found, F.lit("}")), "v array<string>, bad string", strict)
 
     def row(obj: Column) -> Column:
-        values = F.map_entries(F.from_json(obj, "map<string,string>"))
-        return F.transform(
-            F.array_distinct(F.json_object_keys(obj)),
-            lambda k: F.struct(
-                k.alias("k"), F.element_at(F.filter(values, lambda e: e["key"] == k), -1)["value"].alias("v")
-            ),
-        )
+        def entries(values: Column) -> Column:
+            return F.transform(
+                F.array_distinct(F.json_object_keys(obj)),
+                lambda k: F.struct(
+                    k.alias("k"), F.element_at(F.filter(values, lambda e: e["key"] == k), -1)["value"].alias("v")
+                ),
+            )
+
+        return let(F.map_entries(F.from_json(obj, "map<string,string>")), entries)
 
     def rows(p: Column) -> Column:
         objects = p["v"]

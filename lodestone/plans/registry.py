@@ -691,7 +691,7 @@ def write_read_arrays(spark, sf):
     rows = F.transform(meta["table_json"], lambda r: F.map_from_entries(r))
     raw = elements.withColumn("metadata", meta.withField("table_json", rows).withField("row_data", F.map_from_entries(meta["row_data"])))
     arrays = raw.groupBy("metadata.source_url").agg(F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    arrays.select("value").write.options(maxRecordsPerFile=1, compression="gzip").text(path)
     back = io.read_elements(spark, path)
     return back.select(
         "element_id",

@@ -25,6 +25,8 @@ __all__ = [
 
 PAGE = "url string, html string"
 STORED_ELEMENT = StructType([*ELEMENT.fields]).add("filetype", "string")
+NO_LINE = "\u0000"  # ends no line: JSON in UTF-8 cannot hold it
+ROWS_A_FILE = 100_000  # of compressed lines, which one task reads
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -52,19 +54,28 @@ def _settled(df: DataFrame) -> DataFrame:
 def read_elements(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Element files: ``json`` (one array per file), or ``jsonl`` and ``parquet`` as ``write_elements`` leaves them.
 
-    An array file is read whole by one task; large sets belong in the other two, which are split. A broken file fails
-    the read.
+    An array file, of UTF-8 and under 2 GB, is read whole by one task; large sets belong in the other two, which are split
+    or dealt to several files. A broken file or one of another encoding fails the read.
     """
     if fmt == "json":
-        return _settled(spark.read.schema(ELEMENT_RAW).options(multiLine=True, mode="FAILFAST").json(path))
+        # Read as one line, the raw texts of the varying fields are cut from it; multiLine goes back to the file for each.
+        return _settled(spark.read.schema(ELEMENT_RAW).options(lineSep=NO_LINE, mode="FAILFAST").json(path))
     reader = spark.read.schema(STORED_ELEMENT).format("json" if fmt == "jsonl" else fmt).option("mode", "FAILFAST")
     return reader.load(path).select(*ELEMENT.fieldNames())
 
 
 def write_elements(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """Elements as ``parquet`` or ``jsonl``, in one folder per element type."""
+    """Elements as ``parquet`` or ``jsonl``, in one folder per element type.
+
+    The questions of a table all carry its markup, so lines are compressed (gzip), in files of at most ``ROWS_A_FILE``.
+    """
     by_type = df.withColumn("filetype", F.coalesce("metadata.filetype", F.lit("none")))
-    by_type.write.mode(mode).partitionBy("filetype").format("json" if fmt == "jsonl" else fmt).save(path)
+    writer = by_type.write.mode(mode).partitionBy("filetype")
+    if fmt == "jsonl":
+        writer = writer.format("json").options(compression="gzip", maxRecordsPerFile=ROWS_A_FILE)
+    else:
+        writer = writer.format(fmt)
+    writer.save(path)
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -192,3 +194,25 @@ def test_no_bytes_no_question(spark):
     rows = df.select(E.label_prompt(F.col("c"), F.col("b")).alias("p"), E.asked_label(F.col("a"), F.col("b")).alias("l")).collect()
     assert [r.p is None for r in rows] == [True, True, False]
     assert [r.l for r in rows] == ["Unknown Image", "Unknown Image", "Gear"]
+
+
+ARRAY = '[{"element_id": "1", "metadata": {"filename": 7.10, "row_data": {"b": 1.50, "a": "ü"}, "table_json": [{"z": 1e5}]}},\r\n {"element_id": "2"}]'
+
+
+def test_array_files_read_alike_however_stored(spark, tmp_path):
+    for name, data in (("plain.json", ARRAY.encode()), ("mark.json", b"\xef\xbb\xbf" + ARRAY.encode())):
+        (tmp_path / name).write_bytes(data)
+        (tmp_path / f"{name}.gz").write_bytes(gzip.compress(data))
+    (tmp_path / "none.json").write_bytes(b"")
+    names = ["plain.json", "plain.json.gz", "mark.json", "mark.json.gz"]
+    read = [io.read_elements(spark, str(tmp_path / n)).collect() for n in names]
+    assert read[0][0].metadata.filename == "7.10" and len(read[0]) == 2
+    assert all(r == read[0] for r in read)
+    assert io.read_elements(spark, str(tmp_path / "none.json")).collect() == []
+
+
+def test_array_file_of_another_encoding_fails(spark, tmp_path):
+    for name in ("utf-16", "utf-16-le", "utf-16-be"):
+        (tmp_path / name).write_bytes(ARRAY.encode(name))
+        with pytest.raises(Exception, match=r"(?i)malformed|FAILED_READ_FILE"):
+            io.read_elements(spark, str(tmp_path / name)).collect()
