@@ -216,3 +216,16 @@ def test_array_file_of_another_encoding_fails(spark, tmp_path):
         (tmp_path / name).write_bytes(ARRAY.encode(name))
         with pytest.raises(Exception, match=r"(?i)malformed|FAILED_READ_FILE"):
             io.read_elements(spark, str(tmp_path / name)).collect()
+
+
+def test_stored_lines_are_compressed_in_bounded_files(spark, pages, tmp_path, monkeypatch):
+    monkeypatch.setattr(io, "ROWS_A_FILE", 40)
+    rows = "".join(f"<tr><td>M{i}</td><td>{i}</td><td>name {i}</td></tr>" for i in range(60))
+    df = E.build_elements(pages(f"<table><tr><th>Model</th><th>N</th><th>Name</th></tr>{rows}</table>"))
+    io.write_elements(df, str(tmp_path / "e"), "jsonl")
+    files = list((tmp_path / "e").glob("filetype=table_row_query/part-*"))
+    raw = [gzip.decompress(f.read_bytes()) for f in files]
+    assert max(r.count(b"\n") for r in raw) <= 40 and sum(r.count(b"\n") for r in raw) == 180
+    assert 10 * sum(f.stat().st_size for f in files) < sum(map(len, raw))
+    key = lambda r: r.element_id
+    assert sorted(io.read_elements(spark, str(tmp_path / "e"), "jsonl").collect(), key=key) == sorted(df.collect(), key=key)
