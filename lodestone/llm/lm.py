@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ BATCH = 4 << 20
 END = np.uint64(0x656E642D6F66)  # stands for the end of a text
 PART = 4096  # weights in a row while copies are averaged
 _TIER = 8  # steps of counts to a power of two
+_TRIES = 16  # words looked at one by one before a search
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -61,8 +63,10 @@ def counted(train: DataFrame) -> DataFrame:
             if not found:
                 continue
             for h, lead in found:
-                names, first, count = np.unique(h, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(lead[first].astype(np.int16)), pa.array(count)], ["word", "bucket", "c"])
+                names, count = np.unique(h, return_counts=True)
+                bucket = np.empty(len(names), dtype=np.int16)
+                bucket[Places(names).find(h)] = lead
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(bucket), pa.array(count)], ["word", "bucket", "c"])
 
     rows = train.select("text").mapInArrow(work, "word bigint, bucket smallint, c bigint")
     return rows.groupBy("word").agg(F.max("bucket").alias("bucket"), F.sum("c").alias("c"))
@@ -89,27 +93,54 @@ class Vocabulary:
     total: int
     distinct: int
 
+    @cached_property
+    def places(self) -> tuple[Places, Places]:
+        return Places(self.net), Places(self.words)
+
     def ids(self, h: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Network id of each token, and its place among ``net`` (-1: it goes by its bucket)."""
-        place = _find(self.net, h)
+        place = self.places[0].find(h)
         return np.where(place >= 0, self.net_ids[place], self.bucket_ids[lead]), place
 
     def look(self, h: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count of each token, and whether it is known here. ``place`` as ``ids`` gives it."""
         c, known = self.net_counts[place], place >= 0
         other = np.flatnonzero(~known)
-        at = _find(self.words, h[other])
+        at = self.places[1].find(h[other])
         c[other] = np.where(at >= 0, self.counts[at] if len(self.counts) else 0, 0)
         known[other] = at >= 0
         return c, known
 
 
-def _find(words: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Place of each token in sorted ``words``, -1 if it is not there."""
-    if not len(words):
-        return np.full(len(h), -1)
-    place = np.minimum(np.searchsorted(words, h), len(words) - 1)
-    return np.where(words[place] == h, place, -1)
+class Places:
+    """Places of tokens in sorted ``words``: their leading bits tell where to look, since hashes are spread evenly."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        bits = max(1, int(len(words)).bit_length() + 1)
+        self.words, self.shift = words, np.uint64(64 - bits)
+        held = np.bincount((words >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.minimum(np.cumsum(held) - held, max(len(words) - 1, 0)).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each token, -1 if it is not there."""
+        if not len(self.words):
+            return np.full(len(h), -1)
+        place = self.first[(h >> self.shift).view(np.int64)].astype(np.int64)
+        found = self.words[place]
+        behind = np.flatnonzero(found < h)
+        for _ in range(_TRIES):
+            behind = behind[place[behind] < len(self.words) - 1]
+            if not len(behind):
+                break
+            place[behind] += 1
+            found[behind] = now = self.words[place[behind]]
+            behind = behind[now < h[behind]]
+        else:
+            # Words crowded on the same bits.
+            place[behind] = np.minimum(np.searchsorted(self.words, h[behind]), len(self.words) - 1)
+            found[behind] = self.words[place[behind]]
+        place[found != h] = -1
+        return place
 
 
 def vocabulary(counts: DataFrame, size: int = VOCABULARY, classes: int = CLASSES, local: int = LOCAL) -> Vocabulary:
@@ -157,7 +188,43 @@ def vocabulary(counts: DataFrame, size: int = VOCABULARY, classes: int = CLASSES
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * 0.5) * 0.5 + 0.5
+    """In the place of ``x``."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def _started(h: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """``h`` with nothing in the lanes that start anew."""
+    anew = np.flatnonzero(fresh)
+    if len(anew):
+        h = h.copy()
+        h[anew] = 0
+    return h
+
+
+def _sums(s: np.ndarray) -> np.ndarray:
+    """Sums of columns, added in the order in which NumPy adds up a row, pair by pair: the same to the last bit."""
+    n = len(s)
+    if n > 128:
+        half = n // 2 - n // 2 % 8
+        return _sums(s[:half]) + _sums(s[half:])
+    if n < 8:
+        return s.sum(axis=0)
+    part = s[: n - n % 8].reshape(-1, 8, s.shape[1]).sum(axis=0)
+    for _ in range(3):
+        part = part[::2] + part[1::2]
+    total = part[0]
+    for row in s[n - n % 8 :]:
+        total = total + row
+    return total
+
+
+def _small(n: int) -> type:
+    """A type for numbers below ``n``; stable sorts of short integers go by digits."""
+    return np.uint16 if n <= 1 << 16 else np.int64
 
 
 class Gru:
@@ -174,7 +241,7 @@ class Gru:
         self.w["b"] = np.zeros(3 * hidden, dtype=np.float32)
         self.w["bc"] = np.log(part / part.sum()).astype(np.float32)
         self.w["bo"] = np.log(frequency / np.repeat(part, np.diff(edges))).astype(np.float32)
-        self.of = np.repeat(np.arange(k), np.diff(edges))
+        self.of = np.repeat(np.arange(k), np.diff(edges)).astype(_small(k))
         self.square = {n: np.full_like(a, 1e-3) for n, a in self.w.items()}
 
     def flat(self) -> np.ndarray:
@@ -190,54 +257,72 @@ class Gru:
     def states(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
         """States after each step (``steps x lanes x hidden``); ``fresh`` lanes start from nothing at that step."""
         d, u, b = len(self.w["u"]), self.w["u"], self.w["b"]
-        out, trail = np.empty((*inputs.shape, d), dtype=np.float32), []
-        gates = self.w["x"][inputs] + b
+        out, trail = np.empty((*inputs.shape, d), dtype=u.dtype), []
+        gates = (self.w["x"] + b).take(inputs, axis=0)
         for t in range(len(inputs)):
-            h = h * ~fresh[t][:, None]
+            h = _started(h, fresh[t])
             a = h @ u
-            rz = _sigmoid(gates[t][:, : 2 * d] + a[:, : 2 * d])
-            r, z = rz[:, :d], rz[:, d:]
-            n = np.tanh(gates[t][:, 2 * d :] + r * a[:, 2 * d :])
+            gate = gates[t]
+            # Each gate in an array of its own: what follows then runs over whole arrays, not 16 numbers at a time.
+            r = _sigmoid(gate[:, :d] + a[:, :d])
+            z = _sigmoid(gate[:, d : 2 * d] + a[:, d : 2 * d])
+            an = a[:, 2 * d :].copy()
+            n = r * an
+            n += gate[:, 2 * d :]
+            np.tanh(n, out=n)
             if keep:
-                trail.append((h, r, z, n, a[:, 2 * d :]))
-            h = (1 - z) * n + z * h
-            out[t] = h
+                trail.append((h, r, z, n, an))
+            new = np.subtract(1, z)
+            new *= n
+            h = np.add(new, z * h, out=out[t])
         return out, trail
 
+    def _by_class(self, k: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+        """The order that sorts classes ``k``, and for each class to be told apart: its stretch there, and its words."""
+        cuts = np.append(0, np.cumsum(np.bincount(k, minlength=len(self.edges) - 1)))
+        found = zip(cuts[:-1], cuts[1:], self.edges[:-1], self.edges[1:], strict=True)
+        return np.argsort(k, kind="stable"), [(a, b, lo, hi) for a, b, lo, hi in found if a < b and hi - lo > 1]
+
     def output(self, h: np.ndarray, y: np.ndarray, grad: bool = False):
         """Natural log probability of each ``y`` after state ``h``; with ``grad`` also what the weights and ``h`` get."""
         w, k = self.w, self.of[y]
-        rows = np.arange(len(y))
-        s = h @ w["wc"] + w["bc"]
-        s -= s.max(axis=1, keepdims=True)
-        e = np.exp(s)
-        total = e.sum(axis=1)
-        log = s[rows, k] - np.log(total)
+        columns, at = np.ascontiguousarray(h.T), np.arange(len(y))
+
+        def chosen(s: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+            # A column for each of ``y``: largest values and sums then run along whole rows.
+            s -= s.max(axis=0)
+            log = s[row, at[: len(row)]]
+            e = np.exp(s, out=s)
+            total = _sums(e)
+            log -= np.log(total)
+            if not grad:
+                return log, None
+            e /= total
+            e[row, at[: len(row)]] -= 1
+            return log, np.ascontiguousarray(e.T)
+
         g, dh = {}, None
+        log, dc = chosen(w["wc"].T @ columns + w["bc"][:, None], k)
         if grad:
-            dc = e / total[:, None]
-            dc[rows, k] -= 1
             g["wc"], g["bc"], dh = h.T @ dc, dc.sum(axis=0), dc @ w["wc"].T
             g["wo"], g["bo"] = np.zeros_like(w["wo"]), np.zeros_like(w["bo"])
+        # Sorted by class once, so that each class is a stretch.
         order = np.argsort(k, kind="stable")
-        cuts = np.searchsorted(k[order], np.arange(len(self.edges)))
-        for c in range(len(self.edges) - 1):
-            mine = order[cuts[c] : cuts[c + 1]]
-            lo, hi = self.edges[c], self.edges[c + 1]
-            if not len(mine) or hi - lo == 1:
+        cuts = np.append(0, np.cumsum(np.bincount(k, minlength=len(self.edges) - 1)))
+        columns, inside, log_word = columns.take(order, axis=1), y[order], np.zeros_like(log)
+        states = h.take(order, axis=0) if grad else None
+        dh_word = np.zeros_like(states) if grad else None
+        for a, b, lo, hi in zip(cuts[:-1], cuts[1:], self.edges[:-1], self.edges[1:], strict=True):
+            if a == b or hi - lo == 1:
                 continue
-            hm = h[mine]
-            s = hm @ w["wo"][lo:hi].T + w["bo"][lo:hi]
-            s -= s.max(axis=1, keepdims=True)
-            e = np.exp(s)
-            total = e.sum(axis=1)
-            at, inside = np.arange(len(mine)), y[mine] - lo
-            log[mine] += s[at, inside] - np.log(total)
+            wo = w["wo"][lo:hi]
+            log_word[a:b], e = chosen(wo @ columns[:, a:b] + w["bo"][lo:hi, None], inside[a:b] - lo)
             if grad:
-                e /= total[:, None]
-                e[at, inside] -= 1
-                g["wo"][lo:hi], g["bo"][lo:hi] = e.T @ hm, e.sum(axis=0)
-                dh[mine] += e @ w["wo"][lo:hi]
+                g["wo"][lo:hi], g["bo"][lo:hi] = e.T @ states[a:b], e.sum(axis=0)
+                dh_word[a:b] = e @ wo
+        log[order] += log_word
+        if grad:
+            dh[order] += dh_word
         return (log, g, dh) if grad else log
 
     def gradient(self, h: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, y: np.ndarray, valid: np.ndarray):
@@ -245,7 +330,7 @@ class Gru:
         d, u = len(self.w["u"]), self.w["u"]
         out, trail = self.states(h, inputs, fresh, keep=True)
         some = np.flatnonzero(valid.ravel())
-        log, g, part = self.output(out.reshape(-1, d)[some], y.ravel()[some], grad=True)
+        log, g, part = self.output(out.reshape(-1, d).take(some, axis=0), y.ravel()[some], grad=True)
         dh_out = np.zeros((inputs.size, d), dtype=np.float32)
         dh_out[some] = part
         dh_out = dh_out.reshape(out.shape)
@@ -254,19 +339,32 @@ class Gru:
         for t in reversed(range(len(inputs))):
             before, r, z, n, an = trail[t]
             dh = dh + dh_out[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * an * r * (1 - r)
-            dg[t] = np.concatenate([dr, dz, dn], axis=1)
-            da = np.concatenate([dr, dz, dn * r], axis=1)
+            rest = 1 - z
+            dn = dh * rest
+            dn *= 1 - n * n
+            dz = before - n
+            dz *= dh
+            dz *= z
+            dz *= rest
+            dr = dn * an
+            dr *= r
+            dr *= 1 - r
+            of, da = dg[t], np.empty((len(dh), 3 * d), dtype=dg.dtype)
+            of[:, :d], of[:, d : 2 * d], of[:, 2 * d :] = dr, dz, dn
+            da[:, : 2 * d] = of[:, : 2 * d]
+            da[:, 2 * d :] = dn * r
             g["u"] += before.T @ da
-            dh = (dh * z + da @ u.T) * ~fresh[t][:, None]
+            dh *= z
+            dh += da @ u.T
+            dh = _started(dh, fresh[t])
         flat, ids = dg.reshape(-1, 3 * d), inputs.ravel()
         g["b"] = flat.sum(axis=0)
+        ids = ids.astype(_small(len(self.w["x"])))
         order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+        sorted_ids = ids[order]
+        first = np.flatnonzero(np.append(True, sorted_ids[1:] != sorted_ids[:-1]))
         g["x"] = np.zeros_like(self.w["x"])
-        g["x"][ids[order][first]] = np.add.reduceat(flat[order], first)
+        g["x"][sorted_ids[first]] = np.add.reduceat(flat.take(order, axis=0), first)
         return -float(log.sum()), g, out[-1]
 
     def step(self, g: dict[str, np.ndarray], n: int, rate: float) -> None:
@@ -402,7 +500,7 @@ def scores(docs: DataFrame, hidden: int = HIDDEN) -> DataFrame:
                 for live, inputs, fresh, y, valid, at in windows(ids, first, v.end):
                     out, _ = model.states(state[:live], inputs, fresh)
                     some = np.flatnonzero(valid.ravel())
-                    log[at.ravel()[some]] = model.output(out.reshape(-1, hidden)[some], y.ravel()[some])
+                    log[at.ravel()[some]] = model.output(out.reshape(-1, hidden).take(some, axis=0), y.ravel()[some])
                     state[:live] = out[-1]
                 rare_at = np.flatnonzero(~known)
                 text = np.repeat(np.arange(b - a), np.diff(first))

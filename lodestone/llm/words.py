@@ -36,12 +36,14 @@ def salts(n: int, seed: int) -> np.ndarray:
 
 
 _BYTE = salts(256, 1)[_LOWER]  # a number for each byte, the same for either case
-_POWERS = np.multiply.accumulate(np.full(256, _ODD, dtype=np.uint64))
+_STRETCH = 1 << 14  # bytes hashed at a time
+_INVERSE_ODD = np.uint64(pow(int(_ODD), -1, 1 << 64))
+_POWERS, _INVERSE = (np.multiply.accumulate(np.full(_STRETCH + 1, x, dtype=np.uint64)) for x in (_ODD, _INVERSE_ODD))
 
 
-def powers(n: int) -> np.ndarray:
+def powers(n: int, of: np.uint64 = _ODD) -> np.ndarray:
     """At least ``n`` powers of an odd number."""
-    return _POWERS if n <= len(_POWERS) else np.multiply.accumulate(np.full(n, _ODD, dtype=np.uint64))
+    return _POWERS if of == _ODD and n <= len(_POWERS) else np.multiply.accumulate(np.full(n, of, dtype=np.uint64))
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -80,12 +82,22 @@ class Words:
         """A 64-bit number for each word, equal for equal words in any case of A-Z."""
         if not len(self.start):
             return np.zeros(0, dtype=np.uint64)
-        size = self.end - self.start
-        begin = np.cumsum(size) - size
-        inside = np.arange(int(size.sum())) - np.repeat(begin, size)
-        body = _BYTE[self.data[inside + np.repeat(self.start, size)]]
-        body *= powers(int(size.max()))[inside]
-        return mix(np.add.reduceat(body, begin) + size.astype(np.uint64))
+        out = np.empty(len(self.start), dtype=np.uint64)
+        lo = 0
+        while lo < len(out):
+            # Stretches of words that stay in the cache, byte by byte; a long word makes a stretch of its own.
+            at = self.start[lo]
+            hi = max(lo + 1, int(np.searchsorted(self.end, at + _STRETCH, side="right")))
+            start, end = self.start[lo:hi] - at, self.end[lo:hi] - at
+            body = np.append(_BYTE[self.data[at : at + end[-1]]], _ODD)
+            # Powers run on through the stretch; a word's are brought back to its first byte by the inverse.
+            body *= powers(len(body))[: len(body)]
+            edges = np.column_stack([start, end]).ravel()
+            inverse = _INVERSE if len(body) <= _STRETCH + 1 else powers(len(body), _INVERSE_ODD)
+            sums = np.add.reduceat(body, edges)[::2] * np.where(start > 0, inverse[start - 1], np.uint64(1))
+            out[lo:hi] = mix(sums + (end - start).astype(np.uint64))
+            lo = hi
+        return out
 
 
 def split(texts: pa.Array, space: np.ndarray = _SPACE) -> Words:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -16,6 +17,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontamination, license_scan, lm, near_dup, pieces, quality, queries, secret_scan, sharding, token_counts, topk
+from lodestone.llm import words as W
 
 SF = "/root/testdata/sf0.01"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -532,3 +534,51 @@ def test_ranges_grow_with_the_rows(spark, monkeypatch):
     sizes = many.groupBy("shard").agg({"size": "sum", "slot": "max", "*": "count"}).collect()
     assert len(sizes) == 4 and all(r["max(slot)"] == r["count(1)"] - 1 for r in sizes)
     assert max(r["sum(size)"] for r in sizes) - min(r["sum(size)"] for r in sizes) <= 100
+
+
+def test_lm_places_of_words():
+    rng = np.random.default_rng(5)
+    spread = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    crowded = np.uint64(77 << 40) + np.arange(0, 900, 3, dtype=np.uint64)
+    ends = np.array([0, 1, (1 << 64) - 1], dtype=np.uint64)
+    for some in (spread, crowded, np.concatenate([spread, crowded, ends]), ends[:1], ends[:0]):
+        held = np.unique(some)
+        asked = np.concatenate([some, some + np.uint64(1), some - np.uint64(1), spread[:50], ends])
+        want = {x: i for i, x in enumerate(held.tolist())}
+        assert lm.Places(held).find(asked).tolist() == [want.get(x, -1) for x in asked.tolist()]
+
+
+def test_lm_output_keeps_the_bits_of_sums_by_row():
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 8, 9, 31, 34, 103, 128, 129, 300):
+        e = np.exp(rng.normal(0, 2, (50, n))).astype(np.float32)
+        assert (lm._sums(np.ascontiguousarray(e.T)) == e.sum(axis=1)).all()
+    net = lm.Gru(np.array([0, 1, 3, 3 + 40]), rng.integers(1, 99, 43).astype(float), 8)
+    net.w = {k: rng.normal(0, 0.5, w.shape).astype(np.float32) for k, w in net.w.items()}
+    h, y = rng.normal(0, 1, (500, 8)).astype(np.float32), rng.integers(0, 43, 500)
+    assert (net.output(h, y) == net.output(h, y, grad=True)[0]).all()
+    assert np.allclose(sum(np.exp(net.output(h, np.full(500, i))) for i in range(43)), 1, atol=1e-4)
+
+
+def test_word_hashes_in_long_texts():
+    rng = np.random.default_rng(7)
+    long = ["x" * n for n in (W._STRETCH - 1, W._STRETCH, W._STRETCH + 1, 100_000)]
+    texts = ["", None, " ", "aB", "Ab aB", "é\tZ", f"{long[0]} b {long[1]} c", " ".join(long), "".join(rng.choice(list("ab \n"), 60_000))]
+
+    def plain(word):
+        total = sum(int(W._BYTE[b]) * pow(int(W._ODD), i + 1, 1 << 64) for i, b in enumerate(word))
+        return int(W.mix(np.array([(total + len(word)) % (1 << 64)], dtype=np.uint64))[0])
+
+    w = W.split(pa.array(texts, pa.string()))
+    every = [m for t in texts for m in re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())]
+    known = {m: plain(m) for m in set(every)}
+    assert w.hashes().tolist() == [known[m] for m in every]
+
+
+def test_word_hashes_take_little_memory():
+    w = W.split(pa.array(["some words of a text " * 50_000]))
+    tracemalloc.start()
+    w.hashes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(w.data)
