@@ -16,18 +16,33 @@ from lodestone.llm.base import read, settle
 
 TOKENIZER = "piece_bpe_32k.model"
 SHINGLE = 5
+ROWS = 2048  # in a batch that goes to Python, at most
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Lower the session's batches to ``ROWS`` rows: a batch of whole texts is held several times over by the executor and its workers.
+
+    The setting stays, since what a stage returns runs later; a lower one is left as it is. Rows do not depend on it; quality
+    scores are sums that go on through a batch, so it may show in their last digits.
+    """
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= ROWS:
+        spark.conf.set(BATCH_ROWS, str(ROWS))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark)
     slim = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("text"))
     return quality.scored(slim, quality.train(docs)).where("good").select("_row.*")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark)
     return near_dup.deduplicated(docs, width=SHINGLE)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark)
     return decontamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -39,6 +54,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded(spark)
     encoded = pieces.encoded(docs, public_tokenizers.path(TOKENIZER))
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 

@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from . import words as W
 
 SPACE = "▁"
-BATCH = 2 << 20  # bytes of text indexed at a time
+BATCH = 1 << 19  # bytes of text indexed at a time
 IDS = 1 << 19  # ids turned to text at a time
 LONG = 64  # characters; a longer chunk is relaxed by itself, since the others wait for no one
 _NONE, _START = -3, -1
@@ -189,7 +189,9 @@ def suffixes(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     packed = np.zeros(n + 4 * depth, dtype=np.uint64)
     wide = np.zeros(n + 3, dtype=np.uint64)
     wide[:n] = codes
-    packed[:n] = (wide[:n] << np.uint64(48)) | (wide[1 : n + 1] << np.uint64(32)) | (wide[2 : n + 2] << np.uint64(16)) | wide[3 : n + 3]
+    for i in range(4):
+        packed[:n] |= wide[i : n + i] << np.uint64(48 - 16 * i)
+    del wide
     order = np.argsort(packed[:n])
     key, reach = packed[:n], 4
     while reach < 4 * depth:
@@ -207,17 +209,23 @@ def suffixes(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def occurrences(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All edges of ``codes``: start, length and token, by binary search of every piece among the suffixes."""
     order, packed = suffixes(codes, model.depth)
-    m = len(model.tokens)
+
+    # The first four characters give a piece's range; a longer piece is looked for inside.
+    ordered = packed[order]
+    lowest, above = np.searchsorted(ordered, model.packed[:, 0]), np.searchsorted(ordered, model.packed[:, 0] | ~model.mask[:, 0], side="right")
+    del ordered
+    longer = model.mask[:, 1:].any(axis=1)
 
     def bound(upper: bool) -> np.ndarray:
-        lo, hi = np.zeros(m, dtype=np.int64), np.full(m, len(order), dtype=np.int64)
+        lo, hi = lowest.copy(), above.copy()
+        lo[~longer] = hi[~longer] = (above if upper else lowest)[~longer]
         while True:
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
                 return lo
             mid = (lo[open_] + hi[open_]) // 2
             at, less, same = order[mid], np.zeros(len(open_), dtype=bool), np.ones(len(open_), dtype=bool)
-            for k in range(model.depth):
+            for k in range(1, model.depth):
                 here = packed[at + 4 * k] & model.mask[open_, k]
                 less |= same & (here < model.packed[open_, k])
                 same &= here == model.packed[open_, k]
@@ -228,10 +236,11 @@ def occurrences(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lo, hi = bound(False), bound(True)
     count = hi - lo
     begin = np.cumsum(count) - count
+    order = order.astype(np.int32)
+    del packed
     place = np.repeat((lo - begin).astype(np.int32), count)
     place += np.arange(len(place), dtype=np.int32)
-    start = order.astype(np.int32)[place]
-    return start, np.repeat(model.size, count).astype(np.int32), np.repeat(model.tokens, count).astype(np.int32)
+    return order[place], np.repeat(model.size.astype(np.int32), count), np.repeat(model.tokens.astype(np.int32), count)
 
 
 def relax(model: Model, codes: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,16 +251,18 @@ def relax(model: Model, codes: np.ndarray, first: np.ndarray, end: np.ndarray) -
     ends = np.zeros(n, dtype=bool)
     ends[end] = True
     bare = bare[~ends[bare]]  # separators stand at the ends
-    start = np.concatenate([start, bare.astype(np.int32)])
-    size = np.concatenate([size, np.ones(len(bare), dtype=np.int32)])
-    token = np.concatenate([token, np.full(len(bare), -2, dtype=np.int32)])
-    owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
-    inside = (np.arange(n) - first[owner]).astype(np.int32)
+    if len(bare):
+        start = np.concatenate([start, bare.astype(np.int32)])
+        size = np.concatenate([size, np.ones(len(bare), dtype=np.int32)])
+        token = np.concatenate([token, np.full(len(bare), -2, dtype=np.int32)])
+    owner = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, n)))
+    inside = np.arange(n, dtype=np.int32) - first.astype(np.int32)[owner]
     last, step = np.full(n + 1, _NONE, dtype=np.int32), np.zeros(n + 1, dtype=np.int32)
     last[first] = _START
-    long = (end - first)[owner[start]] > LONG
+    long = (end - first > LONG)[owner[start]]
     wave = inside[start] + size
-    for group, stretch in ((np.flatnonzero(~long), None), (np.flatnonzero(long), owner)):
+    del inside
+    for group, stretch in ((np.flatnonzero(~long).astype(np.int32), None), (np.flatnonzero(long), owner)):
         if stretch is None:
             group = group[np.argsort(wave[group].astype(np.uint8), kind="stable")]  # a radix sort
             cuts = np.flatnonzero(np.diff(wave[group])) + 1
@@ -305,7 +316,9 @@ def encode(model: Model, texts: pa.Array) -> pa.Array:
     first = np.cumsum(count) - count
     sizes = count[chunk_of]
     begin = np.cumsum(sizes) - sizes
-    ids = flat[np.arange(int(sizes.sum())) - np.repeat(begin, sizes) + np.repeat(first[chunk_of], sizes)]
+    at = np.repeat(first[chunk_of] - begin, sizes)
+    at += np.arange(len(at))
+    ids = flat[at]
     bounds = np.append(begin, len(ids))[np.searchsorted(starts[:-1], offsets)]
     return pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(ids))
 
@@ -333,7 +346,9 @@ def encode_chunks(model: Model, chunks: pa.Array) -> tuple[np.ndarray, np.ndarra
     flat = np.concatenate([model.flat_ids, np.array([i for x in parts for i in x], dtype=np.int32)])
     firsts = np.cumsum(sizes) - sizes
     n = sizes[token]
-    ids = flat[np.arange(int(n.sum())) + np.repeat(firsts[token] - (np.cumsum(n) - n), n)]
+    at = np.repeat(firsts[token] - (np.cumsum(n) - n), n)
+    at += np.arange(len(at))
+    ids = flat[at]
     count = np.bincount(owner, weights=n, minlength=len(one)).astype(np.int64)
     runs = np.flatnonzero(lead > 1)
     if not len(runs):

@@ -46,6 +46,17 @@ _MARK[33:48] = _MARK[58:65] = _MARK[91:97] = _MARK[123:127] = True
 _STOP[[ord(c) for c in ".!?:;\"')"]] = True
 
 
+def _running(x: np.ndarray, kind: type | None = None) -> np.ndarray:
+    """Sums of all stretches that begin with the first: one more than there are items, added up in one array."""
+    out = np.zeros(len(x) + 1, dtype=kind or x.dtype)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
+def _counted(flag: np.ndarray) -> np.ndarray:
+    return _running(flag, np.int32 if len(flag) < 1 << 31 else np.int64)
+
+
 def statistics(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Shares from 0 to 1 (a row a text, in the order of ``STATISTICS``), and the number of words."""
     w = W.split(texts)
@@ -57,11 +68,11 @@ def statistics(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return out, words
 
     def sums(flag: np.ndarray) -> np.ndarray:
-        run = np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])
+        run = _counted(flag)
         return run[w.offsets[1:]] - run[w.offsets[:-1]]
 
     def per_word(flag: np.ndarray) -> np.ndarray:
-        run = np.concatenate([[0], np.cumsum(flag, dtype=np.int32)])
+        run = _counted(flag)
         return run[w.end] - run[w.start]
 
     def share(flag: np.ndarray) -> np.ndarray:
@@ -83,7 +94,7 @@ def statistics(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             out[t, 4], out[t, 5] = 1 - len(counts) / (b - a), counts.max() / (b - a)
     out[:, 6] = sums(_MARK[w.data]) / np.maximum(sums(np.ones(len(w.data), dtype=bool)), 1)
     # Lines that end in no closing mark: the last word before a line break or the end of the text.
-    line = np.cumsum(w.data == 10)[w.start]
+    line = _counted(w.data == 10)[1:][w.start]
     last = np.ones(len(h), dtype=bool)
     last[:-1] = (line[1:] != line[:-1]) | (w.text[1:] != w.text[:-1])
     open_ = last & ~_STOP[w.data[w.end - 1]]
@@ -151,10 +162,10 @@ def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     size = np.maximum(np.diff(offsets) - 2, 0)
     first = np.append(0, np.cumsum(size))
     if not first[-1]:
-        return np.zeros(0, dtype=np.int64), first
+        return np.zeros(0, dtype=np.uint16), first
     wide = data.astype(np.uint32)
     h = (wide[:-2] * np.uint32(0x9E3779B1)) ^ (wide[1:-1] * np.uint32(0x85EBCA77)) ^ (wide[2:] * np.uint32(0xC2B2AE3D))
-    h = ((h * np.uint32(0x27D4EB2F)) >> np.uint32(32 - 12)).astype(np.int64)
+    h = ((h * np.uint32(0x27D4EB2F)) >> np.uint32(32 - 12)).astype(np.uint16)
     inside = np.ones(len(h), dtype=bool)
     for edge in (1, 2):
         at = offsets[1:-1] - edge
@@ -188,7 +199,7 @@ class Scorer:
     def good(self, texts: pa.Array, shares: np.ndarray) -> np.ndarray:
         h, first = _trigrams(texts)
         size = np.diff(first)
-        run = np.concatenate([[0.0], np.cumsum(self.weights[h])])
+        run = _running(self.weights[h])
         z = self.bias + _SCALE * (run[first[1:]] - run[first[:-1]]) / np.maximum(size, 1) + self.weights[_hash_steps(shares)].sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
